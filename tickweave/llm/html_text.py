@@ -53,13 +53,18 @@ _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, what, text): ("text", place, raw text), ("tag", group, "block" or "") in page order.
 
-    The place of text is its nearest of main, aside, link or plain; a tag's group is inline, block,
-    main (the bounds of article and main) or aside.
+    The place of text is main, aside, link or plain, or within if it is set aside inside main; a tag's
+    group is within if it stands inside main, else main (the bounds of main), aside, block or inline.
     """
     stack: list[tuple[str, str]] = []
     main = aside = link = 0
     at = 0
 
+    def place() -> str:
+        if aside:
+            return "within" if main else "aside"
+        return "main" if main else "link" if link else "plain"
+
     def leave(i: int) -> None:
         nonlocal main, aside, link
         for _, kind in stack[i:]:
@@ -70,21 +75,21 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            yield "text", "aside" if aside else "link" if link and not main else "main" if main else "plain", page[at : m.start()]
+            yield "text", place(), page[at : m.start()]
         at = m.end()
         if not (name := m[3]):
             if m[1] and m[1].lower() not in ("script", "style", "title", "template", "noscript"):
-                yield "tag", "block", "block"
+                yield "tag", "within" if main else "block", "block"
             continue
         name = name.lower()
         flow = "" if name in INLINE else "block"
         if m[2]:
             low = max((i for i, (_, kind) in enumerate(stack) if kind in ("main", "aside")), default=-1) if name in INLINE or name == "p" else -1
             i = next((i for i in range(len(stack) - 1, low, -1) if stack[i][0] == name), None)
-            group = "main" if name in MAIN else "aside" if name in ASIDE else "block" if flow else "inline"
+            was = main
             if i is not None:
                 leave(i)
-            yield "tag", group, flow
+            yield "tag", "within" if main else "main" if was else "aside" if name in ASIDE else "block" if flow else "inline", flow
             continue
         for old in (*SELF_CLOSING.get(name, ()), *(("p",) if name in CLOSES_P else ())):
             if stack and stack[-1][0] == old:
@@ -98,14 +103,15 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             kind = "link"
         else:
             kind = ""
+        was = main
         if name not in VOID and not m[4].endswith("/"):
             stack.append((name, kind))
             main += kind == "main"
             aside += kind == "aside"
             link += kind == "link"
-        yield "tag", "main" if name in MAIN else kind if kind == "aside" else "block" if flow else "inline", flow
+        yield "tag", "within" if was else "main" if main else "aside" if kind == "aside" else "block" if flow else "inline", flow
     if at < len(page):
-        yield "text", "aside" if aside else "link" if link and not main else "main" if main else "plain", page[at:]
+        yield "text", place(), page[at:]
 
 
 _MARK = "\x02"
@@ -121,27 +127,29 @@ def labelled_pages() -> Iterator[str]:
     ends = ("<footer><p>{}</p></footer>", "<div id='comments'><p>{}</p></div><footer>{}</footer>", "<div><a href='/'>{}</a></div>", "<section class='related'><ul><li><a href='/'>{}</a></li></ul></section>")
     for n, (menu, body, middle, end) in enumerate(itertools.product(menus, bodies, middles, ends)):
         items = "".join(f"<li><a href='/{i}'>{other(1 + i % 2)}</a></li>" for i in range(3 + n % 5))
-        paragraphs = [f"<p>{text(8 + (n * 7 + i * 5) % 40)}</p>" for i in range(2 + n % 4)]
+        inner = ("<b>{}</b>", "<a href='/x'>{}</a>", "<em>{}</em><br>")
+        paragraphs = [f"<p>{text(8 + (n * 7 + i * 5) % 40)}{inner[(n + i) % 3].format(text(2))} {text(6)}</p>" for i in range(2 + n % 4)]
         paragraphs.insert(1, middle.replace("{}", other(6)))
         yield f"<html><body>{menu.format(items)}{body.format(text(4), ''.join(paragraphs))}{end.replace('{}', other(7))}</body></html>"
 
 
 @cache
 def weights() -> dict[tuple[str, str], float]:
-    """Log-odds of content by place of text, per word, and by group of tag; tags never score above zero."""
+    """Log-odds of content by place of text, per word, and by group of tag, within bounds; tags score below zero."""
     inside, outside = Counter(), Counter()
     for page in labelled_pages():
         row = list(tokens(page))
         marked = [i for i, (_, _, t) in enumerate(row) if _MARK in t]
         for i, (kind, what, t) in enumerate(row):
             n = len(t.replace(_MARK, "").split()) if kind == "text" else 1
-            content = _MARK in t if kind == "text" else marked[0] <= i <= marked[-1]
+            content = marked[0] <= i <= marked[-1]
             (inside if content else outside)[kind, what] += n
     total_in, total_out = sum(inside.values()), sum(outside.values())
     out = {}
     for key in inside.keys() | outside.keys():
         odds = math.log((inside[key] + 1) / (total_in + 1)) - math.log((outside[key] + 1) / (total_out + 1))
-        out[key] = max(-3.0, min(odds, -0.05 if key[0] == "tag" else 3.0))
+        low, top = (-0.8, -0.05) if key[0] == "tag" else (-2.0, 0.0 if key[1] in ("aside", "within") else 3.0)
+        out[key] = max(low, min(odds, top))
     return out
 
 
@@ -168,7 +176,7 @@ def main_text(page: str | None) -> str:
     blocks, parts = [], []
     for kind, what, t in row[first : last + 1]:
         if kind == "text":
-            if what != "aside":
+            if what not in ("aside", "within"):
                 parts.append(html_entities.unescape(t) if "&" in t else t)
         elif t and parts:
             blocks.append(" ".join("".join(parts).split()))

@@ -59,8 +59,8 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source
 #: Name, share as integer bins of the measures, sides that are tested, least quartile range in bins.
 RULES = (
     ("symbols", "least({b}, ({b} * n_symbols) div greatest(word_chars, 1))", 25),
-    ("dup_lines", "({b} * n_dup_lines) div greatest(n_lines, 1)", 50),
-    ("repeats", "({b} * n_repeat_words) div greatest(n_words, 1)", 50),
+    ("dup_lines", "({b} * n_dup_lines) div greatest(n_lines, 1)", 110),
+    ("repeats", "({b} * n_repeat_words) div greatest(n_words, 1)", 100),
     ("word_length", "least({b}, (20 * word_chars) div greatest(n_words, 1))", 20),
 )
 

@@ -13,6 +13,7 @@ repeated rows too; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -61,6 +62,8 @@ def _folding() -> dict[int, str]:
 
 
 FOLD = _folding()
+#: Signs that end a word are punctuation, not letters in disguise.
+_TRAILING = re.compile(r"[!|$@€]+(?!\w)")
 _DROP = dict.fromkeys(map(ord, INVISIBLE))
 
 
@@ -129,7 +132,7 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in common.slices(batch):
             for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
-                words = set("".join(c if c.isalnum() else " " for c in fold(text)).split())
+                words = set("".join(c if c.isalnum() else " " for c in fold(_TRAILING.sub(" ", text))).split())
                 counts[label].update({w[:k] for w in words for k in range(4, min(len(w), 16) + 1)} | words)
                 docs[label] += 1
     keys = sorted(counts[0].keys() | counts[1].keys())
