@@ -8,12 +8,13 @@ from .html_text import op2_html_main_text
 from .license_scan import op5_license_scan
 from .line_dedup import op8_line_dedup
 from .packing import op9_packing
+from .pieces import op3_sentencepiece
 from .quality_rules import op6_quality_rules
 from .simhash import op7_simhash
 from .toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_html_main_text, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality)
+    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality)
 }
 ORACLES: dict[str, str] = {}
