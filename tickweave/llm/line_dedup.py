@@ -31,10 +31,17 @@ def _with_places(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _once(rows: DataFrame, keep: list, **made: Column) -> DataFrame:
+    """With the made columns, each computed once: filters on them are not pushed below a generator."""
+    return rows.select(*keep, F.inline(F.array(F.struct(*(c.alias(name) for name, c in made.items())))))
+
+
 def _entries_of(lines: DataFrame, min_words: int) -> DataFrame:
     """With norm, the words joined by spaces, their number and two hashes that name it; too short lines go."""
-    norm = F.trim(F.regexp_replace(F.lower("line"), common.ASCII_SPACE + "+", " "))
-    lines = lines.select(*_PLACE, norm.alias("norm")).select("*", (F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1).alias("words"))
+    # only white space that isn't a single space is replaced, so most texts are scanned and not rebuilt
+    norm = F.trim(F.regexp_replace(F.lower("line"), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+    lines = _once(lines, [*_PLACE], norm=norm)
+    lines = _once(lines, [*_PLACE, "norm"], words=F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     return lines.where(F.col("words") >= min_words).select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("second"), "norm").alias("h2"))
 
 
@@ -45,28 +52,29 @@ def _half_keys() -> Column:
         for side, sign in (("first", ""), ("last", "-"))
         for take in ("words div 2", "if(words % 2 = 0, words div 2 - 1, 0)")
     ]
-    return F.explode(F.array_compact(F.expr(f"array({', '.join(keys)})")))
+    return F.array_compact(F.expr(f"array({', '.join(keys)})"))
 
 
-def _without(norm: Column, i: Column) -> Column:
+def _without(norm: Column, words: Column, i: Column) -> Column:
     """The line without word i, from 0; the line itself for -1."""
-    words = F.split(norm, " ")
-    return F.when(i < 0, norm).otherwise(F.array_join(F.concat(F.slice(words, F.lit(1), F.greatest(i, F.lit(0))), F.slice(words, i + 2, F.size(words))), " "))
+    before, after = F.call_function("substring_index", norm, F.lit(" "), i), F.call_function("substring_index", norm, F.lit(" "), i + 1 - words)
+    return F.when(i < 0, norm).otherwise(F.trim(F.concat(before, F.lit(" "), after)))
 
 
-def _near(docs: DataFrame, lines: DataFrame, entries: DataFrame, edit_words: int, min_words: int) -> DataFrame:
+def _near(docs: DataFrame, places: DataFrame, entries: DataFrame, min_words: int) -> DataFrame:
     """h1, h2 and of, the earliest place before it of an entry one word apart, for entries that have one."""
-    halves = lines.where(F.col("words") >= edit_words).select("h1", "h2", _half_keys().alias("key"))
+    halves = places.where("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     candidates = halves.join(shared, "key", "left_semi").select("h1", "h2").distinct()
     where = entries.join(candidates, ["h1", "h2"], "left_semi").select("first.*").groupBy("doc", "row").agg(F.collect_set("n").alias("ns"))
     texts = _with_places(docs).join(where, ["doc", "row"]).dropDuplicates(["doc", "row"])
-    chosen = texts.select("doc", "row", F.split("text", "\n", -1).alias("lines"), F.explode("ns").alias("n"))
-    chosen = _entries_of(chosen.select("doc", "row", "n", F.element_at("lines", F.col("n") + 1).alias("line")), min_words)
+    split = texts.select("doc", "row", F.split("text", "\n", -1).alias("lines"), "ns")
+    picked = F.transform("ns", lambda n: F.struct(n.alias("n"), F.element_at(F.col("lines"), n + 1).alias("line")))
+    chosen = _entries_of(split.select("doc", "row", F.inline(picked)), min_words)
     chosen = common.materialize(chosen.select(F.struct(*_PLACE).alias("place"), "norm", "words", "h1", "h2"))
 
-    each = chosen.select("place", "norm", F.explode(F.sequence(F.lit(-1), F.col("words") - 1)).alias("i"))
-    keys = common.materialize(each.select("place", "i", F.xxhash64(_without(F.col("norm"), F.col("i"))).alias("key")))
+    each = chosen.select("place", "norm", "words", F.explode(F.sequence(F.lit(-1), F.col("words") - 1)).alias("i"))
+    keys = common.materialize(each.select("place", "i", F.xxhash64(_without(F.col("norm"), F.col("words"), F.col("i"))).alias("key")))
     replaced = keys.where("i >= 0").groupBy("key", "i").agg(F.min("place").alias("of"), F.count("*").alias("c")).where("c > 1").drop("c")
     by_replacing = keys.where("i >= 0").join(replaced, ["key", "i"]).where("of < place").select("place", "i", "of", F.col("i").alias("of_i"))
     ends = keys.groupBy("key").agg(F.min(F.when(F.col("i") < 0, F.col("place"))).alias("short"), F.min(F.when(F.col("i") >= 0, F.struct("place", "i"))).alias("long"))
@@ -76,8 +84,9 @@ def _near(docs: DataFrame, lines: DataFrame, entries: DataFrame, edit_words: int
     by_leaving = met.where("i < 0 AND long.place < place").select("place", "i", F.col("long.place").alias("of"), F.col("long.i").alias("of_i"))
     found = by_replacing.unionByName(by_adding).unionByName(by_leaving)
     found = found.groupBy("place").agg(F.min(F.struct("of", "of_i", "i")).alias("x")).select("place", "x.*")
-    other = chosen.select(F.col("place").alias("of"), F.col("norm").alias("of_norm"))
-    verified = found.join(chosen, "place").join(other, "of").where(_without(F.col("norm"), F.col("i")) == _without(F.col("of_norm"), F.col("of_i")))
+    other = chosen.select(F.col("place").alias("of"), F.col("norm").alias("of_norm"), F.col("words").alias("of_words"))
+    same = _without(F.col("norm"), F.col("words"), F.col("i")) == _without(F.col("of_norm"), F.col("of_words"), F.col("of_i"))
+    verified = found.join(chosen, "place").join(other, "of").where(same)
     return verified.select("h1", "h2", "of")
 
 
@@ -89,11 +98,12 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, edit_words: int = 8) ->
     if edit_words < max(min_words, 3):
         raise ValueError("edit_words must be 3 or more and no less than min_words")
     lines = _entries_of(_with_places(docs).select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("n", "line")), min_words)
-    places = common.materialize(lines.select(F.struct(*_PLACE).alias("place"), "h1", "h2"))
-    entries = common.materialize(places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last")))
-    near = _near(docs, lines, entries, edit_words, min_words)
-    marked = entries.join(near, ["h1", "h2"], "left").where("first < last OR of IS NOT NULL").select("h1", "h2", "first", "of")
-    return places.join(marked, ["h1", "h2"]).where("first < place OR of IS NOT NULL").select("place.*", F.least("first", F.coalesce("of", "first")).alias("of"))
+    halves = F.when(F.col("words") >= edit_words, _half_keys())
+    places = common.materialize(lines.select(F.struct(*_PLACE).alias("place"), "h1", "h2", halves.alias("halves")))
+    entries = common.materialize(places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("copies")))
+    near = _near(docs, places, entries, min_words)
+    marked = entries.join(near, ["h1", "h2"], "left").where("copies > 1 OR of IS NOT NULL").select("h1", "h2", "first", "of")
+    return places.drop("halves").join(marked, ["h1", "h2"]).where("first < place OR of IS NOT NULL").select("place.*", F.least("first", F.coalesce("of", "first")).alias("of"))
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
