@@ -12,12 +12,12 @@ def _numbered(rows: DataFrame, *order) -> DataFrame:
     Rows are range-partitioned and sorted; a partition's first number is the count of those before it. Only
     the counts, one for each partition, are added up together.
     """
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    w = Window.partitionBy("part").orderBy(*order)
-    local = sorted_rows.withColumn("k", F.row_number().over(w) - 1)
-    sizes = local.groupBy("part").count()
-    before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return local.join(F.broadcast(sizes.select("part", before.alias("base"))), "part").withColumn("rn", F.col("base") + F.col("k")).drop("part", "k", "base")
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    w = Window.partitionBy("__part").orderBy(*order)
+    local = sorted_rows.withColumn("__k", F.row_number().over(w) - 1)
+    sizes = local.groupBy("__part").count()
+    before = F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return local.join(F.broadcast(sizes.select("__part", before.alias("__base"))), "__part").withColumn("rn", F.col("__base") + F.col("__k")).drop("__part", "__k", "__base")
 
 
 def stride_shard(rows: DataFrame, index: int, count: int, *order) -> DataFrame:
@@ -38,12 +38,12 @@ def work_list(replays: DataFrame, attempts: DataFrame, index: int, count: int, l
 def within_budget(rows: DataFrame, amount: str, budget: int, *order) -> DataFrame:
     """Rows in order as long as those before them are below the budget; the one that reaches it still counts."""
     w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # a work list of one worker
-    return rows.withColumn("used", F.coalesce(F.sum(amount).over(w), F.lit(0))).where(F.col("used") < budget).drop("used")
+    return rows.withColumn("__used", F.coalesce(F.sum(amount).over(w), F.lit(0))).where(F.col("__used") < budget).drop("__used")
 
 
 def keep_first(rows: DataFrame, key: str, *order) -> DataFrame:
     """The first row of each key in an explicit order."""
-    return rows.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("n = 1").drop("n")
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
 
 
 def unusable_reason(ranked_only: bool = False, min_elo: float = 0.0) -> Column:

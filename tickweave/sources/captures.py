@@ -11,11 +11,10 @@ from ..schemas import BUTTONS, LISTING, MANIFEST, PLAYERS, STATUS, TICK_COLUMNS
 
 def frame_files(spark: SparkSession, root: str) -> DataFrame:
     """capture, path and value, the whole text, of root/inputs.csv or else of each root/*/inputs.csv."""
-    reader = spark.read.option("wholetext", True)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     own = jvm.org.apache.hadoop.fs.Path(f"{root}/inputs.csv")
     path = f"{root}/inputs.csv" if own.getFileSystem(conf).exists(own) else f"{root}/*/inputs.csv"
-    files = reader.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.select(F.element_at(F.split("path", "/"), -2).alias("capture"), "path", "value")
 
 
@@ -77,7 +76,7 @@ def manifests(spark: SparkSession, roots: str | list[str]) -> DataFrame:
 
 def manifest_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Attempts of whole manifest files with line_no, their order in the file."""
-    texts = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
     parsed = texts.withColumn("e", F.from_json("line", MANIFEST, {"mode": "PERMISSIVE"}))
     return parsed.where(F.col("e").isNotNull() & (F.trim("line") != "") & F.col("e.status").isNotNull()).select("source_file", "line_no", "e.*")
 
@@ -107,7 +106,7 @@ def file_sizes(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def worker_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file and in_flight, the last frame count that a log tells of since its last start (null: none)."""
-    texts = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
     since = F.element_at(F.split("value", "Session::init"), -1)
     counts = F.regexp_extract_all(since, F.lit(r"encoder wrote (\d+)"), 1)
     return texts.select("source_file", F.try_element_at(counts, F.lit(-1)).cast("long").alias("in_flight"))
