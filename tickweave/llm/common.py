@@ -105,3 +105,18 @@ def slices(batch, rows: int = 256):
     """Parts of an Arrow batch, so that few texts are Python objects at a time."""
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
+
+
+def slices_of(batch, column: str, most: int):
+    """Parts of an Arrow batch of about so many bytes of the column at most, or of one row."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = total = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and total + size > most:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if batch.num_rows > start:
+        yield batch.slice(start)

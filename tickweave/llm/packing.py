@@ -20,43 +20,201 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 CAPACITY, END_ID = 4096, 2
-MEMO = 400_000
+MEMO = 600_000
+
+
+class WordMerges:
+    """Byte-pair merges of many words at once: a row a word, one merge a row a step, in numpy.
+
+    In each row the adjacent pair of the least rank, of equal ones the leftmost, becomes one symbol, until
+    no pair is left that has a rank. Only the two pairs beside a merge are looked up anew.
+    """
+
+    LONGEST = 48
+
+    def __init__(self, model: dict):
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.size = max(vocab.values()) + 1
+        keys = np.array([vocab[x] * self.size + vocab[y] for x, y in pairs], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys, self.ranks = keys[order], np.arange(len(pairs), dtype=np.int32)[order]
+        self.made = np.array([vocab[x + y] for x, y in pairs], dtype=np.int32)
+        # bytes that print stand for themselves, the others for the characters from 256 on
+        printing = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [i for i in range(256) if i not in printing]
+        names = {i: chr(i) for i in printing} | {x: chr(256 + n) for n, x in enumerate(rest)}
+        self.inner = np.array([vocab[names[i]] for i in range(256)], dtype=np.int32)
+        self.last = np.array([vocab[names[i] + suffix] for i in range(256)], dtype=np.int32)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((left >= 0) & (right >= 0) & (self.keys[at] == key), self.ranks[at], _NONE)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of 1 to LONGEST bytes."""
+        size = np.array([len(w) for w in words])
+        out: list[bytes] = [b""] * len(words)
+        for low, high in ((0, 8), (8, 16), (16, self.LONGEST)):
+            rows = np.flatnonzero((size > low) & (size <= high))
+            for i in range(0, len(rows), 4096):
+                part = rows[i : i + 4096]
+                for k, ids in zip(part.tolist(), self._encode([words[k] for k in part.tolist()], size[part], high), strict=True):
+                    out[k] = ids
+        return out
+
+    def _encode(self, words: list[bytes], size: np.ndarray, width: int) -> list[bytes]:
+        raw = np.array(words, dtype=f"S{width}").view(np.uint8).reshape(len(words), width)
+        here = np.arange(width)[None, :] < size[:, None]
+        sym = np.where(here, self.inner[raw], -1).astype(np.int32)
+        n = np.arange(len(words))
+        sym[n, size - 1] = self.last[raw[n, size - 1]]
+        sym = np.concatenate([sym, np.full((len(words), 1), -1, dtype=np.int32)], axis=1)
+        rank = self._rank(sym[:, :-1], sym[:, 1:])
+        done = np.full((len(words), width), -1, dtype=np.int32)
+        rows = n
+        while len(rows):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(rows)), at]
+            go = best != _NONE
+            if not go.all():
+                stop = ~go
+                done[rows[stop], : sym.shape[1] - 1] = sym[stop, :-1]
+                rows, sym, rank, at, best = rows[go], sym[go], rank[go], at[go], best[go]
+                if not len(rows):
+                    break
+            k, w = np.arange(len(rows)), sym.shape[1]
+            sym[k, at] = self.made[best]
+            later = np.arange(w - 1)[None, :]
+            sym = np.take_along_axis(sym, later + (later > at[:, None]), axis=1)
+            rank = np.take_along_axis(rank, np.minimum(later[:, :-1] + (later[:, :-1] >= at[:, None]), w - 2), axis=1)
+            if rank.shape[1] == 0:
+                done[rows, :1] = sym[:, :1]
+                break
+            inside = at < rank.shape[1]
+            rank[k[inside], at[inside]] = self._rank(sym[k[inside], at[inside]], sym[k[inside], at[inside] + 1])
+            before = at > 0
+            rank[k[before], at[before] - 1] = self._rank(sym[k[before], at[before] - 1], sym[k[before], at[before]])
+        kept = done >= 0
+        flat = done[kept].astype("<u4").tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(kept.sum(axis=1))])).tolist()
+        return [flat[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+_NONE = np.iinfo(np.int32).max
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, with the ids of words kept.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, with the ids of word parts kept.
 
-    The tokenizer works on words that its pattern cuts from the text, after NFC, lower-casing and white
-    space turned to spaces; so ids of a word are the same wherever it stands, and few words are new.
+    The tokenizer drops white space and its pattern never reaches over it, so the ids of a word between
+    white space are the same wherever it stands: those of its parts, which the pattern makes of the
+    normalized word. Most words are letters, or letters and one sign. Parts that are new are merged many
+    at a time.
     """
 
     def __init__(self, path: str):
+        import json
+
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        with open(path, encoding="utf-8") as f:
+            self.merges = WordMerges(json.load(f)["model"])
+        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        #: The tokenizer's white space; str.split also parts at four control characters that it encodes.
+        self.word = regex.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+        self.controls = regex.compile("[\x1c-\x1f]")
         self.memo: dict[str, bytes] = {}
 
-    def words(self, text: str) -> list[str]:
-        return self.pattern.findall(self.tokenizer.normalizer.normalize_str(text))
+    def _learn(self, new: list[str]) -> None:
+        if not new:
+            return
+        raw = [p.encode("utf-8", "replace") for p in new]
+        short = [k for k, r in enumerate(raw) if len(r) <= WordMerges.LONGEST]
+        self.memo.update(zip((new[k] for k in short), self.merges.encode([raw[k] for k in short]), strict=True))
+        if len(short) < len(new):
+            long = [p for p, r in zip(new, raw, strict=True) if len(r) > WordMerges.LONGEST]
+            for p, e in zip(long, self.tokenizer.encode_batch_fast(long, add_special_tokens=False), strict=True):
+                self.memo[p] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        rows = [self.words(t) for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list({w for row in rows for w in row if w not in memo})
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            memo[word] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(memo.__getitem__, row)) for row in rows]
+        """Ids of each text. Texts in Latin-1 need no normalizing but lower-casing."""
+        plain, other, odd = [], [], []
+        for n, t in enumerate(texts):
+            if self.controls.search(t):
+                odd.append((n, self.word.findall(t)))
+                continue
+            try:
+                t.encode("latin-1")
+                plain.append((n, t.lower()))
+            except UnicodeEncodeError:
+                other.append((n, t))
+        out = [b""] * len(texts)
+        for group, kind in ((plain, True), (other, False), (odd, False)):
+            if group:
+                rows = pa.array([t for _, t in group], pa.large_list(pa.large_string())) if group is odd else pc.utf8_split_whitespace(pa.array([t for _, t in group], pa.large_string()))
+                for (n, _), ids in zip(group, self._rows(rows, kind), strict=True):
+                    out[n] = ids
+        return out
+
+    def _rows(self, rows: pa.Array, plain: bool) -> Iterator[bytes]:
+        """Ids of lists of words: each distinct word is looked up once, and copied to its places by numpy."""
+        coded = rows.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known = self._ids(words, plain)
+        made = [known[w] for w in words]
+        flat = np.frombuffer(b"".join(made), dtype="<u4")
+        size = np.array([len(x) // 4 for x in made], dtype=np.int64)
+        start = np.cumsum(size) - size
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = size[at]
+        ends = np.cumsum(sizes)
+        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[at] - (ends - sizes), sizes)]
+        cuts = np.concatenate([[0], ends])[rows.offsets.to_numpy() - rows.offsets[0].as_py()].tolist()
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            yield ids[x:y].tobytes()
+
+    def _ids(self, seen: list[str], plain: bool) -> dict[str, bytes]:
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        memo, near, new = self.memo, {}, set()
+        stems, others, find, normal = [], [], self.parts.findall, self.tokenizer.normalizer.normalize_str
+        for w in seen:
+            if not w:  # beside white space at the ends of a text
+                near[w] = b""
+                continue
+            if not plain:
+                parts = find(normal(w))
+            elif (ids := memo.get(w)) is not None:
+                near[w] = ids
+                continue
+            elif w.isalpha():
+                stems.append(w)
+                continue
+            elif w[-1] in ",.;:!?" and (stem := w[:-1]).isalpha():
+                parts = (stem, w[-1])
+            else:
+                parts = find(w)
+            new.update(parts)
+            others.append((w, parts))
+        new.update(stems)
+        self._learn([p for p in new if p not in memo])
+        for w in stems:
+            near[w] = memo[w]
+        for w, parts in others:
+            near[w] = b"".join([memo[p] for p in parts])
+        return near
 
 
 _encoders: dict[str, Encoder] = {}
@@ -77,7 +235,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(path)
         for batch in batches:
-            for part in common.slices(batch, 128):
+            for part in common.slices_of(batch, "text", 8_000_000):
                 rows = []
                 encoded = tok.encode([t or "" for t in part.column("text").to_pylist()])
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
