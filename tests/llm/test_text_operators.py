@@ -44,6 +44,21 @@ def test_license_rules_are_many_and_compile():
         assert 0 < conf <= 1 and keyword
 
 
+def test_license_labels_match_brute_force(spark):
+    forms = ["MIT License", "GPL-3.0", "GNU General Public License, version 2", "Apache License 2.0", "SPDX-License-Identifier: Apache-2.0", "CC BY-NC-SA 4.0", "Creative Commons Attribution ShareAlike 3.0 Unported License", "BSD 3-Clause License", "all rights reserved", "licensed under the Mozilla Public License v 2.0", "Copyright (c) 2020", "see the license", "LGPL v2.1", "public domain"]
+    rng = np.random.default_rng(2)
+    texts = [" x ".join(rng.choice(forms, rng.integers(1, 7))) for _ in range(60)]
+    made = license_scan.rules()
+    for r in license_scan.scan(docs(spark, texts)).collect():
+        words = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", texts[r["doc_id"]].lower())) + " "
+        found = [(m.start(), m.end(), prio, n, label, conf) for n, label, prio, conf, keyword, pattern in made if keyword in words for m in re.finditer(pattern, words)]
+        better = lambda a, b: a[0] <= b[0] and b[1] <= a[1] and a[2] <= b[2] and (a[1] - a[0] > b[1] - b[0] or (a[2], a[3]) < (b[2], b[3]))
+        kept = [d for d in found if not any(better(e, d) for e in found)]
+        base = set(filter(None, r["base_labels"].split(",")))
+        assert set(filter(None, r["labels"].split(","))) == {d[4] for d in kept} | base, words
+        assert r["score"] == max([0.9 if base else 0.0, *(d[5] for d in kept)])
+
+
 def test_contained_detections_go(spark):
     r = license_scan.scan(docs(spark, ["released under the Creative Commons Attribution NonCommercial ShareAlike 4.0 license", "GNU Lesser General Public License version 2.1"])).orderBy("doc_id").collect()
     assert (r[0]["labels"], r[1]["labels"]) == ("cc-by-nc-sa-4.0", "lgpl-2.1")

@@ -17,4 +17,44 @@ QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality)
 }
-ORACLES: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: The rules' shares as integer bins, with the least quartile range of each.
+_QUALITY = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+g AS (SELECT r, i, concat_ws(chr(1), w[i], w[i + 1], w[i + 2]) AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS c FROM g) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2)) AS t(o) GROUP BY r),
+m AS (SELECT d.r, doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (r)),
+b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+bins AS (SELECT r, lang, source, base_failed, x.rule, x.bin, x.least FROM (SELECT *, unnest([
+  {{'rule': 'symbols', 'bin': least(1000, 1000 * n_symbols // greatest(word_chars, 1)), 'least': 25}},
+  {{'rule': 'dup_lines', 'bin': 1000 * n_dup_lines // greatest(len(l), 1), 'least': 110}},
+  {{'rule': 'repeats', 'bin': 1000 * n_repeat_words // greatest(n_words, 1), 'least': 100}},
+  {{'rule': 'word_length', 'bin': least(1000, 20 * word_chars // greatest(n_words, 1)), 'least': 20}}]) AS x FROM b)),
+q AS (SELECT rule, lang, source, CASE WHEN grouping(lang) = 1 THEN 3 WHEN grouping(source) = 1 THEN 2 ELSE 1 END AS level, count(*) AS n, any_value(least) AS least,
+  quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM bins WHERE NOT base_failed GROUP BY GROUPING SETS ((rule, lang, source), (rule, lang), (rule))),
+lim AS (SELECT *, q1 - 3 * greatest(q3 - q1, least) AS low, q3 + 3 * greatest(q3 - q1, least) AS high FROM q),
+f AS (SELECT bins.r, bins.rule, bin, arg_min(low, CASE WHEN lim.n >= 100 OR level = 3 THEN level ELSE 9 END) AS low, arg_min(high, CASE WHEN lim.n >= 100 OR level = 3 THEN level ELSE 9 END) AS high
+  FROM bins JOIN lim ON lim.rule = bins.rule AND (level = 3 OR lim.lang IS NOT DISTINCT FROM bins.lang AND (level = 2 OR lim.source IS NOT DISTINCT FROM bins.source)) GROUP BY ALL),
+v AS (SELECT r, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'dup_lines' THEN 2 WHEN 'repeats' THEN 3 ELSE 4 END) AS failed FROM f WHERE bin > high OR rule = 'word_length' AND bin < low GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept, coalesce(failed, '') AS failed FROM b LEFT JOIN v USING (r)
+"""
+
+_LINES = """
+WITH l AS (SELECT doc_id, unnest(range(len(a))) AS n, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT doc_id, n, norm, string_split(norm, ' ') AS w FROM (SELECT doc_id, n, trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm FROM l) WHERE len(string_split(norm, ' ')) >= 5),
+e AS (SELECT norm, any_value(w) AS w, min({'d': doc_id, 'n': n}) AS p FROM k GROUP BY norm),
+c AS (SELECT norm, w, p FROM e WHERE len(w) >= 8),
+v AS (SELECT p, len(w) AS words, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS variant FROM (SELECT p, w, unnest(range(1, len(w) + 1)) AS i FROM c)),
+replaced AS (SELECT p, m AS o FROM (SELECT p, min(p) OVER (PARTITION BY variant, words, i) AS m FROM v) WHERE m < p),
+longer AS (SELECT v.p, c.p AS o FROM v JOIN c ON c.norm = v.variant WHERE c.p < v.p),
+shorter AS (SELECT c.p, v.p AS o FROM v JOIN c ON c.norm = v.variant WHERE v.p < c.p),
+near AS (SELECT p, min(o) AS o FROM (SELECT * FROM replaced UNION ALL SELECT * FROM longer UNION ALL SELECT * FROM shorter) GROUP BY p),
+f AS (SELECT k.doc_id, k.n, e.p, least(e.p, near.o) AS o, near.o AS q FROM k JOIN e USING (norm) LEFT JOIN near ON near.p = e.p)
+SELECT doc_id, CAST(n AS INTEGER) AS line_no, coalesce(o, p).d AS kept_doc_id, CAST(coalesce(o, p).n AS INTEGER) AS kept_line_no FROM f WHERE p < {'d': doc_id, 'n': n} OR q IS NOT NULL
+"""
+
+ORACLES: dict[str, str] = {"op6_quality_rules": _QUALITY, "op8_line_dedup": _LINES}

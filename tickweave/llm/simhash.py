@@ -33,17 +33,7 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split()  # of bytes, both go by ASCII alone
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """64-bit SimHash over width-word shingles with repeats; of fewer words over the whole sequence; of none, 0."""
-    w = words_of(text or "")
-    if not w:
-        return 0
-    if len(w) <= width:
-        shingles = [b" ".join(w)]
-    else:
-        shingles = map(b" ".join, zip(*(w[i:] for i in range(width)), strict=False))
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, 42) for s in shingles], dtype=np.uint64)
+def _majority(h: np.ndarray) -> int:
     votes = np.zeros(64, dtype=np.int64)
     for i in range(0, len(h), 65536):
         part = h[i : i + 65536].byteswap().view(np.uint8).reshape(-1, 8)
@@ -51,17 +41,46 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, of every row."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles: a bijection that spreads every bit."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64, seed 42, of each width-word shingle, repeats included; of fewer words of the whole sequence."""
+    w = words_of(text or "")
+    if len(w) <= width:
+        shingles = [b" ".join(w)] if w else []
+    else:
+        shingles = map(b" ".join, zip(*(w[i:] for i in range(width)), strict=False))
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(s, 42) for s in shingles], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """64-bit SimHash of the shingles' hashes; 0 without words."""
+    return _majority(shingle_hashes(text, width))
+
+
+def fingerprints(docs: DataFrame, width: int = 3, second: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long, of every row; also x, one from other hashes, if second."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
-                fps = np.array([fingerprint(t, width) for t in part.column("text").to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                made = [[], []]
+                for t in part.column("text").to_pylist():
+                    h = shingle_hashes(t, width)
+                    made[0].append(_majority(h))
+                    if second:
+                        made[1].append(_majority(_mixed(h)) if len(h) else 0)
+                longs = [pa.array(np.array(m, dtype=np.uint64).view(np.int64)) for m in made[: 1 + second]]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *longs], names=["doc_id", "fp", "x"][: 2 + second])
 
     kept = docs.select("doc_id", "text")
-    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long")
+    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long" + ", x long" * second)
 
 
 def block_masks(bits: int, blocks: int) -> list[int]:
@@ -75,14 +94,15 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+def _distance(a: str, b: str) -> Column:
+    return F.expr(f"bit_count({a}.fp ^ {b}.fp) + bit_count({a}.x ^ {b}.x)")
 
 
-def _forest(bits: int):
+def _forest(limit: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        fps = np.unique(pdf["fp"].to_numpy().astype(np.int64)).view(np.uint64)
-        root = np.arange(len(fps))
+        pdf = pdf.drop_duplicates("id").sort_values("id")
+        ids, fps, xs = pdf["id"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64), pdf["x"].to_numpy().view(np.uint64)
+        root = np.arange(len(ids))
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -91,8 +111,9 @@ def _forest(bits: int):
             return i
 
         edges = []
-        for i in range(len(fps)):
-            near = i + 1 + np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= bits)
+        for i in range(len(ids)):
+            apart = np.bitwise_count(fps[i + 1 :] ^ fps[i]) + np.bitwise_count(xs[i + 1 :] ^ xs[i])
+            near = i + 1 + np.flatnonzero(apart <= limit)
             if len(near) == 0:
                 continue
             a = find(i)
@@ -101,37 +122,38 @@ def _forest(bits: int):
                 if a != b:
                     root[b] = a
                     edges.append((i, int(j)))
-        signed = fps.view(np.int64)
         e = np.array(edges, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": signed[e[:, 0]], "b": signed[e[:, 1]]})
+        return pd.DataFrame({"a": ids[e[:, 0]], "b": ids[e[:, 1]]})
 
     return run
 
 
-def links(fps: DataFrame, bits: int = 3, blocks: int = 6, few: int = 24, chunk: int = 4096) -> DataFrame:
-    """(a, b) edges between the distinct fp of fps whose closure is that of all pairs at most bits apart.
+def links(nodes: DataFrame, bits: int = 3, blocks: int = 6, limit: int | None = None, few: int = 24, chunk: int = 4096) -> DataFrame:
+    """(a, b) edges between the ids of nodes (id, fp, x) whose closure is that of all linked pairs.
 
-    few: the most fingerprints of a key that are joined in pairs; chunk: the fingerprints of a part of a
-    key with more. Every edge is verified. Work within a hot key grows with its square, spread over tasks
-    of 2 x chunk rows; rows that leave a task are at most their number.
+    Pairs are linked if they share a key of fp and their fp and x differ in limit bits or fewer; all whose
+    fp differ in bits bits or fewer share one. limit is bits without a value, as it is with x constant.
+    few: the most nodes of a key that are joined in pairs; chunk: the nodes of a part of a key with more.
+    Every edge is verified. Work within a hot key grows with its square, spread over tasks of 2 x chunk
+    rows; rows that leave a task are at most their number.
     """
+    limit = bits if limit is None else limit
     masks = block_masks(bits, blocks)
     tables = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m")) for t, m in enumerate(masks)))
-    keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
+    keyed = nodes.select("id", "fp", "x", F.explode(tables).alias("k")).select("id", "fp", "x", F.col("k.t").alias("t"), F.col("fp").bitwiseAND(F.col("k.m")).alias("key"))
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = common.materialize(keyed.join(shared, ["t", "key"]))
     small = members.where(F.col("n") <= few)
     pairs = (
-        small.select("t", "key", F.col("fp").alias("a"))
-        .join(small.select("t", "key", F.col("fp").alias("b")), ["t", "key"])
-        .where((F.col("a") < F.col("b")) & (_distance(F.col("a"), F.col("b")) <= bits))
-        .select("a", "b")
+        small.alias("l")
+        .join(small.alias("r"), F.expr("l.t = r.t AND l.key = r.key AND l.id < r.id") & (_distance("l", "r") <= limit))
+        .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     )
     parts = F.ceil(F.col("n") / chunk).cast("int")
-    large = members.where(F.col("n") > few).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    large = members.where(F.col("n") > few).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     large = large.withColumn("lo", F.least("c", "other")).withColumn("hi", F.greatest("c", "other"))
-    forest = large.groupBy("t", "key", "lo", "hi").applyInPandas(_forest(bits), "a long, b long")
+    forest = large.groupBy("t", "key", "lo", "hi").applyInPandas(_forest(limit), "a long, b long")
     return pairs.unionByName(forest).distinct()
 
 
@@ -164,7 +186,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, blocks: int
     """doc_id, fp and component_id of every row of docs."""
     fps = common.materialize(fingerprints(docs, width))
     nodes = common.materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(nodes.select("fp"), bits, blocks))
+    roots = components(links(nodes.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("x")), bits, blocks))
     grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = grouped.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
@@ -176,15 +198,18 @@ def op7_simhash(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, bits: int = 6, blocks: int = 9, limit: int = 20) -> DataFrame:
     """Of each group of near-duplicates the row with the smallest doc_id, one if rows repeat it; with all columns.
 
-    Rows with a null doc_id can't be named as the one of a group, and stay.
-
-    Shingles of five words. Two texts whose shingles have a Jaccard similarity of 0.9 differ in about 6 of
-    64 bits, so links of up to 6 bits are followed.
+    Shingles of five words. Texts whose shingles have a Jaccard similarity of 0.8 have an angle that sets
+    them apart in 15 % of bits. Blocks of 64 bits find the pairs (for certain those at most `bits` apart, and
+    most of those up to twice as far), and 64 more bits from other hashes verify them: pairs are linked
+    at up to `limit` of all 128 bits. Rows with a null doc_id can't be named as the one of a group, and stay.
     """
-    found = near_duplicates(docs, width=5, bits=6, blocks=9)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    fps = common.materialize(fingerprints(docs.where(F.col("doc_id").isNotNull()), width, second=True))
+    nodes = common.materialize(fps.groupBy("fp", "x").agg(F.min("doc_id").cast("long").alias("id")))
+    roots = components(links(nodes, bits, blocks, limit))
+    # a component's root is its smallest id; of all other nodes the first document is their smallest
+    first = nodes.join(roots.where("node != root"), nodes.id == roots.node, "left_anti").select(F.col("id").alias("__id"))
+    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
