@@ -54,9 +54,9 @@ def reports(frames: DataFrame, videos: DataFrame | None = None, require_video: b
     the video couldn't be read, is left out if videos aren't checked; expected (capture) adds captures
     whose frame table is missing. A row with a good tick and a bad mask counts as a row and as a bad one.
     """
-    rows = frames.withColumn("n", F.when(F.col("tick").isNotNull(), F.row_number().over(Window.partitionBy("capture", F.col("tick").isNotNull()).orderBy("pos"))))
     ticked, framed = F.col("tick").isNotNull(), F.col("tick").isNotNull() & F.col("frame").isNotNull() & F.col("has_frame")
-    by_capture = Window.partitionBy("capture").orderBy("pos")
+    by_capture = Window.partitionBy("capture").orderBy("pos")  # the one shuffle that windows and aggregate share
+    rows = frames.withColumn("n", F.when(ticked, F.sum(ticked.cast("int")).over(by_capture)))
     before = F.last(F.when(ticked, F.col("tick")), ignorenulls=True).over(by_capture.rowsBetween(Window.unboundedPreceding, -1))
     place = F.sum(framed.cast("int")).over(by_capture) - 1
     # p1 is checked in full before p2 is read

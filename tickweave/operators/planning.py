@@ -5,26 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _numbered(rows: DataFrame, *order) -> DataFrame:
-    """rn, from 0, in a total order, without gathering rows in one task.
-
-    Rows are range-partitioned and sorted; a partition's first number is the count of those before it. Only
-    the counts, one for each partition, are added up together.
-    """
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    w = Window.partitionBy("__part").orderBy(*order)
-    local = sorted_rows.withColumn("__k", F.row_number().over(w) - 1)
-    sizes = local.groupBy("__part").count()
-    before = F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return local.join(F.broadcast(sizes.select("__part", before.alias("__base"))), "__part").withColumn("rn", F.col("__base") + F.col("__k")).drop("__part", "__k", "__base")
+from .numbering import numbered
 
 
 def stride_shard(rows: DataFrame, index: int, count: int, *order) -> DataFrame:
     """Every count-th row of the sorted rows from index on, with rn, its place in the whole."""
     if not 0 <= index < count:
         raise ValueError(f"shard {index} of {count}")
-    return _numbered(rows, *order).where(F.col("rn") % count == index)
+    return numbered(rows, *order).where(F.col("rn") % count == index)
 
 
 def work_list(replays: DataFrame, attempts: DataFrame, index: int, count: int, limit: int | None, key: str = "replay_id") -> DataFrame:

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def contiguous_runs(rows: DataFrame, value: str, keys: list[str] | None = None, order: str | None = None) -> DataFrame:
     """start and length of each maximal run in which every value is one more than the value before.
 
-    In the given order (the value's own without one), by keys. Without keys the break flags are counted
-    by ranges of the value first, so no task sees all rows.
+    In the given order (the value's own without one), by keys. Without keys or order, values are distinct
+    and no task sees all rows.
     """
     keys = keys or []
     if not keys and order is None:
-        # A value starts a run if its predecessor is missing, and ends one if its successor is; with distinct
-        # values the i-th start belongs to the i-th end, found as the nearest end by a range-partitioned sort.
+        # A value starts a run if its predecessor is missing, and ends one if its successor is: with distinct
+        # values, the i-th start belongs to the i-th end.
         v = rows.select(F.col(value).alias("v")).distinct()
-        starts = v.join(v.select((F.col("v") + 1).alias("v")), "v", "left_anti").select(F.col("v").alias("at"), F.lit(1).alias("s"))
-        ends = v.join(v.select((F.col("v") - 1).alias("v")), "v", "left_anti").select(F.col("v").alias("at"), F.lit(0).alias("s"))
-        edges = starts.unionByName(ends)  # few: two for each run
-        w = Window.orderBy("at", F.desc("s"))
-        paired = edges.withColumn("end", F.lead("at").over(w)).where("s = 1")
-        return paired.select(F.col("at").alias("start"), (F.col("end") - F.col("at") + 1).alias("length"))
+        starts = v.join(v.select((F.col("v") + 1).alias("v")), "v", "left_anti")
+        ends = v.join(v.select((F.col("v") - 1).alias("v")), "v", "left_anti")
+        paired = numbered(starts.select(F.col("v").alias("start")), "start").join(numbered(ends.select(F.col("v").alias("end")), "end"), "rn")
+        return paired.select("start", (F.col("end") - F.col("start") + 1).alias("length"))
     w = Window.partitionBy(*keys).orderBy(order or value)
     breaks = F.coalesce((F.col(value) != F.lag(value).over(w) + 1).cast("int"), F.lit(0))
     run = F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))
