@@ -63,10 +63,11 @@ def usable(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & good & F.exists(v, lambda c: c != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 16, probes: int = 64, least: int = 2000, block: int = 8192, seed: int = 7) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 16, probes: int = 64, least: int = 8000, block: int = 8192, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row of (vec_id, embedding).
 
-    tables, probes and least trade work for recall; block bounds the rows that a task holds of a bucket.
+    tables, probes and least (candidates looked at, those met in several tables counted each time) trade work
+    for recall; block bounds the rows that a task holds of a bucket.
     The bucket counts that guide probing are at most tables x 2 x width rows and are broadcast.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
@@ -107,7 +108,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 16,
                 size = np.array([[held.get((t, b), 0) for b in range(width)] for t in range(tables)]).ravel()
                 order = np.argsort(-sides.reshape(len(part), -1), axis=1, kind="stable")
                 seen = np.cumsum(size[order], axis=1)
-                taken = (np.arange(order.shape[1])[None, :] < probes) | (seen - size[order] < least * tables // 4)
+                taken = (np.arange(order.shape[1])[None, :] < probes) | (seen - size[order] < least)
                 taken &= size[order] > 0
                 q, at = np.nonzero(taken)
                 key = order[q, at]

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import materialize, shared_dir  # noqa: F401
+
 #: Words are runs of anything but these ASCII white-space characters.
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 
@@ -17,29 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one in tests."""
-    sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not where:
-        where = sc.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="tickweave-")
-        sc.setCheckpointDir(where)
-    return where
-
-
-def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back.
-
-    What follows starts from these files, so a lost executor costs only the tasks that it ran.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tickweave-{uuid.uuid4().hex}"
-    (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo mod; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod))
