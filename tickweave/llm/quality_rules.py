@@ -56,7 +56,7 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source
     return out.select(*(c for c in out.columns if c != "__p"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-#: Name, share as integer bins of the measures, sides that are tested, least quartile range in bins.
+#: Name, share as integer bins of the measures, least quartile range in bins.
 RULES = (
     ("symbols", "least({b}, ({b} * n_symbols) div greatest(word_chars, 1))", 25),
     ("dup_lines", "({b} * n_dup_lines) div greatest(n_lines, 1)", 110),
@@ -95,7 +95,7 @@ def thresholds(measured: DataFrame, times: float = 3.0, least_rows: int = 100) -
         spread = F.greatest(F.col("q3") - F.col("q1"), least) * F.lit(times)
         return q.select(*keys, F.col("rule"), F.col("rows").alias(f"rows{suffix}"), (F.col("q1") - spread).alias(f"low{suffix}"), (F.col("q3") + spread).alias(f"high{suffix}"))
 
-    groups = measured.select("lang", "source").distinct().crossJoin(F.broadcast(measured.sparkSession.createDataFrame([(name,) for name, _, _ in RULES], "rule string")))
+    groups = measured.select("lang", "source").distinct().select("lang", "source", F.explode(F.array(*(F.lit(name) for name, _, _ in RULES))).alias("rule"))
     by_group, by_lang, by_all = fences(sketch, ["lang", "source"], "1"), fences(sketch, ["lang"], "2"), fences(sketch, [], "3")
     g, two, three = groups.alias("g"), by_group.alias("a"), by_lang.alias("b")
     joined = g.join(two, F.expr("g.lang <=> a.lang AND g.source <=> a.source AND g.rule = a.rule"), "left")
