@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .functions import bits, scalars
 from .operators import catalog, integrity, planning, replays, segments
 from .plans import replay_tables
+from .schemas import STAGES
 from .sources import captures, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -336,6 +337,68 @@ def footage(spark, sf_dir):
     return catalog.footage(attempts, sizes).select("worker", "hours", "video_bytes", "budget")
 
 
+@_query("""SELECT source AS root, CAST(doc_id AS VARCHAR) AS rel FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
+def ship_delta(spark, sf_dir):
+    docs, labels = _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    named = docs.select("doc_id", F.col("source").alias("root"), F.col("doc_id").cast("string").alias("rel"))
+    return planning.not_shipped(named.drop("doc_id"), named.join(labels, "doc_id", "left_semi"))
+
+
+@_query("""SELECT source AS root, count(*) AS captures, CAST(sum(doc_id % 100) AS BIGINT) AS total_frames, CAST(sum(n_chars) AS BIGINT) AS total_bytes FROM documents GROUP BY source""")
+def captures_by_root(spark, sf_dir):
+    rows = _t(spark, sf_dir, "documents").select(F.col("source").alias("root"), (F.col("doc_id") % 100).alias("frames"), F.col("n_chars").alias("bytes"))
+    return catalog.by_root(rows)
+
+
+@_query("""SELECT o_orderkey AS replay_id FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0""")
+def usable_captures(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    attempts = o.select(F.col("o_orderkey").alias("replay_id"), F.when(F.col("o_orderstatus") == "F", "ok").alias("status"), F.concat(F.lit("v"), "o_orderkey").alias("video"), F.concat(F.lit("c"), "o_orderkey").alias("csv"))
+    files = o.where("o_orderkey % 3 != 0").select(F.concat(F.lit("v"), "o_orderkey").alias("path")).unionByName(o.where("o_orderkey % 5 != 0").select(F.concat(F.lit("c"), "o_orderkey").alias("path")))
+    return planning.with_artefacts(attempts, files).select("replay_id")
+
+
+@_query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS rn FROM lineitem)
+SELECT l_orderkey AS id, l_partkey, l_suppkey FROM r WHERE rn = 1 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') AND NOT (l_returnflag = 'R') AND least(l_quantity, 25) >= 10""")
+def listing_dedup(spark, sf_dir):
+    line, seen = _t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
+    first = planning.keep_first(line.withColumn("id", F.col("l_orderkey")), "id", "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").join(seen, "id", "left_anti")
+    flagged = first.select("id", "l_partkey", "l_suppkey", (F.col("l_returnflag") == "R").alias("mountainVaporBug"), F.lit(False).alias("unranked"), F.col("l_quantity").alias("serverUserElo"), F.lit(25.0).alias("clientUserElo"))
+    return flagged.where(planning.unusable_reason(False, 10.0).isNull()).select("id", "l_partkey", "l_suppkey")
+
+
+@_query("""SELECT p_partkey, coalesce(CAST(nullif(regexp_extract(p_brand, '([0-9]+)', 1), '') AS BIGINT), -1) AS number, concat('0x', upper(printf('%04x', p_size)), ',0x', upper(printf('%04x', p_size * 7))) AS deck,
+CASE p_size % 22 WHEN 0 THEN 'Hakurei Shrine' WHEN 4 THEN 'Netherworld' WHEN 20 THEN 'Unknown(20)' ELSE 'other' END AS stage, regexp_replace(concat(p_brand, '-0a1b2c3d'), '-[^-]*$', '') AS stem,
+printf('%s-%04d.tar', p_brand, p_size) AS shard, CAST(p_size AS INTEGER) AS shard_number, CASE WHEN p_size % 3 = 0 THEN 0 WHEN p_size % 9 = 7 THEN 7 ELSE 3 END AS mode, CASE WHEN p_size > 25 THEN 'e1; e2' END AS errors FROM part""")
+def scalar_names(spark, sf_dir):
+    size = F.col("p_size")
+    stage = scalars.name_of(size % 22, STAGES)
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey", scalars.first_number(F.col("p_brand")).alias("number"), scalars.deck_text(F.array(size, size * 7)).alias("deck"),
+        F.when(stage.isin("Hakurei Shrine", "Netherworld", "Unknown(20)"), stage).otherwise("other").alias("stage"),
+        scalars.stem_of_capture(F.concat("p_brand", F.lit("-0a1b2c3d"))).alias("stem"), scalars.shard_name(F.col("p_brand"), size).alias("shard"),
+        scalars.shard_index(scalars.shard_name(F.col("p_brand"), size)).alias("shard_number"),
+        scalars.replay_mode(F.when(size % 3 == 0, 0).when(size % 9 == 7, 7).otherwise(1)).alias("mode"),
+        scalars.error_text(F.when(size > 25, F.array(F.lit("e1"), F.lit("e2"))).otherwise(F.array().cast("array<string>"))).alias("errors"),
+    )
+
+
+@_query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'timeout' ELSE 'failed' END WHEN o_orderkey % 3 = 1 THEN 'ok' ELSE 'failed' END AS status,
+CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey ELSE 0 END AS frames FROM orders""")
+def run_status(spark, sf_dir):
+    k = F.col("o_orderkey")
+    text = F.when(k % 3 == 1, F.concat(F.lit('{"status":"ok","frames":'), k.cast("string"), F.lit("}"))).when(k % 3 == 2, "{torn")
+    runs = _t(spark, sf_dir, "orders").select("o_orderkey", text.alias("status_text"), F.when(k % 2 == 0, "timeout").otherwise("exit").alias("exit_reason"), F.lit(1).alias("exit_code"))
+    return captures.run_status(runs).select("o_orderkey", "status", "frames")
+
+
+@_query("""SELECT CAST(max(p_size) + 1 AS INTEGER) AS index FROM part WHERE p_brand = (SELECT min(p_brand) FROM part)""")
+def next_shard(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    host = part.agg(F.min("p_brand")).first()[0]
+    return planning.next_shard(part.select(scalars.shard_name(F.col("p_brand"), F.col("p_size")).alias("name")), host)
+
+
 def _frame_texts(spark, sf_dir) -> DataFrame:
     """A frame table's text for each user: ticks from k, masks beyond range where k is 64 and more."""
     line = F.concat_ws(",", (F.col("i") - 1).cast("string"), F.col("k").cast("string"), (F.col("k") * 16).cast("string"), (F.col("event_id") % 3).cast("string"))

@@ -111,6 +111,11 @@ def host_audit(attempts: DataFrame, sizes: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b), (totals, failed, unique, dup, sync, mask))  # one row each
 
 
+def by_root(captures: DataFrame) -> DataFrame:
+    """Number, frames and bytes of the captures below each root."""
+    return captures.groupBy("root").agg(F.count("*").alias("captures"), F.sum("frames").alias("total_frames"), F.sum("bytes").alias("total_bytes"))
+
+
 def matchups(replays: DataFrame, a: str, b: str, a_name: str, b_name: str) -> DataFrame:
     """How often each pair of characters met."""
     return replays.groupBy(a, b).agg(F.min(a_name).alias("a_name"), F.min(b_name).alias("b_name"), F.count("*").alias("n"))

@@ -57,11 +57,27 @@ def new_listings(pages: DataFrame, index: DataFrame, have: DataFrame, count: int
     return without_names(fresh.orderBy("page", "n").limit(left))
 
 
+def with_artefacts(attempts: DataFrame, files: DataFrame) -> DataFrame:
+    """Good attempts whose video and frame table are both among the files (path)."""
+    good = attempts.where("status = 'ok'")
+    for kind in ("video", "csv"):
+        good = good.join(files.select(F.col("path").alias(kind)), kind, "left_semi")
+    return good
+
+
 def newest(attempts: DataFrame, n: int, *order) -> DataFrame:
-    """The n newest good captures with both artefacts."""
+    """The first n attempts in an order that puts new ones first."""
     return attempts.orderBy(*order).limit(n)
 
 
+def next_shard(names: DataFrame, host: str) -> DataFrame:
+    """One row, index: one more than the largest of the host's shard names (name), 0 without any."""
+    from ..functions.scalars import shard_index
+
+    own = names.where(F.regexp_replace("name", r"-\d+(\.tar)?$", "") == host)
+    return own.agg((F.coalesce(F.max(shard_index(F.col("name"))), F.lit(-1)) + 1).alias("index"))
+
+
 def not_shipped(captures: DataFrame, shipped: DataFrame) -> DataFrame:
     """Captures (root, rel, ...) that aren't in the upload state."""
     return captures.join(shipped.select("root", "rel"), ["root", "rel"], "left_anti")
