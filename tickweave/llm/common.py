@@ -96,3 +96,13 @@ def slices_of(batch, column: str, most: int):
         total += size
     if batch.num_rows > start:
         yield batch.slice(start)
+
+
+def set_apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """doc_id, text and all columns under names that nothing else uses, and these names in order."""
+    own = [f"__{i}" for i in range(len(docs.columns))]
+    return docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, own, strict=True))), own
+
+
+def put_back(rows: DataFrame, docs: DataFrame, own: list[str]) -> DataFrame:
+    return rows.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, own, strict=True)))

@@ -123,6 +123,5 @@ def op10_compression_quality(spark, sf_dir: str) -> DataFrame:
 def reject_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is one half or more, with their columns."""
     model = fit(docs, common.table(spark, sf_dir, "labels"))
-    names = docs.columns
-    scored = measure(docs.withColumn("__text", F.col("text")), model, keep=tuple("__text" if c == "text" else c for c in names))
-    return scored.where("score >= 0.5").select(*(F.col("__text").alias("text") if c == "text" else F.col(c) for c in names))
+    apart, own = common.set_apart(docs)
+    return common.put_back(measure(apart, model, keep=tuple(own)).where("score >= 0.5"), docs, own)
