@@ -75,6 +75,9 @@ def _near(docs: DataFrame, places: DataFrame, entries: DataFrame, min_words: int
 
     each = chosen.select("place", "norm", "words", F.explode(F.sequence(F.lit(-1), F.col("words") - 1)).alias("i"))
     keys = common.materialize(each.select("place", "i", F.xxhash64(_without(F.col("norm"), F.col("words"), F.col("i"))).alias("key")))
+    # nearly all keys are met once; only the others have places that need sorting
+    met_again = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    keys = common.materialize(keys.join(met_again, "key", "left_semi"))
     replaced = keys.where("i >= 0").groupBy("key", "i").agg(F.min("place").alias("of"), F.count("*").alias("c")).where("c > 1").drop("c")
     by_replacing = keys.where("i >= 0").join(replaced, ["key", "i"]).where("of < place").select("place", "i", "of", F.col("i").alias("of_i"))
     ends = keys.groupBy("key").agg(F.min(F.when(F.col("i") < 0, F.col("place"))).alias("short"), F.min(F.when(F.col("i") >= 0, F.struct("place", "i"))).alias("long"))
