@@ -79,15 +79,29 @@ def fingerprints(docs: DataFrame, width: int = 3, second: bool = False) -> DataF
                 longs = [pa.array(np.array(m, dtype=np.uint64).view(np.int64)) for m in made[: 1 + second]]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *longs], names=["doc_id", "fp", "x"][: 2 + second])
 
+    common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", "text")
     return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long" + ", x long" * second)
 
 
-def block_masks(bits: int, blocks: int) -> list[int]:
-    """A mask for every choice of blocks - bits of the blocks that 64 bits are cut into."""
+Masks = list[tuple[int, int]]
+
+
+def block_masks(bits: int, blocks: int) -> Masks:
+    """Masks of fp for every choice of blocks - bits of the blocks that it is cut into; none of x."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     one = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
-    return [sum(c) for c in itertools.combinations(one, blocks - bits)]
+    return [(sum(c), 0) for c in itertools.combinations(one, blocks - bits)]
+
+
+def permuted_masks(permutations: int, blocks: int, seed: int = 5) -> Masks:
+    """Masks of fp and x for each of the blocks that each of some permutations of all 128 bits is cut into."""
+    rng, out = np.random.default_rng(seed), []
+    for _ in range(permutations):
+        for block in np.array_split(rng.permutation(128), blocks):
+            mask = sum(1 << int(b) for b in block)
+            out.append((mask & (1 << 64) - 1, mask >> 64))
+    return out
 
 
 def _signed(x: int) -> int:
@@ -128,33 +142,32 @@ def _forest(limit: int):
     return run
 
 
-def links(nodes: DataFrame, bits: int = 3, blocks: int = 6, limit: int | None = None, few: int = 24, chunk: int = 4096) -> DataFrame:
+def links(nodes: DataFrame, tables: Masks, limit: int, few: int = 8, chunk: int = 4096) -> DataFrame:
     """(a, b) edges between the ids of nodes (id, fp, x) whose closure is that of all linked pairs.
 
-    Pairs are linked if they share a key of fp and their fp and x differ in limit bits or fewer; all whose
-    fp differ in bits bits or fewer share one. limit is bits without a value, as it is with x constant.
-    few: the most nodes of a key that are joined in pairs; chunk: the nodes of a part of a key with more.
-    Every edge is verified. Work within a hot key grows with its square, spread over tasks of 2 x chunk
-    rows; rows that leave a task are at most their number.
+    Pairs are linked if their fp and x agree under one of the masks and differ in limit bits or fewer. Keys
+    that the same nodes share count once. few: the most nodes of a key that are joined in pairs; chunk: the
+    nodes of a part of a key with more. Every edge is verified. Work within a hot key grows with its
+    square, spread over tasks of 2 x chunk rows; rows that leave a task are at most their number.
     """
-    limit = bits if limit is None else limit
-    masks = block_masks(bits, blocks)
-    tables = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m")) for t, m in enumerate(masks)))
-    keyed = nodes.select("id", "fp", "x", F.explode(tables).alias("k")).select("id", "fp", "x", F.col("k.t").alias("t"), F.col("fp").bitwiseAND(F.col("k.m")).alias("key"))
-    shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = common.materialize(keyed.join(shared, ["t", "key"]))
-    small = members.where(F.col("n") <= few)
-    pairs = (
-        small.alias("l")
-        .join(small.alias("r"), F.expr("l.t = r.t AND l.key = r.key AND l.id < r.id") & (_distance("l", "r") <= limit))
-        .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    )
+    masks = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m"), F.lit(_signed(n)).alias("n")) for t, (m, n) in enumerate(tables)))
+    keyed = nodes.select("id", "fp", "x", F.explode(masks).alias("k"))
+    keyed = keyed.select("id", F.xxhash64("k.t", F.col("fp").bitwiseAND(F.col("k.m")), F.col("x").bitwiseAND(F.col("k.n"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = common.materialize(keyed.join(shared, "key", "left_semi"))
+    marks = [F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("g")]
+    sets = common.materialize(members.groupBy("key").agg(*marks).groupBy("n", "a", "b", "h", "g").agg(F.min("key").alias("key")).drop("h", "g"))
+    full = members.join(sets.where("n > 2").select("key", "n"), "key").join(nodes, "id")
+    small = full.where(F.col("n") <= few)
+    pairs = small.alias("l").join(small.alias("r"), F.expr("l.key = r.key AND l.id < r.id") & (_distance("l", "r") <= limit)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    left, right = (nodes.select(F.col("id").alias(c), F.struct("fp", "x").alias(s)) for c, s in (("a", "l"), ("b", "r")))
+    twos = sets.where("n = 2").select("a", "b").join(left, "a").join(right, "b").where(_distance("l", "r") <= limit).select("a", "b")
     parts = F.ceil(F.col("n") / chunk).cast("int")
-    large = members.where(F.col("n") > few).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    large = full.where(F.col("n") > few).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     large = large.withColumn("lo", F.least("c", "other")).withColumn("hi", F.greatest("c", "other"))
-    forest = large.groupBy("t", "key", "lo", "hi").applyInPandas(_forest(limit), "a long, b long")
-    return pairs.unionByName(forest).distinct()
+    forest = large.groupBy("key", "lo", "hi").applyInPandas(_forest(limit), "a long, b long")
+    return twos.unionByName(pairs).unionByName(forest).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -186,7 +199,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, blocks: int
     """doc_id, fp and component_id of every row of docs."""
     fps = common.materialize(fingerprints(docs, width))
     nodes = common.materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(nodes.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("x")), bits, blocks))
+    roots = components(links(nodes.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("x")), block_masks(bits, blocks), bits))
     grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = grouped.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
@@ -198,17 +211,19 @@ def op7_simhash(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, bits: int = 6, blocks: int = 9, limit: int = 20) -> DataFrame:
+def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, permutations: int = 32, blocks: int = 4, limit: int = 20) -> DataFrame:
     """Of each group of near-duplicates the row with the smallest doc_id, one if rows repeat it; with all columns.
 
     Shingles of five words. Texts whose shingles have a Jaccard similarity of 0.8 have an angle that sets
-    them apart in 15 % of bits. Blocks of 64 bits find the pairs (for certain those at most `bits` apart, and
-    most of those up to twice as far), and 64 more bits from other hashes verify them: pairs are linked
-    at up to `limit` of all 128 bits. Rows with a null doc_id can't be named as the one of a group, and stay.
+    them apart in 15 % of bits, so pairs are linked at up to `limit` of 128 bits (two fingerprints from
+    different hashes). The bits are cut into blocks under several permutations: every permutation finds
+    all pairs under `blocks` bits apart, and most pairs up to the limit share a block of one of them. Blocks
+    of 32 bits hold few texts by chance; for over 10^10 texts, fewer and longer ones are better. Rows with
+    a null doc_id can't be named as the one of a group, and stay.
     """
     fps = common.materialize(fingerprints(docs.where(F.col("doc_id").isNotNull()), width, second=True))
     nodes = common.materialize(fps.groupBy("fp", "x").agg(F.min("doc_id").cast("long").alias("id")))
-    roots = components(links(nodes, bits, blocks, limit))
+    roots = components(links(nodes, permuted_masks(permutations, blocks), limit))
     # a component's root is its smallest id; of all other nodes the first document is their smallest
     first = nodes.join(roots.where("node != root"), nodes.id == roots.node, "left_anti").select(F.col("id").alias("__id"))
     kept = docs.join(first, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
