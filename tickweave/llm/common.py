@@ -98,11 +98,13 @@ def slices_of(batch, column: str, most: int):
         yield batch.slice(start)
 
 
-def set_apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """doc_id, text and all columns under names that nothing else uses, and these names in order."""
-    own = [f"__{i}" for i in range(len(docs.columns))]
-    return docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, own, strict=True))), own
+#: Rows of an Arrow batch: texts are long, and an executor holds several batches for each of its tasks.
+BATCH_ROWS = 2500
 
 
-def put_back(rows: DataFrame, docs: DataFrame, own: list[str]) -> DataFrame:
-    return rows.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, own, strict=True)))
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers spark.sql.execution.arrow.maxRecordsPerBatch of the session to BATCH_ROWS, if it is higher or unbounded."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))

@@ -93,16 +93,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Compressio
     return model if beta is None else CompressionModel(model.good, model.bad, tuple(float(b) for b in beta))
 
 
+def _scores(model: CompressionModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    x = np.array([model.features(t or "") for t in texts.to_pylist()]).reshape(-1, 3)
+    return x, common.sigmoid(x @ np.array(model.beta[:3]) + model.beta[3])
+
+
 def measure(docs: DataFrame, model: CompressionModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the kept columns, the three features and the score of every row."""
+    common.bound_batches(docs.sparkSession)
     columns = ["doc_id", *(c for c in keep if c != "doc_id"), "text"]
     kept = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
-                x = np.array([model.features(t or "") for t in part.column("text").to_pylist()]).reshape(-1, 3)
-                p = common.sigmoid(x @ np.array(model.beta[:3]) + model.beta[3])
+                x, p = _scores(model, part.column("text"))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns[:-1]), *(pa.array(v, pa.float64()) for v in (*x.T, p))], names=[*columns[:-1], "diff", "plain", "relative", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("text").schema)
@@ -123,5 +128,11 @@ def op10_compression_quality(spark, sf_dir: str) -> DataFrame:
 def reject_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is one half or more, with their columns."""
     model = fit(docs, common.table(spark, sf_dir, "labels"))
-    apart, own = common.set_apart(docs)
-    return common.put_back(measure(apart, model, keep=tuple(own)).where("score >= 0.5"), docs, own)
+    common.bound_batches(spark)
+
+    @F.arrow_udf("double")  # the other columns stay in the JVM
+    def good(texts: pa.Array) -> pa.Array:
+        parts = [_scores(model, texts.slice(i, 256))[1] for i in range(0, len(texts), 256)]
+        return pa.array(np.concatenate(parts) if parts else [], pa.float64())
+
+    return docs.withColumn("__score", good("text")).where("__score >= 0.5").drop("__score")

@@ -191,24 +191,28 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_stems: in
     return model if beta is None else ToxicityModel(weights, beta=tuple(float(b) for b in beta))
 
 
+def _scores(model: ToxicityModel, texts: pa.Array) -> tuple[list[tuple[int, float, int]], np.ndarray]:
+    found = [model.hits(t or "") for t in texts.to_pylist()]
+    x = np.array([model.features(w, n) for _, w, n in found]).reshape(-1, 2)
+    return found, common.sigmoid(x @ np.array(model.beta[:2]) + model.beta[2])
+
+
 def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the kept columns, n_hits, weight, n_words and score of every row."""
+    common.bound_batches(docs.sparkSession)
     columns = ["doc_id", *(c for c in keep if c != "doc_id"), "text"]
     kept = docs.select(*columns)
-    shape = kept.drop("text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
-                found = [model.hits(t or "") for t in part.column("text").to_pylist()]
-                x = np.array([model.features(w, n) for _, w, n in found]).reshape(-1, 2)
-                p = common.sigmoid(x @ np.array(model.beta[:2]) + model.beta[2])
+                found, p = _scores(model, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in columns[:-1]), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64()), pa.array(p, pa.float64())],
                     names=[*columns[:-1], "n_hits", "weight", "n_words", "score"],
                 )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("text").schema)
     return kept.mapInArrow(run, f"{schema}, n_hits long, weight double, n_words long, score double")
 
 
@@ -228,5 +232,11 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
 def reject_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is under one half, with their columns."""
     model = fit(docs, common.table(spark, sf_dir, "labels"))
-    apart, own = common.set_apart(docs)
-    return common.put_back(score(apart, model, keep=tuple(own)).where("score < 0.5"), docs, own)
+    common.bound_batches(spark)
+
+    @F.arrow_udf("double")  # the other columns stay in the JVM
+    def toxic(texts: pa.Array) -> pa.Array:
+        parts = [_scores(model, texts.slice(i, 256))[1] for i in range(0, len(texts), 256)]
+        return pa.array(np.concatenate(parts) if parts else [], pa.float64())
+
+    return docs.withColumn("__score", toxic("text")).where("__score < 0.5").drop("__score")
