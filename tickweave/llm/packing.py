@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import common
 
 CAPACITY, END_ID = 4096, 2
-MEMO = 600_000
+MEMO = 150_000
 
 
 class WordMerges:
@@ -235,7 +235,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(path)
         for batch in batches:
-            for part in common.slices_of(batch, "text", 8_000_000):
+            pa.default_memory_pool().release_unused()
+            for part in common.slices_of(batch, "text", 2_500_000):
                 rows = []
                 encoded = tok.encode([t or "" for t in part.column("text").to_pylist()])
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
@@ -255,6 +256,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "crcs"],
                 )
 
+    common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", "text")
     kind = kept.schema["doc_id"].dataType.simpleString()
     return kept.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, crcs array<long>")
