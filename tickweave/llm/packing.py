@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 from . import common
 
 CAPACITY, END_ID = 4096, 2
-MEMO = 150_000
+#: Words that a Python worker keeps the ids of, and bytes of text that it encodes at a time.
+MEMO, SLICE_BYTES = 600_000, 8_000_000
+#: The same where workers share their executor with those of other stages.
+SMALL_MEMO, SMALL_SLICE_BYTES = 150_000, 2_500_000
 
 
 class WordMerges:
@@ -136,6 +139,7 @@ class Encoder:
         self.word = regex.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
         self.controls = regex.compile("[\x1c-\x1f]")
         self.memo: dict[str, bytes] = {}
+        self.most = MEMO
 
     def _learn(self, new: list[str]) -> None:
         if not new:
@@ -186,7 +190,7 @@ class Encoder:
             yield ids[x:y].tobytes()
 
     def _ids(self, seen: list[str], plain: bool) -> dict[str, bytes]:
-        if len(self.memo) > MEMO:
+        if len(self.memo) > self.most:
             self.memo.clear()
         memo, near, new = self.memo, {}, set()
         stems, others, find, normal = [], [], self.parts.findall, self.tokenizer.normalizer.normalize_str
@@ -227,16 +231,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, memo: int = MEMO, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, and of shorter pieces the checksums of its powers of two."""
     end = np.array([END_ID], dtype="<u4").tobytes()
     sizes = [1 << k for k in range(capacity.bit_length() - 1, -1, -1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(path)
+        tok.most = memo
         for batch in batches:
             pa.default_memory_pool().release_unused()
-            for part in common.slices_of(batch, "text", 2_500_000):
+            for part in common.slices_of(batch, "text", slice_bytes):
                 rows = []
                 encoded = tok.encode([t or "" for t in part.column("text").to_pylist()])
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
@@ -256,7 +261,6 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "crcs"],
                 )
 
-    common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", "text")
     kind = kept.schema["doc_id"].dataType.simpleString()
     return kept.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, crcs array<long>")
@@ -345,14 +349,14 @@ def _placed(ranked: DataFrame, patterns: list, base: int) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = 16, rows_per_bucket: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = 16, rows_per_bucket: int = 20_000, memo: int = MEMO, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece.
 
-    capacity must be a power of two. The counts by length, at most capacity of them, come to the driver.
+    capacity must be a power of two. memo and slice_bytes trade a worker's memory for time. The counts by length, at most capacity of them, come to the driver.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    cut = common.materialize(pieces(docs, path, capacity))
+    cut = common.materialize(pieces(docs, path, capacity, memo, slice_bytes))
     counts = {int(r["length"]): int(r["count"]) for r in cut.groupBy("length").count().collect()}
     patterns = plan(counts, capacity, slack)
     used = sum(times for times, _, _ in patterns)
@@ -401,4 +405,5 @@ def op9_packing(spark, sf_dir: str) -> DataFrame:
 
 def pack_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left, as pieces in sequences of at most 4096 ids."""
-    return pack(docs, tokenizer_path())
+    common.bound_batches(spark)
+    return pack(docs, tokenizer_path(), memo=SMALL_MEMO, slice_bytes=SMALL_SLICE_BYTES)
