@@ -103,6 +103,41 @@ def test_near_dedup_finds_edited_copies(spark):
     assert len(copies & kept) <= 0.05 * len(copies)
 
 
+def test_near_dedup_finds_isolated_pairs(spark):
+    rng = random.Random(8)
+    texts, want, alike = [], set(), 0
+    for g in range(120):
+        w = [f"w{rng.randrange(9**9)}" for _ in range(304)]
+        v = list(w)
+        for at in rng.sample(range(5, 299, 10), 6 if g % 2 else 10):  # no shingle holds two: Jaccard 270 / 330 or 250 / 350
+            v[at] = f"v{rng.randrange(9**9)}"
+        a, b = ({tuple(x[i : i + 5]) for i in range(300)} for x in (w, v))
+        if len(a & b) >= 0.8 * len(a | b):
+            alike += 1
+            want.add(2 * g + 1)
+        texts += [" ".join(w), " ".join(v)]
+    gone = set(range(len(texts))) - {r["doc_id"] for r in simhash.drop_near_duplicates(spark, docs(spark, texts), "").collect()}
+    assert alike == 60 and gone <= want and len(gone) >= 0.98 * alike
+
+
+def test_similar_pairs_of_hot_keys(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(9**9)}" for _ in range(120)]
+    texts = []
+    for k in range(60):
+        w = list(base)
+        for at in rng.sample(range(120), k % 3):
+            w[at] = f"v{rng.randrange(9**9)}"
+        texts.append(" ".join([*w, *(["tail"] * 9 if k % 7 == 0 else [])]))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    nodes = simhash._sketches(simhash._rows(docs(spark, texts)), 5, 24, 6).selectExpr("struct(doc, row) AS id", "n", "keys", "sig")
+    close = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    pairs = [(r["a"]["doc"], r["b"]["doc"]) for r in simhash.similar_pairs(nodes, 0.8, few=4, chunk=16).collect()]
+    found = {tuple(sorted(p)) for p in pairs if close(*p)}
+    got, want = (_components(range(60), lambda a, b: f(a, b)) for f in (lambda a, b: (a, b) in found, close))
+    assert got == want
+
+
 def _alike(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
