@@ -120,6 +120,12 @@ def test_near_dedup_finds_isolated_pairs(spark):
     assert alike == 60 and gone <= want and len(gone) >= 0.98 * alike
 
 
+def test_near_dedup_keeps_other_texts_of_a_repeated_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    rows = docs(spark, [texts[0], texts[1], texts[1], texts[1], texts[2]], ids=[1, 1, 1, 5, 6])
+    assert sorted((r["doc_id"], r["text"][0]) for r in simhash.drop_near_duplicates(spark, rows, "").collect()) == [(1, "a"), (1, "b"), (6, "c")]
+
+
 def test_similar_pairs_of_hot_keys(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(9**9)}" for _ in range(120)]
