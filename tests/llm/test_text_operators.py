@@ -59,6 +59,12 @@ def test_license_labels_match_brute_force(spark):
         assert r["score"] == max([0.9 if base else 0.0, *(d[5] for d in kept)])
 
 
+def test_license_rules_see_every_text(spark):
+    forms = {"Apache 2.0": "apache-2", "Mozilla Public 2.0": "mpl-2", "Boost Software v1.0": "bsl-1", "CC0 1.0 Universal": "cc0", "proprietary and confidential": "proprietary", "All rights\nreserved": "all-rights-reserved", "in the public\ndomain": "public-domain", "licensed under the Expat license": "mit", "plain words": ""}
+    got = {r["doc_id"]: r for r in license_scan.scan(docs(spark, list(forms))).collect()}
+    assert [got[i]["labels"] for i in range(len(forms))] == list(forms.values())
+
+
 def test_contained_detections_go(spark):
     r = license_scan.scan(docs(spark, ["released under the Creative Commons Attribution NonCommercial ShareAlike 4.0 license", "GNU Lesser General Public License version 2.1"])).orderBy("doc_id").collect()
     assert (r[0]["labels"], r[1]["labels"]) == ("cc-by-nc-sa-4.0", "lgpl-2.1")

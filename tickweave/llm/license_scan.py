@@ -1,7 +1,7 @@
 """License scans: ordered signature rules over the words of a text.
 
-A text becomes its lower-cased words joined by single spaces. A cheap test for a few substrings passes
-over texts that hold no notice. For the others each rule's keyword is looked for, and the rules whose
+A text becomes its lower-cased words joined by single spaces. In these each rule's keyword, which every
+match of its pattern holds, is looked for; a text with none of them has no detection. The rules whose
 keyword is there look for their pattern; every match is a detection with its place. Rules have a
 priority: a tag before a full phrase, a phrase before a name. A detection goes if one of the same or a
 better priority contains its interval (of equal intervals the first rule's stays).
@@ -22,12 +22,11 @@ from . import common
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: A text with none of these has no detection and no base phrase.
-GATES = ("licen", "spdx", "copyright", "copyleft", "public domain", "rights reserved", "gpl", "creative")
 
 #: Label, keyword, pattern of the name in words, versions ("" for none).
 FAMILIES = (
-    ("mit", "mit", "(?:expat|mit)", ("",)),
+    ("mit", "mit", "mit", ("",)),
+    ("mit", "expat", "expat", ("",)),
     ("apache", "apache", "apache(?: software)?", ("", "1", "1 1", "2", "2 0")),
     ("bsd", "bsd", "bsd", ("", "2 clause", "3 clause", "4 clause")),
     ("gpl", "general public", "(?:gnu )?general public", ("", "1", "2", "3")),
@@ -143,13 +142,13 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, n_words, the base counts and places, base_labels, labels and score of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     low = F.lower(text)
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | F.contains(F.col("__low"), F.lit(g))
-    gate = gate | (F.contains(F.col("__low"), F.lit("cc")) & F.col("__low").rlike("cc" + GAP + "by"))
     out = docs.select(*keep, text.alias("__t"), low.alias("__low"))
     spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.col("__low"), GAP, " ")), F.lit(" "))
-    out = out.select(*keep, F.regexp_count(F.col("__t"), F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, spaced).alias("words"))
+    out = out.select(*keep, F.regexp_count(F.col("__t"), F.lit(WORD)).cast("long").alias("n_words"), spaced.alias("words"))
+    # the phrases of PHRASES hold keywords as well
+    keywords = sorted({r[4] for r in rules()})
+    hit = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("words"), k))
+    out = out.select(*keep, "n_words", "words", hit.alias("__hit")).withColumn("words", F.when(F.size("__hit") > 0, F.col("words")))
 
     def before(part: Column) -> Column:
         return (F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))).cast("long")
@@ -163,9 +162,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         lasts.append(F.when(back > 0, F.col("n_words") - before(F.substring(backwards, F.lit(1), back - 1)) - len(phrase.split())))
         counts.append(F.coalesce(F.regexp_count(F.col("words"), F.lit(f" {phrase}(?= )")), F.lit(0)).cast("long"))
         labels.append(F.when(at > 0, F.lit(label)))
-    keywords = sorted({r[4] for r in rules()})
-    hit = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("words"), k))
-    out = out.select(*keep, "n_words", "words", sum(counts[1:], counts[0]).alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"), F.array_compact(F.array(*labels)).alias("__base"), F.when(F.col("words").isNotNull(), hit).alias("__hit"))
+    out = out.select(*keep, "n_words", "words", sum(counts[1:], counts[0]).alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"), F.array_compact(F.array(*labels)).alias("__base"), "__hit")
     found = F.expr(f"flatten(transform(filter({_rule_literal()}, r -> array_contains(__hit, r.kw)), r -> {_SPANS}))")
     out = out.select(*keep, "n_words", "n_base", "first_word", "last_word", "__base", F.when(F.size("__hit") > 0, found).alias("found"))
     out = out.select(*keep, "n_words", "n_base", "first_word", "last_word", "__base", F.expr(_KEPT).alias("kept"))
