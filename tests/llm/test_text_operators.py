@@ -99,6 +99,21 @@ def test_quality_thresholds_follow_their_group(spark):
     assert got[0]["kept"] and got[1000]["kept"] and not got[5000]["kept"] and got[5000]["failed"] == "symbols"
 
 
+def test_quality_thresholds_differ_where_spreads_do(spark):
+    def text(i, often):
+        return "\n".join(" ".join(f"w{(i * 31 + k * 7 + j * 101) % 4999}" for k in range(12)) for j in range(20)) + ("\nsame words in a line again" * often)
+
+    rows = [(i, text(i, i % 3), "en", "even") for i in range(120)] + [(1000 + i, text(i, i % 12), "en", "wide") for i in range(120)] + [(2000 + i, text(i, 0), "xx", "few") for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "'x' AS rule", "1 AS bin", "2 AS c", "3 AS salt", "4 AS rows1", "5 AS symbols")
+    limits = {r["source"]: r for r in quality_rules.thresholds(quality_rules.measures(frame)).collect()}
+    assert limits["even"]["repeats_high"] < limits["wide"]["repeats_high"]
+    assert limits["even"]["dup_lines_high"] < limits["wide"]["dup_lines_high"]
+    # a group with few texts has the limits of all, as its language has few too
+    assert limits["few"]["dup_lines_high"] not in (limits["even"]["dup_lines_high"],)
+    one = {tuple(r) for r in quality_rules.judge(frame).collect()}
+    assert one == {tuple(r) for r in quality_rules.judge(frame, few_groups=0).collect()} and len(one) == 245
+
+
 def test_empty_tables(spark):
     none = docs(spark, ["a"]).limit(0)
     assert quality_rules.judge(none).count() == 0

@@ -20,7 +20,7 @@ QUERIES = {
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-#: The rules' shares as integer bins, with the least quartile range of each.
+#: The rules' shares as integer bins, with the lower and upper quantiles in percent and the multiple of each.
 _QUALITY = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 g AS (SELECT r, i, concat_ws(chr(1), w[i], w[i + 1], w[i + 2]) AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
@@ -29,17 +29,18 @@ rep AS (SELECT r, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2))
 m AS (SELECT d.r, doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (r)),
 b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-bins AS (SELECT r, lang, source, base_failed, x.rule, x.bin, x.least FROM (SELECT *, unnest([
-  {{'rule': 'symbols', 'bin': least(1000, 1000 * n_symbols // greatest(word_chars, 1)), 'least': 25}},
-  {{'rule': 'dup_lines', 'bin': 1000 * n_dup_lines // greatest(len(l), 1), 'least': 110}},
-  {{'rule': 'repeats', 'bin': 1000 * n_repeat_words // greatest(n_words, 1), 'least': 100}},
-  {{'rule': 'word_length', 'bin': least(1000, 20 * word_chars // greatest(n_words, 1)), 'least': 20}}]) AS x FROM b)),
-q AS (SELECT rule, lang, source, CASE WHEN grouping(lang) = 1 THEN 3 WHEN grouping(source) = 1 THEN 2 ELSE 1 END AS level, count(*) AS n, any_value(least) AS least,
-  quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM bins WHERE NOT base_failed GROUP BY GROUPING SETS ((rule, lang, source), (rule, lang), (rule))),
-lim AS (SELECT *, q1 - 3 * greatest(q3 - q1, least) AS low, q3 + 3 * greatest(q3 - q1, least) AS high FROM q),
+bins AS (SELECT r, lang, source, base_failed, x.rule, x.bin, x.lo, x.hi, x.times FROM (SELECT *, unnest([
+  {{'rule': 'symbols', 'bin': least(1000, 1000 * n_symbols // greatest(word_chars, 1)), 'lo': 0, 'hi': 90, 'times': 3}},
+  {{'rule': 'dup_lines', 'bin': 1000 * n_dup_lines // greatest(len(l), 1), 'lo': 0, 'hi': 99, 'times': 1}},
+  {{'rule': 'repeats', 'bin': 1000 * n_repeat_words // greatest(n_words, 1), 'lo': 0, 'hi': 99, 'times': 1}},
+  {{'rule': 'word_length', 'bin': least(1000, 20 * word_chars // greatest(n_words, 1)), 'lo': 5, 'hi': 90, 'times': 3}}]) AS x FROM b)),
+s AS (SELECT rule, lang, source, CASE WHEN grouping(lang) = 1 THEN 3 WHEN grouping(source) = 1 THEN 2 ELSE 1 END AS level, count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi, any_value(times) AS times,
+  list_sort(list(bin)) AS a FROM bins WHERE NOT base_failed GROUP BY GROUPING SETS ((rule, lang, source), (rule, lang), (rule))),
+q AS (SELECT *, a[greatest((lo * n + 99) // 100, 1)] AS lower, a[(50 * n + 99) // 100] AS middle, a[(hi * n + 99) // 100] AS upper FROM s),
+lim AS (SELECT *, CASE WHEN lo > 0 THEN lower - times * greatest(middle - lower, 1) ELSE -1 END AS low, upper + times * greatest(upper - middle, 1) AS high FROM q),
 f AS (SELECT bins.r, bins.rule, bin, arg_min(low, CASE WHEN lim.n >= 100 OR level = 3 THEN level ELSE 9 END) AS low, arg_min(high, CASE WHEN lim.n >= 100 OR level = 3 THEN level ELSE 9 END) AS high
   FROM bins JOIN lim ON lim.rule = bins.rule AND (level = 3 OR lim.lang IS NOT DISTINCT FROM bins.lang AND (level = 2 OR lim.source IS NOT DISTINCT FROM bins.source)) GROUP BY ALL),
-v AS (SELECT r, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'dup_lines' THEN 2 WHEN 'repeats' THEN 3 ELSE 4 END) AS failed FROM f WHERE bin > high OR rule = 'word_length' AND bin < low GROUP BY r)
+v AS (SELECT r, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'dup_lines' THEN 2 WHEN 'repeats' THEN 3 ELSE 4 END) AS failed FROM f WHERE bin > high OR bin < low GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept, coalesce(failed, '') AS failed FROM b LEFT JOIN v USING (r)
 """
 
