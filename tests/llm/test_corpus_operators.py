@@ -152,9 +152,9 @@ def _alike(a, b):
     return p + s >= max(len(a), len(b)) - 1
 
 
-def _gone(texts):
+def _gone(texts, min_words=1):
     lines = [(d, n, re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip().split()) for d, t in texts for n, line in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 5]
+    lines = [x for x in lines if len(x[2]) >= min_words]
     out = {}
     for k, (d, n, w) in enumerate(lines):
         for d0, n0, v in lines[:k]:
@@ -187,6 +187,8 @@ def test_line_dedup_matches_brute_force(spark):
     want = _gone(list(enumerate(texts)))
     got = {(r["doc"], r["n"]): (r["of"]["doc"], r["of"]["n"]) for r in line_dedup.duplicate_lines(rows).collect()}
     assert got == want
+    longer = line_dedup.duplicate_lines(rows, min_words=5)
+    assert {(r["doc"], r["n"]): (r["of"]["doc"], r["of"]["n"]) for r in longer.collect()} == _gone(list(enumerate(texts)), 5)
     out = {r["doc_id"]: r for r in line_dedup.drop_duplicate_lines(spark, rows, "").collect()}
     for d, t in enumerate(texts):
         kept = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in want)
@@ -199,6 +201,8 @@ def test_hot_lines(spark):
     rows = docs(spark, [f"the same line of eight words is here {i % 40}" for i in range(400)])
     assert line_dedup.duplicate_lines(rows).count() == 399
     assert line_dedup.duplicate_lines(rows.limit(0)).count() == 0
+    same = docs(spark, ["a line that all share\nand one of its own %d" % (i % 7) for i in range(3000)])
+    assert line_dedup.duplicate_lines(same).count() == 2999 + 2993
 
 
 def test_packing_places_every_id_once(spark):

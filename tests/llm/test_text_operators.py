@@ -96,7 +96,8 @@ def test_quality_thresholds_follow_their_group(spark):
     marked = [" ".join(f"w{(i * 11 + k * 17) % 997}#" for k in range(80)) for i in range(150)]
     rows = [(i, t, "en", "prose") for i, t in enumerate(plain)] + [(1000 + i, t, "en", "tags") for i, t in enumerate(marked)] + [(5000, marked[0], "en", "prose")]
     got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
-    assert got[0]["kept"] and got[1000]["kept"] and not got[5000]["kept"] and got[5000]["failed"] == "symbols"
+    assert got[0]["kept"] and got[1000]["kept"] and not got[5000]["kept"]
+    assert "symbols" in got[5000]["failed"].split(",")  # its words are longer than those of its group as well
 
 
 def test_quality_thresholds_differ_where_spreads_do(spark):

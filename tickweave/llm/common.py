@@ -21,6 +21,23 @@ def id_remainder(doc_id: Column, mod: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over spark.sql.shuffle.partitions tasks: few bytes that become many rows are few bytes to a planner."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def join_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str], copies: str, share: int = 1000) -> DataFrame:
+    """Inner join of rows with groups, which has one row for each key and in copies how many of the rows have that key.
+
+    Groups with more than 1/share of the rows are fewer than share, so these are broadcast and their rows
+    stay where they are; only rows of smaller groups are shuffled by key. Runs a job that counts rows.
+    """
+    most = max(1, rows.count() // share)
+    large = groups.where(F.col(copies) > most).drop(copies)
+    small = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(groups.where(F.col(copies) <= most).drop(copies), keys)
+    return rows.join(F.broadcast(large), keys).unionByName(small)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held_out: int, per_class: int) -> DataFrame:
     """(doc_id, text, label) of at most per_class labelled rows of either class.
 

@@ -3,15 +3,17 @@
 A line's words are its lower-cased runs of anything but ASCII white space. Two lines are alike if their
 words are equal, or one word apart (one replaced, added or left out) where both have edit_words words or
 more. A line goes if a line before it, in the order of (doc_id, place in the text), is alike. Lines of
-fewer than min_words words are always kept.
+fewer than min_words words are always kept; by default those without a word.
 
-Equal lines are one entry with its earliest place. Of lines one word apart, the first or the last half of
+Equal lines are one entry with its earliest place; places that share an entry with over a thousandth of
+all are joined to it by broadcast, as there are fewer than a thousand such entries. Of lines one word apart, the first or the last half of
 the words is equal, so only entries that share a half with another are worked on. These emit, for each
 word, a hashed key of the line without it: lines with one word replaced share a key at the same word, and
 a longer line shares a key with the shorter line itself. The smallest place of a key comes from an
 aggregate, never from pairing its members; then the texts of the two lines are compared.
 
-Null and empty texts have no lines to lose. Rows that repeat a doc_id with another text are ordered by a
+Null and empty texts have no lines to lose, and an empty table has none. Very long texts are cut into
+lines within their row. Only doc_id and text are read, so other columns clash with nothing. Rows that repeat a doc_id with another text are ordered by a
 hash of the text; rows repeated as a whole have the same places and the same lines go. A null doc_id is
 after all others. No document is dropped: a text left without lines is empty.
 """
@@ -41,7 +43,7 @@ def _entries_of(lines: DataFrame, min_words: int) -> DataFrame:
     # only white space that isn't a single space is replaced, so most texts are scanned and not rebuilt
     norm = F.trim(F.regexp_replace(F.lower("line"), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
     lines = _once(lines, [*_PLACE], norm=norm)
-    lines = _once(lines, [*_PLACE, "norm"], words=F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
+    lines = _once(lines.where("norm != ''"), [*_PLACE, "norm"], words=F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     return lines.where(F.col("words") >= min_words).select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("second"), "norm").alias("h2"))
 
 
@@ -93,7 +95,7 @@ def _near(docs: DataFrame, places: DataFrame, entries: DataFrame, min_words: int
     return verified.select("h1", "h2", "of")
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = 5, edit_words: int = 8) -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_words: int = 1, edit_words: int = 8) -> DataFrame:
     """doc, row and n of every line that goes, with of, the place of the earliest line that is alike.
 
     doc is the doc_id, row a hash of the text and n the line's number in it, from 0.
@@ -105,8 +107,10 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, edit_words: int = 8) ->
     places = common.materialize(lines.select(F.struct(*_PLACE).alias("place"), "h1", "h2", halves.alias("halves")))
     entries = common.materialize(places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("copies")))
     near = _near(docs, places, entries, min_words)
-    marked = entries.join(near, ["h1", "h2"], "left").where("copies > 1 OR of IS NOT NULL").select("h1", "h2", "first", "of")
-    return places.drop("halves").join(marked, ["h1", "h2"]).where("first < place OR of IS NOT NULL").select("place.*", F.least("first", F.coalesce("of", "first")).alias("of"))
+    marked = entries.join(near, ["h1", "h2"], "left").where("copies > 1 OR of IS NOT NULL").select("h1", "h2", "first", "of", "copies")
+    marked = common.materialize(marked)
+    found = common.join_to_groups(places.drop("halves"), marked, ["h1", "h2"], "copies")
+    return found.where("first < place OR of IS NOT NULL").select("place.*", F.least("first", F.coalesce("of", "first")).alias("of"))
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

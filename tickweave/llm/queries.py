@@ -46,7 +46,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 _LINES = """
 WITH l AS (SELECT doc_id, unnest(range(len(a))) AS n, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
-k AS (SELECT doc_id, n, norm, string_split(norm, ' ') AS w FROM (SELECT doc_id, n, trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm FROM l) WHERE len(string_split(norm, ' ')) >= 5),
+k AS (SELECT doc_id, n, norm, string_split(norm, ' ') AS w FROM (SELECT doc_id, n, trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm FROM l) WHERE norm <> ''),
 e AS (SELECT norm, any_value(w) AS w, min({'d': doc_id, 'n': n}) AS p FROM k GROUP BY norm),
 c AS (SELECT norm, w, p FROM e WHERE len(w) >= 8),
 v AS (SELECT p, len(w) AS words, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS variant FROM (SELECT p, w, unnest(range(1, len(w) + 1)) AS i FROM c)),
