@@ -10,8 +10,9 @@ and small-star steps, each written to the shared folder.
 
 Texts that are null, empty or without a word have the fingerprint zero and are linked like any other.
 Repeated rows have the same fingerprint and component; a null doc_id takes part but names no component
-(a component of null ids alone is null). Columns beside doc_id and text are carried along only by
-drop_near_duplicates.
+(a component of null ids alone is null). Very long texts are hashed whole, in parts of their shingles;
+an empty table gives no rows. Columns beside doc_id and text are carried along only by
+drop_near_duplicates, whatever their names.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ def links(nodes: DataFrame, tables: Masks, limit: int, few: int = 8, chunk: int
     square, spread over tasks of 2 x chunk rows; rows that leave a task are at most their number.
     """
     masks = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m"), F.lit(_signed(n)).alias("n")) for t, (m, n) in enumerate(tables)))
-    keyed = nodes.select("id", "fp", "x", F.explode(masks).alias("k"))
+    keyed = common.spread(nodes).select("id", "fp", "x", F.explode(masks).alias("k"))
     keyed = keyed.select("id", F.xxhash64("k.t", F.col("fp").bitwiseAND(F.col("k.m")), F.col("x").bitwiseAND(F.col("k.n"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = common.materialize(keyed.join(shared, "key", "left_semi"))
@@ -176,12 +177,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, blocks: int = 6) -> DataFrame:
     """doc_id, fp and component_id of every row of docs."""
     fps = common.materialize(fingerprints(docs, width))
-    nodes = common.materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    nodes = common.materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")))
     roots = components(links(nodes.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("x")), block_masks(bits, blocks), bits))
-    grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", "copies", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = grouped.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return fps.join(by_fp, F.col("fp") == F.col("__fp")).drop("__fp")
+    by_fp = common.materialize(grouped.join(least, "root").select("fp", "copies", "component_id"))
+    return common.join_to_groups(fps, by_fp, ["fp"], "copies").select("doc_id", "fp", "component_id")
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
@@ -267,7 +268,7 @@ def similar_pairs(nodes: DataFrame, similarity: float, few: int = 8, chunk: int
 
     few and chunk: as in links. Pairs of a key that more than few nodes share are thinned by their min-hashes.
     """
-    members = nodes.select("id", F.explode(F.array_distinct("keys")).alias("key"))
+    members = common.spread(nodes.select("id", "keys")).select("id", F.explode(F.array_distinct("keys")).alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     members = common.materialize(members.join(shared, "key", "left_semi"))
     marks = [F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("g")]
@@ -314,5 +315,6 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
     # a component's root is its smallest id; of all other nodes the first row is their smallest
     first = nodes.select("id").join(roots.where("node != root").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id.doc").alias("__doc"), F.col("id.row").alias("__row"))
     keyed = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__row", F.xxhash64("text"))
-    kept = keyed.join(first, ["__doc", "__row"], "left_semi").dropDuplicates(["__doc", "__row"]).select(*docs.columns)
+    # repeated rows become one before they are shuffled
+    kept = keyed.where(F.col("doc_id").isNotNull()).dropDuplicates(["__doc", "__row"]).join(first, ["__doc", "__row"], "left_semi").select(*docs.columns)
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
