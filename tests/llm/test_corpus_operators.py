@@ -298,13 +298,45 @@ def test_neighbours_reach_recall(spark):
     centres = rng.normal(size=(12, 24))
     rows = [(i, (centres[i % 12] + 0.7 * rng.normal(size=24)).tolist()) for i in range(3000)]
     got = {}
-    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=100).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, few=8, block=5).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    paired = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, few=10**6)
+    assert {(r["query_id"], r["vec_id"], r["score"]) for r in paired.collect()} == {(q, *x) for q in got for x in got[q]}
     want = _exact(rows)
     assert set(got) == set(want)
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
 
 
+def test_large_tables_have_smaller_shares_of_candidates(spark):
+    rng = np.random.default_rng(3)
+    share = []
+    for n in (1000, 8000):
+        v = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(n, 16)))]
+        classes = spark.createDataFrame(v, "rep long, v array<double>")
+        asking = classes.where("rep % 50 = 0").selectExpr("rep AS query", "v AS q")
+        pairs, large, _ = ann.candidates(classes, asking, n, 16, few=10**6)
+        assert large.count() == 0
+        share.append(pairs.count() / (n // 50) / n)
+    assert share[1] < 0.6 * share[0]
+
+
+def test_probes_are_the_likeliest_keys():
+    x = ann._unit(np.random.default_rng(2).normal(size=(5, 8)))
+    h = ann.Hashes(8, 6, 3, 1)
+    every = h.probes(x, 3 * 64)
+    assert all(sorted(row.tolist()) == list(range(3 * 64)) for row in every)
+    assert all(set(h.probes(x, 20)[i].tolist()) == set(every[i, :20].tolist()) for i in range(5))
+    own = h.keys(x)
+    assert all(own[t, i] in every[i, :60] for t in range(3) for i in range(5))
+
+
+def test_neighbours_of_large_numbers(spark):
+    rows = [(0, [1e300, 1e300]), (1, [1e-300, 2e-300]), (2, [3e307, 1e307]), (3, [-1.0, 0.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3]
+    assert [r["score"] for r in got] == pytest.approx([3 / 10**0.5, 2 / 5**0.5, -(0.5**0.5)])
+
+
 def test_neighbours_of_awkward_vectors(spark):
     rows = [(i, [1.0, 0.0, 2.0]) for i in range(200)] + [(200, None), (201, [0.0, 0.0, 0.0]), (202, [float("nan"), 1.0, 1.0]), (203, [float("inf"), 1.0, 1.0]), (204, [None, 1.0, 1.0]), (None, [1.0, 1.0, 1.0]), (205, [1.0, 0.1, 2.0]), (250, [3.0, -1.0, 0.0]), (250, [3.0, -1.0, 0.0]), (300, [])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, b string, t int")
