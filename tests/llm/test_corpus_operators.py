@@ -249,6 +249,35 @@ def test_fullest_is_best():
         assert all(c <= counts[n] for n, c in found.items())
 
 
+def test_encoder_matches_the_tokenizer_on_every_character():
+    from tokenizers import Tokenizer
+
+    e, tok = packing.Encoder(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
+    assert e.by_word
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 16384):
+        texts = [f"ab{c}cd {c}{c}1" for c in points[i : i + 16384] if not e.unknown.search(c)]
+        # all others go to the tokenizer whole
+        for t, ids, want in zip(texts, e.encode(texts), tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, repr(t)
+    for t in ("ab\u0558cd", "a <|startoftext|> b<|endoftext|>", "x\U00010940y"):
+        assert np.frombuffer(e.encode([t])[0], "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_are_followed(tmp_path):
+    import json
+
+    with open(packing.tokenizer_path(), encoding="utf-8") as f:
+        made = json.load(f)
+    made["normalizer"]["normalizers"] = made["normalizer"]["normalizers"][:2]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(made))
+    e = packing.Encoder(str(path))
+    assert not e.by_word
+    t = "Upper CASE and lower"
+    assert np.frombuffer(e.encode([t])[0], "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_encoder_matches_the_tokenizer():
     e = packing.encoder(packing.tokenizer_path())
     rng = random.Random(1)

@@ -114,6 +114,17 @@ class WordMerges:
 
 _NONE = np.iinfo(np.int32).max
 
+#: The pattern and the normalizers that the tokenizer's file must state for words to be looked up.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Characters of which the tokenizer and the regex library are known to say the same (a test goes through all):
+#: Latin to Cyrillic, Hebrew, Arabic, Thai, Greek with marks, punctuation, signs, kana, Han, Hangul, pictures.
+KNOWN = "\0-\u0557\u05d0-\u05ea\u0600-\u06ff\u0e01-\u0e3a\u1e00-\u1eff\u2000-\u206f\u20a0-\u20bf\u2100-\u214f\u2190-\u22ff\u2500-\u27bf\u3000-\u303f\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fef\uac00-\ud7a3\uff01-\uff60\U0001f300-\U0001f64f"
+
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes, with the ids of word parts kept.
@@ -121,7 +132,8 @@ class Encoder:
     The tokenizer drops white space and its pattern never reaches over it, so the ids of a word between
     white space are the same wherever it stands: those of its parts, which the pattern makes of the
     normalized word. Most words are letters, or letters and one sign. Parts that are new are merged many
-    at a time.
+    at a time. Texts with a character that isn't KNOWN or with an added token go to the tokenizer whole,
+    and so do all texts if its file states another pattern, normalizer or model.
     """
 
     def __init__(self, path: str):
@@ -131,10 +143,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            self.merges = WordMerges(json.load(f)["model"])
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            made = json.load(f)
+        model = made["model"]
+        plain_model = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        pieces = (made["normalizer"] or {}).get("normalizers"), (made["pre_tokenizer"] or {}).get("pretokenizers")
+        self.by_word = plain_model and pieces == (NORMALIZERS, SPLITS) and not any(a.get("normalized") for a in made["added_tokens"])
+        self.merges = WordMerges(model) if self.by_word else None
+        self.parts = regex.compile(PATTERN)
+        self.unknown = regex.compile(f"[^{KNOWN}]")
+        self.added = [a["content"] for a in made["added_tokens"]]
         #: The tokenizer's white space; str.split also parts at four control characters that it encodes.
         self.word = regex.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
         self.controls = regex.compile("[\x1c-\x1f]")
@@ -154,8 +172,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Texts in Latin-1 need no normalizing but lower-casing."""
-        plain, other, odd = [], [], []
+        plain, other, odd, whole = [], [], [], []
         for n, t in enumerate(texts):
+            if not self.by_word or any(a in t for a in self.added) or not t.isascii() and self.unknown.search(t):
+                whole.append(n)
+                continue
             if self.controls.search(t):
                 odd.append((n, self.word.findall(t)))
                 continue
@@ -165,6 +186,8 @@ class Encoder:
             except UnicodeEncodeError:
                 other.append((n, t))
         out = [b""] * len(texts)
+        for n, e in zip(whole, self.tokenizer.encode_batch_fast([texts[n] for n in whole], add_special_tokens=False), strict=True):
+            out[n] = np.array(e.ids, dtype="<u4").tobytes()
         for group, kind in ((plain, True), (other, False), (odd, False)):
             if group:
                 rows = pa.array([t for _, t in group], pa.large_list(pa.large_string())) if group is odd else pc.utf8_split_whitespace(pa.array([t for _, t in group], pa.large_string()))
