@@ -4,7 +4,7 @@ A vector is turned by three rounds of random signs and a Hadamard transform and
 signed axis. The key of a table is made of several such hashes, the last over fewer coordinates, so that
 a table has about as many buckets as there are vectors and a query meets a falling share of them as they
 grow. A query looks into the buckets, over all tables, that likely hold a near vector: probes of them,
-a number that grows with the cube root of the vectors. Keys and ids alone are shuffled; each distinct
+a number that grows with the fifth root of the vectors. Keys and ids alone are shuffled; each distinct
 candidate's vector is fetched once for a query and ranked exactly, by the cosine in double precision.
 
 Rows with equal vectors are one candidate with its smallest ids (as many as a result can name), so a
@@ -186,7 +186,7 @@ def _rank_blocks(most: int):
 
 def size_of_index(n: int) -> tuple[int, int]:
     """Bits of a bucket's key and probes of a query for n different vectors; of up to seven, all buckets of 64 tables."""
-    return max(1, n.bit_length() - 2), max(128, math.ceil(20 * n ** (1 / 3)))
+    return max(1, n.bit_length() - 2), max(128, math.ceil(70 * n ** (1 / 5)))
 
 
 def candidates(classes: DataFrame, asking: DataFrame, n: int, width: int, tables: int = 64, few: int = 256, seed: int = 7) -> tuple[DataFrame, DataFrame]:
