@@ -1,6 +1,7 @@
 """Brute force beside the row-wise operators, on awkward rows."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -136,6 +137,16 @@ PAGES = {
     "just words & 3 < 4": "just words & 3 < 4",
     "<article><p hidden>no</p><p>yes</p><form><p>mail</p></form></article>": "yes",
     "": "",
+    "<div class='site no-sidebar'><article><p>one two three</p></article></div>": "one two three",
+    "<div class='article-tags-enabled main'><p>one two three</p></div>": "one two three",
+    "<article><div style='overflow:hidden'>kept text here</div><a title='hidden gems'>link words</a></article>": "kept text here\nlink words",
+    '<p class="x>text one': "text one",
+    "<article><figure><img src=x><figcaption>the caption</figcaption></figure><p>Formula <math><mi>x</mi><mo>=</mo><mn>2</mn></math> end.</p></article>": "the caption\nFormula x=2 end.",
+    "<svg/><article>after icon<svg><text>drawn</text></svg></article>": "after icon",
+    "<div class=sidebar><main><p>main text wins</p></main></div>": "main text wins",
+    "<div class='menu'><p>only this text here</p></div>": "only this text here",
+    "<article>a<p hidden>b</p><p style='display: none'>c</p><p aria-hidden=true>d</p>e</article>": "a\ne",
+    "<article><p>first part</p><aside>%s</aside><p>last part</p></article>" % ("aside words " * 200): "first part\nlast part",
 }
 
 
@@ -144,6 +155,32 @@ def test_main_text(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+def test_best_region_matches_brute_force():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 5, 17):
+        for _ in range(60):
+            gains = rng.integers(-4, 5, n).tolist()
+            sums = {(i, j): sum(gains[i : j + 1]) for i in range(n) for j in range(i, n)}
+            first, last = html_text.best_region(gains)
+            best = max(sums.values(), default=0)
+            assert (first, last) == (0, -1) if best <= 0 else sums[first, last] == best
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a '> ", '<a "> " ', "<b>", "</p>", "<!--", "<script>", "< ", "<div class='x'>w w</div>", "&amp;"])
+def test_long_pages_take_linear_time(part):
+    began = time.process_time()
+    html_text.main_text(part * (1_000_000 // len(part)) + "'")
+    assert time.process_time() - began < 15
+
+
+def test_pages_of_awkward_rows(spark):
+    page = "<nav>menu</nav><article><h1>Title</h1><p>Body words of it.</p></article>"
+    rows = [(1, "u", page, "a", 9), (1, "u", page, "a", 9), (2, None, None, None, None), (None, "u", "", "b", 1), (3, "v", "<article>" + "<p>long words</p>" * 60_000 + "</article>", "x", 2)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")).collect()
+    assert got[0] == got[1] and got[0]["text"] == "Title\nBody words of it."
+    assert got[2]["text"] == got[3]["text"] == "" and got[4]["n_chars"] == 11 * 60_000 - 1
+
+
 def test_pages(spark):
     rows = [(i, None, p) for i, p in enumerate([*PAGES, None, "<" * 3000, "<a " * 3000, "<article>" * 500 + "x"])]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()

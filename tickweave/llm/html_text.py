@@ -3,10 +3,14 @@
 A page is read as a row of tokens. Runs of text score their words times a weight of where they stand,
 tags score negative; one linear scan finds the best contiguous region. The weights are log-odds counted
 on labelled pages (labelled_pages: layouts whose content is marked). Inside the region, text that stands
-in an element of its own for menus, adverts, notices, forms, comments and the like is left out.
+in an element of its own for menus, adverts, notices, forms, comments and the like is left out, and so is
+what browsers don't show as text (scripts, styles, drawings, embedded media and their fallbacks).
 
-Null and empty pages give an empty text. Every page is worked on whole and by itself, and every input
-row gives one row, repeated rows too; only page_id, url and html are read.
+Null and empty pages give an empty text. Pages are read once from front to back, however long or broken:
+a tag whose quotes don't close ends at its first >, and what can't be a tag is text. Every page is worked
+on whole and by itself, and every input row gives one row, repeated rows too, an empty table none. Of
+equally good regions the first counts. Only page_id, url and html are read, so other columns clash with
+nothing.
 """
 
 from __future__ import annotations
@@ -25,11 +29,14 @@ from pyspark.sql import DataFrame
 from . import common
 
 #: Elements by what HTML says of them.
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select")
+RAW = frozenset("script style title textarea noscript template iframe svg object canvas audio video select".split())
+#: Of these, those in the head or without a place in the text.
+UNSEEN = frozenset("script style title template noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr"
+    " math mi mn mo ms mspace mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mpadded mphantom semantics annotation").split())
 MAIN = frozenset(("article", "main"))
-ASIDE = frozenset("nav footer aside form button dialog menu fieldset figcaption".split())
+ASIDE = frozenset("nav footer aside form button dialog menu fieldset".split())
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",)}
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: Words of class, id and role that name what isn't the article, and what is.
@@ -41,20 +48,81 @@ NOT_MAIN = re.compile(
 )
 IS_MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|article-?body|post-?body|post-?content|entry-?content|story|story-?body|main-?content|post|entry|content)(?:$|[\s_-])", re.I)
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S | re.I,
-)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: Names that say what a page has or lacks, not what an element is.
+_LAYOUT = re.compile(r"(?:^|[_-])(?:no|not|has|with|without|hide|show|enabled?|disabled?|layout|theme|template)(?:[_-]|$)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s]++)))?")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_UP_TO_QUOTE = re.compile(r"[^>\"']*+")
+
+
+class _Reader:
+    """Finds the ends of tags; never reads a part of the page more than twice."""
+
+    def __init__(self, page: str):
+        self.page = page
+        #: Before this place quotes have been found open, so tags end at their first >.
+        self.broken = 0
+
+    def end(self, at: int) -> int:
+        """Where the > of the tag at this place is; -1 if there is none."""
+        page, i = self.page, at
+        while i >= self.broken:
+            i = _UP_TO_QUOTE.match(page, i).end()
+            if i == len(page):
+                break
+            if page[i] == ">":
+                return i
+            close = page.find(page[i], i + 1)
+            if close < 0:
+                break
+            i = close + 1
+        self.broken = max(self.broken, i)
+        return page.find(">", at)
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+def _markup(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, kind, name, attributes) of what isn't text, in order; kind is skip, raw, open or close."""
+    reader, at = _Reader(page), 0
+    ends_of_raw: dict[str, re.Pattern] = {}
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            yield at, (at := end + 3 if end >= 0 else len(page)), "skip", "", ""
+            continue
+        closing = page.startswith("</", at)
+        name = _NAME.match(page, at + 1 + closing)
+        if not name and not page.startswith(("<!", "<?", "</"), at):
+            at += 1
+            continue
+        end = page.find(">", at) if not name else reader.end(name.end())
+        if end < 0:
+            return  # no tag ends from here on
+        start, at = at, end + 1
+        if not name:
+            yield start, at, "skip", "", ""
+            continue
+        what, attributes = name[0].lower(), page[name.end() : end]
+        if what in RAW and not closing:
+            if not (attributes.endswith("/") and what == "svg"):
+                found = ends_of_raw.setdefault(what, re.compile(f"</{what}\\s*>", re.I)).search(page, at)
+                at = found.end() if found else len(page)
+            yield start, at, "raw", what, ""
+        else:
+            yield start, at, "close" if closing else "open", what, attributes
+
+
+def _attributes(text: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
+
+
+def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
     """(kind, what, text): ("text", place, raw text), ("tag", group, "block" or "") in page order.
 
     The place of text is main, aside, link or plain, or within if it is set aside inside main; a tag's
     group is within if it stands inside main, else main (the bounds of main), aside, block or inline.
+    by_name: whether class, id and role can set an element aside. A main element does away with what the
+    names of the elements around it say.
     """
     stack: list[tuple[str, str]] = []
     main = aside = link = 0
@@ -69,22 +137,21 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         nonlocal main, aside, link
         for _, kind in stack[i:]:
             main -= kind == "main"
-            aside -= kind == "aside"
+            aside -= kind in ("aside", "named")
             link -= kind == "link"
         del stack[i:]
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            yield "text", place(), page[at : m.start()]
-        at = m.end()
-        if not (name := m[3]):
-            if m[1] and m[1].lower() not in ("script", "style", "title", "template", "noscript"):
+    for start, end, what, name, text in _markup(page):
+        if start > at:
+            yield "text", place(), page[at:start]
+        at = end
+        if what in ("skip", "raw"):
+            if what == "raw" and name not in UNSEEN:
                 yield "tag", "within" if main else "block", "block"
             continue
-        name = name.lower()
         flow = "" if name in INLINE else "block"
-        if m[2]:
-            low = max((i for i, (_, kind) in enumerate(stack) if kind in ("main", "aside")), default=-1) if name in INLINE or name == "p" else -1
+        if what == "close":
+            low = max((i for i, (_, kind) in enumerate(stack) if kind in ("main", "aside", "named")), default=-1) if name in INLINE or name == "p" else -1
             i = next((i for i in range(len(stack) - 1, low, -1) if stack[i][0] == name), None)
             was = main
             if i is not None:
@@ -94,9 +161,18 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         for old in (*SELF_CLOSING.get(name, ()), *(("p",) if name in CLOSES_P else ())):
             if stack and stack[-1][0] == old:
                 leave(len(stack) - 1)
-        names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[4])) if "=" in m[4] else ""
-        if name in ASIDE or name == "header" and not main or names and name not in ("body", "html") and NOT_MAIN.search(names) or m[4] and _HIDDEN.search(m[4]):
+        own = _attributes(text) if text.strip(" /") else {}
+        names = " ".join(n for k in ("class", "id", "role") for n in own.get(k, "").split() if not _LAYOUT.search(n))
+        hidden = "hidden" in own and own["hidden"].lower() != "until-found" or own.get("aria-hidden", "").lower() == "true" or _NOT_SHOWN.search(own.get("style", ""))
+        if name in ASIDE or name == "header" and not main or hidden:
             kind = "aside"
+        elif name == "main":
+            kind = "main"
+            # elements around it were named for something else
+            stack = [(n, "" if k == "named" else k) for n, k in stack]
+            aside = sum(k == "aside" for _, k in stack)
+        elif by_name and names and name not in ("body", "html") and NOT_MAIN.search(names):
+            kind = "named"
         elif name in MAIN or names and name in ("div", "section", "td") and IS_MAIN.search(names):
             kind = "main"
         elif name == "a":
@@ -104,12 +180,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         else:
             kind = ""
         was = main
-        if name not in VOID and not m[4].endswith("/"):
+        if name not in VOID and not text.endswith("/"):
             stack.append((name, kind))
             main += kind == "main"
-            aside += kind == "aside"
+            aside += kind in ("aside", "named")
             link += kind == "link"
-        yield "tag", "within" if was else "main" if main else "aside" if kind == "aside" else "block" if flow else "inline", flow
+        yield "tag", "within" if was else "main" if main else "aside" if kind in ("aside", "named") else "block" if flow else "inline", flow
     if at < len(page):
         yield "text", place(), page[at:]
 
@@ -135,7 +211,10 @@ def labelled_pages() -> Iterator[str]:
 
 @cache
 def weights() -> dict[tuple[str, str], float]:
-    """Log-odds of content by place of text, per word, and by group of tag, within bounds; tags score below zero."""
+    """Log-odds of content by place of text, per word, and by group of tag, within bounds; tags score below zero.
+
+    Text set aside inside main weighs nothing: it is left out either way, and must not part what is around it.
+    """
     inside, outside = Counter(), Counter()
     for page in labelled_pages():
         row = list(tokens(page))
@@ -150,29 +229,41 @@ def weights() -> dict[tuple[str, str], float]:
         odds = math.log((inside[key] + 1) / (total_in + 1)) - math.log((outside[key] + 1) / (total_out + 1))
         low, top = (-0.8, -0.05) if key[0] == "tag" else (-2.0, 0.0 if key[1] in ("aside", "within") else 3.0)
         out[key] = max(low, min(odds, top))
+    out["text", "within"] = 0.0
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The text of the best region, its blocks joined by newlines."""
-    if not page:
-        return ""
-    score = weights()
-    row = list(tokens(page))
-    has_main = any(kind == "text" and what == "main" and t.strip() for kind, what, t in row)
+def best_region(gains: list[float]) -> tuple[int, int]:
+    """First and last place of the contiguous run with the largest sum above zero, the first of equals; (0, -1) if none."""
     best, first, last, total, start = 0.0, 0, -1, 0.0, 0
-    for i, (kind, what, t) in enumerate(row):
-        if kind == "text":
-            n = len(t.split())
-            place = "link" if has_main and what == "plain" else what  # beside a marked article, loose text is none
-            gain = n * score.get((kind, place), 0.0)
-        else:
-            gain = score.get((kind, what), -0.05)
+    for i, gain in enumerate(gains):
         if total <= 0:
             total, start = 0.0, i
         total += gain
         if total > best:
             best, first, last = total, start, i
+    return first, last
+
+
+def main_text(page: str | None) -> str:
+    """The text of the best region, its blocks joined by newlines.
+
+    If a page has none, it is read again as if names set nothing aside.
+    """
+    return (_text(list(tokens(page))) or _text(list(tokens(page, by_name=False)))) if page else ""
+
+
+def _text(row: list[tuple[str, str, str]]) -> str:
+    score = weights()
+    has_main = any(kind == "text" and what == "main" and t.strip() for kind, what, t in row)
+    gains = []
+    for kind, what, t in row:
+        if kind == "text":
+            place = "link" if has_main and what == "plain" else what  # beside a marked article, loose text is none
+            gains.append(len(t.split()) * score.get((kind, place), 0.0))
+        else:
+            gains.append(score.get((kind, what), -0.05))
+    first, last = best_region(gains)
     blocks, parts = [], []
     for kind, what, t in row[first : last + 1]:
         if kind == "text":
