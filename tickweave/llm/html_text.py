@@ -152,7 +152,7 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
         flow = "" if name in INLINE else "block"
         if what == "close":
             low = max((i for i, (_, kind) in enumerate(stack) if kind in ("main", "aside", "named")), default=-1) if name in INLINE or name == "p" else -1
-            i = next((i for i in range(len(stack) - 1, low, -1) if stack[i][0] == name), None)
+            i = next((i for i in range(len(stack) - 1, max(low, 0) - 1, -1) if stack[i][0] == name), None)
             was = main
             if i is not None:
                 leave(i)
