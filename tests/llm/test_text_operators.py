@@ -66,6 +66,19 @@ def test_license_rules_see_every_text(spark):
     assert [got[i]["labels"] for i in range(len(forms))] == list(forms.values())
 
 
+def test_license_texts_are_found_by_their_keywords(spark):
+    def example(pattern):
+        plain = re.sub(r"\(\?:\[\^ \]\+ \)\{1,\d+\}", "some name ", pattern)
+        plain = re.sub(r"\(\?:[^()]*\)\?", "", plain)
+        plain = re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", plain)
+        return plain.replace("[sc]", "s")
+
+    said = [(label, example(pattern)) for label, keyword, pattern in license_scan.TEXTS]
+    assert all(keyword in text for (_, keyword, _), (_, text) in zip(license_scan.TEXTS, said, strict=True))
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(docs(spark, [t.title() + "." for _, t in said])).collect()}
+    assert all(label in got[i] for i, (label, _) in enumerate(said))
+
+
 def test_contained_detections_go(spark):
     r = license_scan.scan(docs(spark, ["released under the Creative Commons Attribution NonCommercial ShareAlike 4.0 license", "GNU Lesser General Public License version 2.1"])).orderBy("doc_id").collect()
     assert (r[0]["labels"], r[1]["labels"]) == ("cc-by-nc-sa-4.0", "lgpl-2.1")

@@ -3,12 +3,13 @@
 A text becomes its lower-cased words joined by single spaces. In these each rule's keyword, which every
 match of its pattern holds, is looked for; a text with none of them has no detection. The rules whose
 keyword is there look for their pattern; every match is a detection with its place. Rules have a
-priority: a tag before a full phrase, a phrase before a name. A detection goes if one of the same or a
+priority: a tag or a license's own text before a full phrase, a phrase before a name. A detection goes if one of the same or a
 better priority contains its interval (of equal intervals the first rule's stays).
 
 The phrases of PHRASES are found apart, all places of them, and their labels always stay. Null and empty
-texts have no words and no detections. Every input row gives one row. Everything happens within a row;
-nothing is shuffled. Native: DataFrame functions only.
+texts have no words and no detections; very long ones are scanned whole. Every input row gives one row,
+repeated rows too, and an empty table none. Everything happens within a row; nothing is shuffled. Of the
+columns only those kept and text are read. Native: DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -65,7 +66,57 @@ FAMILIES = (
     ("sspl", "server side", "server side public", ("", "1")),
     ("busl", "business source", "business source", ("", "1 1")),
 )
-CC_PARTS = (("by", "attribution"), ("by-sa", "attribution share ?alike"), ("by-nd", "attribution no ?deriv(?:s|atives)"), ("by-nc", "attribution non ?commercial"), ("by-nc-sa", "attribution non ?commercial share ?alike"), ("by-nc-nd", "attribution non ?commercial no ?deriv(?:s|atives)"))
+CC_PARTS = (
+    ("by", "attribution"), ("by-sa", "attribution share(?: )?alike"), ("by-nd", "attribution no(?: )?deriv(?:s|atives)"), ("by-nc", "attribution non(?: )?commercial"),
+    ("by-nc-sa", "attribution non(?: )?commercial share(?: )?alike"), ("by-nc-nd", "attribution non(?: )?commercial no(?: )?deriv(?:s|atives)"),
+)
+#: Label, keyword, pattern of what licenses and their notices say.
+TEXTS = (
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "substantial portions", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "merchantability", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("x11", "advertising or otherwise", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("isc", "with or without fee", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "disclaims all warranties", "the software is provided as is and (?:the author|isc) disclaims all warranties with regard to this software"),
+    ("ntp", "and its documentation", "permission to use copy modify and distribute this software and its documentation for any purpose"),
+    ("bsd", "source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "copyright holders and contributors", "this software is provided by the copyright holders and contributors as is"),
+    ("bsd-3", "names of its contributors", "neither the name of (?:[^ ]+ ){1,8}nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("apache-2", "except in compliance", "you may not use this file except in compliance with the license"),
+    ("apache-2", "as is basis", "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-2", "apache org", "apache org licenses license 2 0"),
+    ("apache-1.1", "apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("gpl", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl-2", "version 2 of the license", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3", "version 3 of the license", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("gpl", "in the hope that", "distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl-2.1", "version 2 1 of the license", "under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license"),
+    ("lgpl-3", "version 3 of the license", "under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license"),
+    ("agpl-3", "version 3 of the license", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license"),
+    ("gfdl", "under the terms of the gnu free", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2", "source code form", "this source code form is subject to the terms of the mozilla public license v(?: )?2 0"),
+    ("mpl-1.1", "contents of this file", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("cddl", "contents of this file", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("bsl-1", "person or organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("zlib", "express or implied warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("zlib", "origin of this software", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "verbatim or modified", "everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
+    ("cc0", "to the extent possible under law", "to the extent possible under law (?:[^ ]+ ){1,12}waived all copyright and related or neighboring rights"),
+    ("cc-by", "medium or format", "you are free to share copy and redistribute the material in any medium or format"),
+    ("ofl-1.1", "font software", "this font software is licensed under the sil open font license version 1 1"),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project"),
+    ("artistic", "standard version of this package", "you may make and give away verbatim copies of the source form of the standard version of this package"),
+    ("json", "not evil", "the software shall be used for good not evil"),
+    ("beerware", "retain this notice", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("psf", "python software foundation", "copyright (?:c )?(?:[^ ]+ ){1,12}python software foundation all rights reserved"),
+    ("fsfap", "without royalty", "are permitted in any medium without royalty provided the copyright notice and this notice are preserved"),
+    ("blue-oak", "blue oak", "blue oak model license"),
+    ("all-rights-reserved", "may be reproduced", "no part of this (?:publication|work|book|document|website) may be reproduced"),
+    ("proprietary", "written permission", "without (?:the )?(?:prior|express|prior express) written permission of the (?:author|owner|publisher|copyright holder)"),
+)
 CC_VERSIONS = ("", "1 0", "2 0", "2 5", "3 0", "4 0")
 
 
@@ -80,16 +131,18 @@ def rules() -> list[tuple[int, str, int, float, str, str]]:
     for label, keyword, name, versions in FAMILIES:
         for version in versions:
             full = f"{label}-{version.replace(' clause', '').replace(' ', '.').removesuffix('.0') if label != 'bsd' else version[:1]}" if version else label
-            v = f" (?:version |v ?)?{version}" if version and label != "bsd" else ""
+            v = f" (?:version |v(?: )?)?{version}" if version and label != "bsd" else ""
             lead = f"{version} " if version and label == "bsd" else ""
             named = f"{lead}{name}(?: style)? licen[sc]e{v}" if not v else f"{name}(?: licen[sc]e)?{v}"
             ids = label.replace("-", " ") + (f" {version}" if version else "")
             add(full, 0, 1.0, "spdx", f"spdx licen[sc]e identifier {ids}(?: only| or later)?")
             add(full, 1, 0.95, keyword, f"{verbs} (?:under|by) (?:the )?(?:terms of )?(?:the )?{named}")
             add(full, 2, 0.8, keyword, named)
+    for label, keyword, pattern in TEXTS:
+        add(label, 0, 0.98, keyword, pattern)
     for short in ("gpl", "lgpl", "agpl"):
         for version in ("", "2", "2 1", "3"):
-            add(f"{short}-{version.replace(' ', '.')}" if version else short, 2, 0.7, short, f"(?:gnu )?{short}(?: (?:version |v ?)?{version}|v{version})" if version else f"(?:gnu )?{short}")
+            add(f"{short}-{version.replace(' ', '.')}" if version else short, 2, 0.7, short, f"(?:gnu )?{short}(?: (?:version |v(?: )?)?{version}|v{version})" if version else f"(?:gnu )?{short}")
     for parts, words in CC_PARTS:
         for version in CC_VERSIONS:
             label = f"cc-{parts}" + (f"-{version.replace(' ', '.')}" if version else "")

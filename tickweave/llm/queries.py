@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import license_scan
 from .ann import op4_cross_polytope_ann
 from .compression_quality import op10_compression_quality
 from .html_text import op2_html_main_text
@@ -58,4 +59,31 @@ f AS (SELECT k.doc_id, k.n, e.p, least(e.p, near.o) AS o, near.o AS q FROM k JOI
 SELECT doc_id, CAST(n AS INTEGER) AS line_no, coalesce(o, p).d AS kept_doc_id, CAST(coalesce(o, p).n AS INTEGER) AS kept_line_no FROM f WHERE p < {'d': doc_id, 'n': n} OR q IS NOT NULL
 """
 
-ORACLES: dict[str, str] = {"op6_quality_rules": _QUALITY, "op8_line_dedup": _LINES}
+
+
+def _license_sql() -> str:
+    """The scan over words that each stand between spaces of their own, so that patterns need no look-around."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    wide = lambda pattern: pattern.removeprefix("(?<= )").removesuffix("(?= )").replace(" ", "  ")
+    rules = ", ".join(f"({n}, {quoted(label)}, {prio}, {conf}, {quoted(keyword)}, {quoted(f' {wide(pattern)} ')})" for n, label, prio, conf, keyword, pattern in license_scan.rules())
+    phrases = ", ".join(f"({quoted(label)}, {phrase.split()!r})" for phrase, label in license_scan.PHRASES.items())
+    return f"""
+WITH rules(id, label, prio, conf, kw, re) AS (VALUES {rules}),
+phrases(label, p) AS (VALUES {phrases}),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+base AS (SELECT r, label, unnest(list_filter(range(1, len(w) - len(p) + 2), lambda i: w[i:i + len(p) - 1] = p)) - 1 AS place FROM d, phrases),
+b AS (SELECT r, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY r),
+t AS (SELECT r, ' ' || array_to_string(w, ' ') || ' ' AS one, ' ' || array_to_string(w, '  ') || ' ' AS two FROM d),
+m AS (SELECT r, id, label, prio, conf, regexp_extract_all(two, re) AS hits, string_split_regex(two, re) AS rest FROM t JOIN rules ON contains(one, kw)),
+i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM m),
+f AS (SELECT r, id, label, prio, conf, list_sum(list_transform(rest[:k], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:k - 1], lambda x: length(x))), 0) AS s, length(hits[k]) AS n FROM i),
+kept AS (SELECT * FROM f AS x WHERE NOT EXISTS (SELECT 1 FROM f AS y WHERE y.r = x.r AND y.s <= x.s AND y.s + y.n >= x.s + x.n AND y.prio <= x.prio AND (y.s < x.s OR y.n > x.n OR (y.prio, y.id) < (x.prio, x.id)))),
+g AS (SELECT r, list(label) AS labels, max(conf) AS conf FROM kept GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(g.labels, [])))), ','), '') AS labels,
+  greatest(coalesce(CAST(g.conf AS DOUBLE), 0.0), CASE WHEN b.n > 0 THEN 0.9 ELSE 0.0 END) AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN g USING (r)
+"""
+
+
+ORACLES: dict[str, str] = {"op5_license_scan": _license_sql(), "op6_quality_rules": _QUALITY, "op8_line_dedup": _LINES}
