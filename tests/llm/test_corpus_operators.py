@@ -307,6 +307,23 @@ def test_pieces_match_the_library_in_any_chunks(spark):
     assert all(back[i] == (t or "").replace("▁", " ") for i, t in enumerate(texts))
 
 
+def test_a_giant_document_of_several_chunks(spark):
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choice("etaoinshrdlucé日") for _ in range(rng.randrange(1, 12))) for _ in range(22_000))
+    solid = "".join(rng.choice(["the", "ing", "tion", "er", "qz"]) for _ in range(30_000))  # no place where paths part
+    rows = spark.createDataFrame([(1, text), (2, solid), (3, text), (3, text)], "doc_id long, text string")
+    got = {}
+    for r in sorted(pieces.encode(rows, pieces.model_path()).collect(), key=lambda r: (r["doc_id"], r["chunk"])):
+        assert r["round_trip"]
+        got.setdefault(r["doc_id"], []).append(r)
+    m = pieces.model(pieces.model_path())
+    assert len(got[1]) == len(text) // 32768 + 1 > 3 and len(got[3]) == 2 * len(got[1])
+    for i, t in ((1, text), (2, solid)):
+        assert [x for r in got[i] for x in r["ids"]] == m.sp.encode(t)
+    with pytest.raises(ValueError):
+        pieces.encode(rows, pieces.model_path(), chunk=m.longest)
+
+
 def test_max_plus_product_is_associative():
     rng = np.random.default_rng(0)
     a, b, c = (np.where(rng.random((5, 5)) < 0.5, 0, -np.inf).astype(np.float32) for _ in range(3))

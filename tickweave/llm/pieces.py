@@ -12,7 +12,7 @@ each cut; then each chunk traces its own pieces back between its two states. Pat
 space that follows another character and around newlines, so between the first and the last of these in
 a chunk words are encoded one by one (and kept), and only what is before and after goes through matrices.
 
-Null and empty texts have no ids. Every row gives its rows, repeated rows too. U+2581 is white space to
+Null and empty texts have no ids, an empty table gives no rows. Every row gives its rows, repeated rows too. U+2581 is white space to
 the model, as to the library. Columns beside doc_id and text are not read.
 """
 
@@ -234,8 +234,9 @@ def encode(docs: DataFrame, path: str, chunk: int = 32768) -> DataFrame:
     those after the piece that crosses into it. The matrices of a document, at most one for each chunk
     of a single row's text, are combined in one task.
     """
-    if chunk < 64:
-        raise ValueError("chunks must have 64 characters or more")
+    around = model(path).longest  # no piece reaches farther over a cut
+    if chunk < 4 * around:
+        raise ValueError(f"chunks must have {4 * around} characters or more for this model")
     common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
@@ -251,7 +252,6 @@ def encode(docs: DataFrame, path: str, chunk: int = 32768) -> DataFrame:
 
     small = kept.where(F.length("text") <= chunk).mapInArrow(short, f"doc_id {kind}, {_OUT}")
 
-    around = 16  # at least the longest piece
     giants = kept.where(F.length("text") > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
     giants = giants.select("doc_id", "copies", F.xxhash64("text").alias("row"), F.concat(F.lit(SPACE), F.replace("text", F.lit(" "), F.lit(SPACE))).alias("t"))
     cuts = giants.select("doc_id", "copies", "row", "t", F.length("t").alias("size"), F.explode(F.sequence(F.lit(0), F.floor((F.length("t") - 1) / chunk).cast("int"))).alias("chunk"))
