@@ -4,6 +4,7 @@ import json
 import struct
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickweave.functions import scalars
@@ -147,8 +148,56 @@ def test_streams(spark, tmp_path):
     q = feeds.attempt_stream(spark, str(tmp_path / "a")).writeStream.format("memory").queryName("attempts").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select * from attempts").count() == 1
-    samples = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 20).load().select(F.col("timestamp").alias("ts"), F.lit(2).alias("frames"))
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "1.json").write_text("".join(f'{{"ts":"2024-01-01T00:00:0{i}Z","frames":{i}}}\n' for i in (0, 4, 5, 9)))
+    samples = spark.readStream.schema("ts timestamp, frames long").json(str(tmp_path / "s"))
     q = feeds.throughput_stream(samples).writeStream.format("memory").queryName("rates").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(60)
     q.stop()
-    assert spark.sql("select coalesce(sum(frames), 0) as f, coalesce(sum(n), 0) as n from rates").first()["f"] >= 0
+    assert [(r["n"], r["frames"]) for r in spark.sql("select * from rates order by start").collect()] == [(2, 4), (2, 14)]
+
+
+def test_packing_streams_each_group(spark):
+    from tickweave.operators import planning
+
+    rows = spark.createDataFrame([("a", i, s) for i, s in enumerate([5, 5, 1, 20, 3, 7, None])] + [("b", 0, 10), (None, 0, 1)], "host string, i int, size int")
+    got = {(r["host"], r["i"]): (r["n"], r["bin"]) for r in planning.next_fit(rows, "host", ["i"], "size", 10).collect()}
+    assert [got["a", i][1] for i in range(7)] == [0, 0, 1, 2, 3, 3, 3] and all(got["a", i][0] == i for i in range(7))
+    assert got["b", 0] == got[None, 0] == (0, 0)
+
+
+def test_budget_over_ranges(spark):
+    from tickweave.operators import planning
+
+    rows = spark.range(5000).selectExpr("id", "id % 7 AS amount").repartition(9)
+    total, want = 0, []
+    for i in range(5000):
+        if total < 4000:
+            want.append(i)
+        total += i % 7
+    assert sorted(r["id"] for r in planning.within_budget(rows, "amount", 4000, "id").collect()) == want
+
+
+def test_reports_as_text(spark):
+    files = spark.createDataFrame([("a", "frame,game_frame\n"), ("b", "frame,game_frame,p1_input,p2_input\n" + "\n".join(f"{i},{i},1,1" for i in range(600)))], "capture string, value string")
+    checked = integrity.reports(captures.frames(files))
+    texts = {r["capture"]: r["report"] for r in sinks.report_text(checked).collect()}
+    assert texts == {"a": "FAIL a\n  error csv.rows: no data rows", "b": "pass b"}
+    assert [r["capture"] for r in sinks.report_text(checked, failing_only=True).collect()] == ["a"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tickweave import storage
+
+    def session(master, where=None):
+        conf = SimpleNamespace(get=lambda *a: where)
+        sc = SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None, setCheckpointDir=lambda x: None)
+        return SimpleNamespace(conf=conf, sparkContext=sc)
+
+    assert storage.shared_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert storage.shared_dir(session("local[*]"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            storage.shared_dir(session(master))

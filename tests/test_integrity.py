@@ -35,6 +35,8 @@ CASES = {
     "legacy_no_counter": ("local_frame,p1_input,p2_input\n" + "\n".join(f"{i},1,1" for i in range(600)), []),
     "wide_mask": (_table(edit={5: _line(5, 5, p1=1024)}), [("csv.mask_range", "error"), ("csv.mask_bits", "error")]),
     "flipped": (_table(edit={5: _line(5, 5, flip=3)}), [("csv.mask_bits", "error")]),
+    "p1_columns_alone": ("frame,game_frame,p1_input,p2_input," + ",".join(f"p1_{b}" for b in BUTTONS) + "\n" + "\n".join(f"{i},{i},1,{2 * (i == 7)},1" + ",0" * 9 for i in range(600)), [("csv.mask_bits", "error")]),
+    "p2_columns_alone": ("frame,game_frame,p1_input,p2_input," + ",".join(f"p2_{b}" for b in BUTTONS) + "\n" + "\n".join(f"{i},{i},1,2" + ",0" * 10 for i in range(600)), []),
     "idle": ("frame,game_frame,p1_input,p2_input\n" + "\n".join(f"{i},{i},0," for i in range(600)), [("csv.inputs", "error")]),
     "one_idle": ("frame,game_frame,p1_input,p2_input\n" + "\n".join(f"{i},{i},1,0" for i in range(600)), [("csv.inputs", "warn")]),
     "starts_late": ("frame,game_frame,p1_input,p2_input\n" + "\n".join(f"{i},{i + 5},1,1" for i in range(600)), [("csv.start", "warn")]),

@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from tickweave import catalog_queries
+from tickweave import catalog_queries, file_queries
 
+QUERIES, ORACLES = catalog_queries.QUERIES | file_queries.QUERIES, catalog_queries.ORACLES | file_queries.ORACLES
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -21,11 +22,11 @@ def _plain(v):
     return round(v, 9) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(catalog_queries.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, db, name):
-    df = catalog_queries.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
-    cur = db.execute(catalog_queries.ORACLES[name])
+    cur = db.execute(ORACLES[name])
     names = [d[0] for d in cur.description]
     assert sorted(names) == cols
     at = [names.index(c) for c in cols]
@@ -35,4 +36,4 @@ def test_same_rows(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(catalog_queries.QUERIES) == set(catalog_queries.ORACLES)
+    assert set(QUERIES) == set(ORACLES)

@@ -150,11 +150,11 @@ def runs_by_capture(spark, sf_dir):
 
 
 @_query("""WITH {EVENTS}, w AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n,
-sum(bit_count(k)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS s FROM events_k),
+sum(bit_count(k) + bit_count(event_id % 1024)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS s FROM events_k),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s DESC, i) AS rn FROM w WHERE i = 0 OR i < n - 5)
 SELECT user_id, i AS start, CAST(s AS BIGINT) AS total FROM r WHERE rn = 1""")
 def busiest_window(spark, sf_dir):
-    rows = _events(spark, sf_dir).withColumn("held", bits.density(F.col("k")).cast("long"))
+    rows = _events(spark, sf_dir).withColumn("held", bits.density(F.col("k"), F.col("event_id") % 1024).cast("long"))
     return segments.busiest_window(rows, "user_id", "event_id", "held", 5)
 
 
@@ -295,10 +295,10 @@ def strip_identity(spark, sf_dir):
     return planning.without_names(rows)
 
 
-@_query("""WITH s AS (SELECT *, sum(l_quantity) OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used FROM lineitem WHERE l_orderkey <= 200)
+@_query("""WITH s AS (SELECT *, sum(l_quantity) OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used FROM lineitem)
 SELECT l_orderkey, l_partkey, l_suppkey FROM s WHERE coalesce(used, 0) < 1000""")
 def budget_cutoff(spark, sf_dir):
-    rows = _t(spark, sf_dir, "lineitem").where("l_orderkey <= 200")  # one worker's work list
+    rows = _t(spark, sf_dir, "lineitem")
     return planning.within_budget(rows, "l_quantity", 1000, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").select("l_orderkey", "l_partkey", "l_suppkey")
 
 

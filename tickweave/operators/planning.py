@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import numbered
+from .numbering import numbered, with_sum_before
 
 
 def stride_shard(rows: DataFrame, index: int, count: int, *order) -> DataFrame:
@@ -25,8 +28,7 @@ def work_list(replays: DataFrame, attempts: DataFrame, index: int, count: int, l
 
 def within_budget(rows: DataFrame, amount: str, budget: int, *order) -> DataFrame:
     """Rows in order as long as those before them are below the budget; the one that reaches it still counts."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # a work list of one worker
-    return rows.withColumn("__used", F.coalesce(F.sum(amount).over(w), F.lit(0))).where(F.col("__used") < budget).drop("__used")
+    return with_sum_before(rows, amount, "__used", *order).where(F.col("__used") < budget).drop("__used")
 
 
 def keep_first(rows: DataFrame, key: str, *order) -> DataFrame:
@@ -50,7 +52,10 @@ def without_names(listing: DataFrame, keep: bool = False) -> DataFrame:
 
 
 def new_listings(pages: DataFrame, index: DataFrame, have: DataFrame, count: int, ranked_only: bool = False, min_elo: float = 0.0) -> DataFrame:
-    """Listed replays not yet seen, the first of each id in page order, usable ones, up to count in all."""
+    """Listed replays not yet seen, the first of each id in page order, usable ones, up to count in all.
+
+    Counts have when it is called, to know how many are left.
+    """
     seen = index.select("id").unionByName(have.select("id")).distinct()
     fresh = keep_first(pages, "id", "page", "n").join(seen, "id", "left_anti").where(unusable_reason(ranked_only, min_elo).isNull())
     left = max(0, count - have.select("id").distinct().count())
@@ -70,6 +75,15 @@ def newest(attempts: DataFrame, n: int, *order) -> DataFrame:
     return attempts.orderBy(*order).limit(n)
 
 
+def newest_or_by_name(attempts: DataFrame, captures: DataFrame, n: int, *order) -> DataFrame:
+    """capture of the n newest attempts or, if there are none at all, of the first n captures by name.
+
+    Looks for attempts when it is called.
+    """
+    listed = newest(attempts, n, *order).select("capture")
+    return captures.select("capture").orderBy("capture").limit(n) if listed.isEmpty() else listed
+
+
 def next_shard(names: DataFrame, host: str) -> DataFrame:
     """One row, index: one more than the largest of the host's shard names (name), 0 without any."""
     from ..functions.scalars import shard_index
@@ -86,21 +100,31 @@ def not_shipped(captures: DataFrame, shipped: DataFrame) -> DataFrame:
 def next_fit(items: DataFrame, group: str, order: list[str], amount: str, cap: int) -> DataFrame:
     """Items with n, their place, and bin: a bin closes when the next item would exceed cap; a larger item is alone.
 
-    Bins follow from the order, so a group (a host's upload list) is folded in one row, within Spark's functions.
+    A bin depends on all items before, so each group's items (a host's upload list) pass through one task,
+    sorted and batch by batch; only the open bin's total is kept, and no group is gathered.
     """
     fields = [c for c in items.columns if c != group]
-    packed = items.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*order, *(c for c in fields if c not in order)))).alias("items"))
-    start = F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("total"), F.array().cast("array<int>").alias("bins"))
-
-    def step(acc: Column, item: Column) -> Column:
-        size = item[amount].cast("long")
-        closes = (acc["total"] > 0) & (acc["total"] + size > cap)
-        at = acc["bin"] + closes.cast("int")
-        return F.struct(at.alias("bin"), F.when(closes, size).otherwise(acc["total"] + size).alias("total"), F.array_append(acc["bins"], at).alias("bins"))
-
-    bins = packed.withColumn("bins", F.aggregate("items", start, step, lambda acc: acc["bins"]))
-    rows = bins.select(group, F.posexplode(F.arrays_zip("items", "bins")).alias("n", "x"))
-    return rows.select(group, "n", F.col("x.bins").alias("bin"), *(F.col(f"x.items.{c}").alias(c) for c in fields))
+    sort = list(dict.fromkeys([*order, *fields]))
+    dealt = items.select(group, *fields).repartition(group).sortWithinPartitions(group, *sort)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: object = fold  # no group yet
+        n = at = total = 0
+        for batch in batches:
+            places, bins = [], []
+            for key, size in zip(batch.column(group).to_pylist(), batch.column(amount).to_pylist(), strict=True):
+                if key != now:
+                    now, n, at, total = key, 0, 0, 0
+                size = int(size or 0)
+                if total > 0 and total + size > cap:
+                    at, total = at + 1, 0
+                places.append(n)
+                bins.append(at)
+                n, total = n + 1, total + size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64()), pa.array(bins, pa.int32())], names=[*batch.schema.names, "n", "bin"])
+
+    schema = type(dealt.schema)([*dealt.schema.fields]).add("n", "long").add("bin", "integer")
+    return dealt.mapInArrow(fold, schema).select(group, "n", "bin", *fields)
 
 
 def shard_plan(captures: DataFrame, host: str, order: list[str], amount: str, cap: int, first: int = 0) -> DataFrame:

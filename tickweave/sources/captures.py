@@ -24,7 +24,7 @@ def frames(files: DataFrame) -> DataFrame:
     frame_column is the header's engine tick column, null if it has none. tick and frame are null where
     they can't be read; failed is where reading a row would stop: tick, frame, p1, p2 or null. p1_input and
     p2_input are the masks (0 if left out), p1_bools and p2_bools those that the separate columns give
-    (null without all of them). Lines are told apart by the header alone, so every generation of columns
+    (null unless all of p1's are there; those of p2 that are missing count as off). Lines are told apart by the header alone, so every generation of columns
     can be read.
     """
     lines = F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")
@@ -41,13 +41,12 @@ def frames(files: DataFrame) -> DataFrame:
 
     column = F.coalesce(*(F.when(has(c), F.lit(c)) for c in TICK_COLUMNS))
     tick = F.coalesce(*(F.when(column == c, cell(c)) for c in TICK_COLUMNS)).try_cast("long")
-    all_bools = {p: F.forall(F.array(*(F.lit(f"{p}_{b}") for b in BUTTONS)), lambda n: F.array_contains("header", n)) for p in PLAYERS}
-    both = all_bools["p1"] & all_bools["p2"]
+    with_bools = F.forall(F.array(*(F.lit(f"p1_{b}") for b in BUTTONS)), lambda n: F.array_contains("header", n))
     out = rows.select(
         "capture", "pos", ((F.size("header") > 0) & (F.element_at("header", 1) != "")).alias("has_header"),
         column.alias("frame_column"), has("frame").alias("has_frame"), tick.alias("tick"), cell("frame").try_cast("long").alias("frame_value"),
         *(scalars.number_or_zero(cell(f"{p}_input")).alias(f"{p}_input") for p in PLAYERS),
-        *(F.when(both, F.array(*(scalars.number_or_zero(cell(f"{p}_{b}")) for b in BUTTONS))).alias(f"{p}_flags") for p in PLAYERS),
+        *(F.when(with_bools, F.array(*(scalars.number_or_zero(cell(f"{p}_{b}")) for b in BUTTONS))).alias(f"{p}_flags") for p in PLAYERS),
         cell("frame_file").alias("frame_file"),
     )
     bad_flags = {p: F.coalesce(F.exists(f"{p}_flags", lambda x: x.isNull()), F.lit(False)) for p in PLAYERS}
@@ -68,9 +67,9 @@ def json_lines(spark: SparkSession, path: str | list[str], schema, pattern: str
     return rows.select("*", F.col("_metadata.file_path").alias("source_file")).where("_corrupt IS NULL").drop("_corrupt")
 
 
-def manifests(spark: SparkSession, roots: str | list[str]) -> DataFrame:
-    """Attempts of every manifest.jsonl below the roots, with their worker, the folder's name, and file."""
-    rows = json_lines(spark, roots, MANIFEST, "manifest.jsonl")
+def manifests(spark: SparkSession, roots: str | list[str], pattern: str = "manifest.jsonl") -> DataFrame:
+    """Attempts of every manifest file below the roots, with their worker, the folder's name, and file."""
+    rows = json_lines(spark, roots, MANIFEST, pattern)
     return rows.withColumn("worker", F.element_at(F.split("source_file", "/"), -2))
 
 

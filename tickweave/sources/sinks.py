@@ -43,6 +43,13 @@ def report_json(reports: DataFrame) -> DataFrame:
     return reports.select("capture", F.to_json(F.struct(*(c for c in reports.columns))).alias("report"))
 
 
+def report_text(reports: DataFrame, failing_only: bool = False) -> DataFrame:
+    """Each capture's report as lines to read: its verdict, then a line for each finding."""
+    lines = F.transform("findings", lambda f: F.concat(F.lit("\n  "), f["severity"], F.lit(" "), f["check"], F.lit(": "), f["detail"]))
+    verdict = F.concat(F.when(F.col("ok"), "pass ").otherwise("FAIL "), "capture")
+    return (reports.where("NOT ok") if failing_only else reports).select("capture", F.concat(verdict, F.array_join(lines, "")).alias("report"))
+
+
 def exit_code(reports: DataFrame) -> int:
     """0 if all captures pass, 1 if one fails, 2 without captures."""
     row = reports.agg(F.count("*").alias("n"), F.count_if(~F.col("ok")).alias("bad")).first()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where that is unset, as in tests, a local folder."""
+    """spark.checkpoint.dir, or where that is unset and Spark runs in one process, as in tests, a local folder."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not where:
         where = sc.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="tickweave-")
         sc.setCheckpointDir(where)
     return where
