@@ -233,6 +233,63 @@ def test_toxicity_learns_stems(spark):
     assert toxicity.fit(rows, flipped).weights == model.weights and held
 
 
+def _plain_hits(model, text):
+    """Every place of every stem and exception, by comparing strings."""
+    seen = toxicity.visible(text)
+    low = seen.translate(toxicity.FOLD)
+    stems = sorted({toxicity.fold(s): w for s, w in model.weights.items()}.items(), key=lambda x: -len(x[0]))
+    starts = [i for i in range(len(low)) if not (i and seen[i - 1].isalnum())]
+    safe = [(i, i + len(p)) for p in map(toxicity.fold, model.exceptions) for i in starts if low.startswith(p, i)]
+    n, weight, last = 0, 0.0, -1
+    for end, start, w in sorted((i + len(s), i, w) for s, w in stems for i in starts if low.startswith(s, i)):
+        if start != last and not any(a <= start and end <= b for a, b in safe):
+            n, weight, last = n + 1, weight + w, start
+    return n, weight, len(seen.split())
+
+
+def test_toxic_hits_match_plain_search(spark):
+    model = toxicity.ToxicityModel({"idiot": 3.0, "idio": 1.0, "loser": 2.0, "trash": 1.5, "stupid": 2.5})
+    rng = np.random.default_rng(5)
+    bits = ["idiot", "1d10t", "idiots", "IDIO", "loser", "closer", "trash can", "trash", "stup1d!", "idiot proof", "ídiot", "x", "\n", "  ", "-", "i\u200bdiot", "no"]
+    texts = [*AWKWARD, *("".join(rng.choice(bits) + rng.choice(["", " ", ", "]) for _ in range(rng.integers(0, 30))) for _ in range(120)), "loser " * 20_000]
+    for t in texts:
+        if len(t or "") < 5000:
+            assert model.hits(t or "") == pytest.approx(_plain_hits(model, t or "")), t
+    got = {r["doc_id"]: r for r in toxicity.score(docs(spark, texts).selectExpr("*", "1 AS weight", "2 AS n_hits", "3 AS score"), model).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        n, weight, words = model.hits(t or "")
+        x = model.features(weight, words)
+        assert (got[i]["n_hits"], got[i]["n_words"]) == (n, words)
+        assert got[i]["score"] == pytest.approx(1 / (1 + np.exp(-(x[0] * model.beta[0] + x[1] * model.beta[1] + model.beta[2]))))
+    assert got[len(texts) - 1]["n_hits"] == 20_000 and got[0]["score"] == got[1]["score"]
+
+
+def test_compressed_sizes_match_zstandard(spark):
+    import zstandard
+
+    good, bad = b"the cat sat on the mat and looked at the dog " * 40, b"### $$$ 123 %%% ### click here " * 40
+    model = compression_quality.CompressionModel(good, bad, (20.0, 1.0, 2.0, -1.0))
+    texts = [*AWKWARD, "the cat sat on the mat", "### click here", "the cat " * 200_000, "the cat " * 200_000]
+    frame = docs(spark, texts).selectExpr("*", "1 AS diff", "2 AS plain", "3 AS relative", "4 AS score")
+    got = {r["doc_id"]: r for r in compression_quality.measure(frame, model).collect()}
+    assert len(got) == len(texts)
+
+    def size(raw, dictionary=None):
+        data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        return len(zstandard.ZstdCompressor(level=compression_quality.LEVEL, dict_data=data, write_content_size=False).compress(raw))
+
+    for i, t in enumerate(texts):
+        raw = (t or "").encode("utf-8", "replace")
+        want = ((size(raw, bad) - size(raw, good)) / len(raw), min(1.0, size(raw) / len(raw)), (size(raw, bad) - size(raw, good)) / size(raw)) if raw else (0.0, 1.0, 0.0)
+        if len(raw) < 100_000:  # for longer ones a prepared dictionary picks other parameters
+            assert (got[i]["diff"], got[i]["plain"], got[i]["relative"]) == pytest.approx(want, abs=0.05), i
+        z = sum(a * b for a, b in zip((got[i]["diff"], got[i]["plain"], got[i]["relative"], 1.0), model.beta))
+        assert got[i]["score"] == pytest.approx(1 / (1 + np.exp(-z)))
+    n = len(AWKWARD)
+    assert got[n]["score"] > got[n + 1]["score"] and got[n + 2]["score"] == got[n + 3]["score"]
+
+
 def test_compression_separates_classes(spark):
     rows = [(i, " ".join(f"w{(i * 31 + k * 7) % 211}" + ("###" if i % 4 == 0 else "") for k in range(60))) for i in range(600)]
     labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(600)], "doc_id long, quality int, toxic int")

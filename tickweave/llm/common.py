@@ -95,7 +95,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def slices(batch, rows: int = 256):
-    """Parts of an Arrow batch, so that few texts are Python objects at a time."""
+    """Parts of an Arrow batch, so that few texts are Python objects at a time; Spark itself bounds a batch's bytes."""
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
 
@@ -113,15 +113,3 @@ def slices_of(batch, column: str, most: int):
         total += size
     if batch.num_rows > start:
         yield batch.slice(start)
-
-
-#: Rows of an Arrow batch: texts are long, and an executor holds several batches for each of its tasks.
-BATCH_ROWS = 2500
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Lowers spark.sql.execution.arrow.maxRecordsPerBatch of the session to BATCH_ROWS, if it is higher or unbounded."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))

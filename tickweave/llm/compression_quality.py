@@ -5,8 +5,9 @@ either and with none; the difference of the sizes over the length, the plain siz
 the difference over the plain size become a score by a logistic curve, fitted on labelled rows that no
 dictionary has seen.
 
-Null and empty texts have differences of 0. Every input row gives one row, repeated rows too; columns
-other than doc_id and text are not read.
+Null and empty texts have differences of 0; very long ones are compressed whole. Rows are taken for the
+dictionaries in the order of a hash, ties by the id. Every input row gives one row, repeated rows too, an
+empty table none; columns other than doc_id and text are not read, so their names clash with nothing.
 """
 
 from __future__ import annotations
@@ -100,7 +101,6 @@ def _scores(model: CompressionModel, texts: pa.Array) -> tuple[np.ndarray, np.nd
 
 def measure(docs: DataFrame, model: CompressionModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the kept columns, the three features and the score of every row."""
-    common.bound_batches(docs.sparkSession)
     columns = ["doc_id", *(c for c in keep if c != "doc_id"), "text"]
     kept = docs.select(*columns)
 
@@ -128,7 +128,6 @@ def op10_compression_quality(spark, sf_dir: str) -> DataFrame:
 def reject_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is one half or more, with their columns."""
     model = fit(docs, common.table(spark, sf_dir, "labels"))
-    common.bound_batches(spark)
 
     @F.arrow_udf("double")  # the other columns stay in the JVM
     def good(texts: pa.Array) -> pa.Array:

@@ -285,7 +285,6 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = [main_text(h) for h in part.column("html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    common.bound_batches(pages.sparkSession)
     kept = pages.select("page_id", "url", "html")
     kind = kept.schema["page_id"].dataType.simpleString()
     return kept.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

@@ -237,7 +237,6 @@ def encode(docs: DataFrame, path: str, chunk: int = 32768) -> DataFrame:
     around = model(path).longest  # no piece reaches farther over a cut
     if chunk < 4 * around:
         raise ValueError(f"chunks must have {4 * around} characters or more for this model")
-    common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
 

@@ -68,7 +68,6 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
                 longs = pa.array(np.array(made, dtype=np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), longs], names=["doc_id", "fp"])
 
-    common.bound_batches(docs.sparkSession)
     kept = docs.select("doc_id", "text")
     return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long")
 
@@ -219,7 +218,6 @@ def _sketches(rows: DataFrame, width: int, bands: int, band: int) -> DataFrame:
                 arrays = [part.column("doc"), part.column("row"), pa.array(n, pa.int32()), longs[0], longs[1], listed, pa.array(sig, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc", "row", "n", "s", "t", "keys", "sig"])
 
-    common.bound_batches(rows.sparkSession)
     return rows.mapInArrow(run, "doc long, row long, n int, s long, t long, keys array<long>, sig binary")
 
 

@@ -6,8 +6,10 @@ one class. The lexicon holds word beginnings with weights: a short list of insul
 labelled rows show to mark toxic text. Hits inside an exception phrase don't count. The weight found,
 by itself and per words of the text, becomes a score by a logistic curve fitted on labelled rows.
 
-Null and empty texts have no hits and get the score of the intercept. Every input row gives one row,
-repeated rows too; columns other than doc_id and text are not read.
+Null and empty texts have no hits and get the score of the intercept; very long ones are read whole. Of
+hits that start at the same place the first to end counts once. Every input row gives one row, repeated
+rows too, an empty table none; columns other than doc_id and text are not read, so their names clash with
+nothing.
 """
 
 from __future__ import annotations
@@ -199,7 +201,6 @@ def _scores(model: ToxicityModel, texts: pa.Array) -> tuple[list[tuple[int, floa
 
 def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the kept columns, n_hits, weight, n_words and score of every row."""
-    common.bound_batches(docs.sparkSession)
     columns = ["doc_id", *(c for c in keep if c != "doc_id"), "text"]
     kept = docs.select(*columns)
 
@@ -232,7 +233,6 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
 def reject_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is under one half, with their columns."""
     model = fit(docs, common.table(spark, sf_dir, "labels"))
-    common.bound_batches(spark)
 
     @F.arrow_udf("double")  # the other columns stay in the JVM
     def toxic(texts: pa.Array) -> pa.Array:
