@@ -23,11 +23,18 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Rows of a file where a table's number of rows is known.
+FILE_ROWS = 1_000_000
+
+
+def materialize(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back.
 
-    What follows starts from these files, so a lost executor costs only the tasks that it ran.
+    What follows starts from these files, so a lost executor costs only the tasks that it ran. rows: about
+    how many df has, if that is known; it then has no more files than they need.
     """
+    if rows is not None:
+        df = df.coalesce(rows // FILE_ROWS + 1)
     path = f"{shared_dir(df.sparkSession)}/tickweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
