@@ -155,7 +155,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     with many neighbours is only ever aggregated (min) and joined, never gathered.
     """
     now = common.materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    stamp = None
+    stamp, n_edges = None, now.count()
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -163,11 +163,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u > v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        now = common.materialize(small.where("u > v").distinct())
+        now = common.materialize(small.where("u > v").distinct(), n_edges)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == stamp:
             break
-        stamp = mark
+        stamp, n_edges = mark, mark[0]
     else:
         raise RuntimeError(f"components didn't settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
