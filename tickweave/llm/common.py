@@ -13,7 +13,12 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; of those with texts and vectors, one that a scan would give to fewer tasks than there are cores is dealt out."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("documents", "pages", "embeddings") and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores)
+    return rows
 
 
 def id_remainder(doc_id: Column, mod: int) -> Column:
