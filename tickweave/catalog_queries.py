@@ -311,13 +311,13 @@ def fleet_eta(spark, sf_dir):
 
 @_query("""WITH g AS (SELECT o_custkey, count(*) - 1 AS again FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS ok, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS fail, (SELECT count(*) FROM g) AS unique_ids,
-CAST((SELECT sum(again) FROM g) AS BIGINT) AS n_dup, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 5 <> o_orderkey % 10) AS n_sync, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 50 = 0) AS n_mask,
+(SELECT count(*) / 60 / 3600 FROM orders WHERE o_orderstatus = 'F') AS hours, (SELECT sum(o_orderkey % 777) / 1e9 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 <> 0) AS gb, CAST((SELECT sum(again) FROM g) AS BIGINT) AS n_dup, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 5 <> o_orderkey % 10) AS n_sync, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 50 = 0) AS n_mask,
 (SELECT string_agg(o_custkey, ',' ORDER BY o_custkey) FROM (SELECT o_custkey FROM g WHERE again > 0 ORDER BY o_custkey LIMIT 5)) AS first_dups""")
 def host_audit(spark, sf_dir):
     validation = F.struct((F.col("o_orderkey") % 5).alias("csv_rows"), (F.col("o_orderkey") % 10).alias("video_frames"), (F.col("o_orderkey") % 50 == 0).cast("int").alias("mask_mismatches"))
-    attempts = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("replay_id"), F.when(F.col("o_orderstatus") == "F", "ok").otherwise("failed").alias("status"), F.lit(1).alias("frames"), F.lit("none").alias("video"), validation.alias("validation"))
-    sizes = spark.createDataFrame([], "path string, length long")
-    return catalog.host_audit(attempts, sizes).select("ok", "fail", "unique_ids", "n_dup", "n_sync", "n_mask", F.array_join(F.transform("dup", lambda x: x.cast("string")), ",").alias("first_dups"))
+    attempts = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("replay_id"), F.when(F.col("o_orderstatus") == "F", "ok").otherwise("failed").alias("status"), F.lit(1).alias("frames"), F.col("o_orderkey").cast("string").alias("video"), validation.alias("validation"))
+    sizes = _t(spark, sf_dir, "orders").where("o_orderkey % 4 != 0").select(F.col("o_orderkey").cast("string").alias("path"), (F.col("o_orderkey") % 777).alias("length"))
+    return catalog.host_audit(attempts, sizes).select("ok", "fail", "hours", "gb", "unique_ids", "n_dup", "n_sync", "n_mask", F.array_join(F.transform("dup", lambda x: x.cast("string")), ",").alias("first_dups"))
 
 
 @_query("""WITH a AS (SELECT o_orderpriority AS worker, sum(o_orderkey % 100) AS b, sum(o_orderkey % 30) AS a FROM orders GROUP BY 1)
@@ -329,12 +329,12 @@ def sampled_rate(spark, sf_dir):
 
 
 @_query("""WITH f AS (SELECT o_orderpriority AS worker, o_orderkey % 1000 AS frames, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 777 END AS length FROM orders WHERE o_orderstatus = 'F')
-SELECT worker, sum(frames) / 60 / 3600 AS hours, CAST(coalesce(sum(length), 0) AS BIGINT) AS video_bytes, CASE WHEN coalesce(sum(length), 0) / 1e6 / (sum(frames) / 60 / 3600) <= 700 THEN 'OK' ELSE 'OVER' END AS budget FROM f GROUP BY ROLLUP (worker)""")
+SELECT worker, sum(frames) / 60 / 3600 AS hours, CAST(coalesce(sum(length), 0) AS BIGINT) AS video_bytes, coalesce(sum(length), 0) / 1e6 / (sum(frames) / 60 / 3600) AS mb_per_hour, CASE WHEN coalesce(sum(length), 0) / 1e6 / (sum(frames) / 60 / 3600) <= 700 THEN 'OK' ELSE 'OVER' END AS budget FROM f GROUP BY ROLLUP (worker)""")
 def footage(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     attempts = o.select(F.col("o_orderpriority").alias("worker"), F.when(F.col("o_orderstatus") == "F", "ok").alias("status"), (F.col("o_orderkey") % 1000).alias("frames"), F.col("o_orderkey").cast("string").alias("video"))
     sizes = o.where("o_orderkey % 4 != 0").select(F.col("o_orderkey").cast("string").alias("path"), (F.col("o_orderkey") % 777).alias("length"))
-    return catalog.footage(attempts, sizes).select("worker", "hours", "video_bytes", "budget")
+    return catalog.footage(attempts, sizes).select("worker", "hours", "video_bytes", "mb_per_hour", "budget")
 
 
 @_query("""SELECT source AS root, CAST(doc_id AS VARCHAR) AS rel FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
