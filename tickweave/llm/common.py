@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,10 +105,23 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def slices(batch, rows: int = 256):
     """Parts of an Arrow batch, so that few texts are Python objects at a time; Spark itself bounds a batch's bytes."""
+    pa.default_memory_pool().release_unused()  # what the batches before took
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
+    """For jobs that run inside: Arrow batches of so many rows at most. The session's own setting comes back after them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def slices_of(batch, column: str, most: int):
     """Parts of an Arrow batch of about so many bytes of the column at most, or of one row."""
     import pyarrow.compute as pc

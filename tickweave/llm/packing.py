@@ -428,4 +428,5 @@ def op9_packing(spark, sf_dir: str) -> DataFrame:
 
 def pack_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left, as pieces in sequences of at most 4096 ids."""
-    return pack(docs, tokenizer_path(), memo=SMALL_MEMO, slice_bytes=SMALL_SLICE_BYTES)
+    with common.small_batches(spark):
+        return pack(docs, tokenizer_path(), memo=SMALL_MEMO, slice_bytes=SMALL_SLICE_BYTES)

@@ -298,13 +298,15 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
     is a row like any other. Rows with a null doc_id can't be named as the one of a group, and stay.
     """
     rows = _rows(docs.where(F.col("doc_id").isNotNull()))
-    sketches = common.materialize(_sketches(rows, width, bands, band))
+    with common.small_batches(spark):
+        sketches = common.materialize(_sketches(rows, width, bands, band))
     named = F.min(F.struct("doc", "row")).alias("id")
     nodes = common.materialize(sketches.groupBy("s", "t").agg(named, *(F.first(c).alias(c) for c in ("n", "keys", "sig"))).drop("s", "t"))
     pairs = common.materialize(similar_pairs(nodes, similarity))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select("id.*").distinct()
     sets = _shingle_sets(rows.join(ids, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"]), width)
-    sets = common.materialize(sets.select(F.struct("doc", "row").alias("id"), "shingles"))
+    with common.small_batches(spark):
+        sets = common.materialize(sets.select(F.struct("doc", "row").alias("id"), "shingles"))
     for c in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")), c)
     both = F.size(F.array_intersect("of_a", "of_b"))
