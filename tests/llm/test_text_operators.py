@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tickweave.llm import compression_quality, html_text, license_scan, packing, pieces, quality_rules, toxicity
+from tickweave.llm import common, compression_quality, html_text, license_scan, packing, pieces, quality_rules, toxicity
 
 from .tables import AWKWARD, docs
 
@@ -120,7 +120,7 @@ def test_quality_thresholds_differ_where_spreads_do(spark):
 
     rows = [(i, text(i, i % 3), "en", "even") for i in range(120)] + [(1000 + i, text(i, i % 12), "en", "wide") for i in range(120)] + [(2000 + i, text(i, 0), "xx", "few") for i in range(5)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "'x' AS rule", "1 AS bin", "2 AS c", "3 AS salt", "4 AS rows1", "5 AS symbols")
-    limits = {r["source"]: r for r in quality_rules.thresholds(quality_rules.measures(frame)).collect()}
+    limits = {r["source"]: r for r in quality_rules.thresholds(common.materialize(quality_rules.measures(frame))).collect()}
     assert limits["even"]["repeats_high"] < limits["wide"]["repeats_high"]
     assert limits["even"]["dup_lines_high"] < limits["wide"]["dup_lines_high"]
     # a group with few texts has the limits of all, as its language has few too

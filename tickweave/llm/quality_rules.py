@@ -84,7 +84,7 @@ def _bins() -> list[Column]:
 
 
 def thresholds(measured: DataFrame, least_rows: int = 100) -> DataFrame:
-    """For each (lang, source) the smallest and largest bin allowed of each rule.
+    """For each (lang, source) the smallest and largest bin allowed of each rule. measured, read several times, should be a written table.
 
     Sketches: counts by (lang, source, rule, bin), at most BINS + 1 rows for a group and rule, added up
     for the language and for all. The sketch used is the first of group, language and all with
