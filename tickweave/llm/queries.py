@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import license_scan
+from .alignment import op11_token_alignment
 from .ann import op4_cross_polytope_ann
 from .compression_quality import op10_compression_quality
 from .html_text import op2_html_main_text
@@ -16,7 +17,7 @@ from .toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality)
+    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality, op11_token_alignment)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
