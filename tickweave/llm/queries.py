@@ -6,6 +6,7 @@ from . import license_scan
 from .alignment import op11_token_alignment
 from .ann import op4_cross_polytope_ann
 from .compression_quality import op10_compression_quality
+from .conversation_trie import op13_conversation_trie
 from .html_text import op2_html_main_text
 from .license_scan import op5_license_scan
 from .line_dedup import op8_line_dedup
@@ -17,7 +18,7 @@ from .toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality, op11_token_alignment)
+    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality, op11_token_alignment, op13_conversation_trie)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -60,6 +61,22 @@ f AS (SELECT k.doc_id, k.n, e.p, least(e.p, near.o) AS o, near.o AS q FROM k JOI
 SELECT doc_id, CAST(n AS INTEGER) AS line_no, coalesce(o, p).d AS kept_doc_id, CAST(coalesce(o, p).n AS INTEGER) AS kept_line_no FROM f WHERE p < {'d': doc_id, 'n': n} OR q IS NOT NULL
 """
 
+_TRIE = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(sha256(role || chr(0) || text) ORDER BY i) AS turns FROM t GROUP BY conv_id),
+words AS (SELECT DISTINCT sha256(role || chr(0) || text) AS turn, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM t),
+h AS (SELECT conv_id, turns, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h FROM own, tab),
+full_ AS (SELECT h.conv_id, list_concat(coalesce(b.turns, [])[:h], h.turns[h + 1:]) AS turns FROM h LEFT JOIN own AS b ON b.conv_id = h.conv_id - h.conv_id % 20),
+path AS (SELECT conv_id, d AS depth, array_to_string(turns[:d], ',') AS node, CASE WHEN d > 0 THEN array_to_string(turns[:d - 1], ',') END AS parent, turns[d] AS turn, d = len(turns) AS last FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM full_)),
+n AS (SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(turn) AS turn, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends FROM path GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+s AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(words, 0) AS own FROM n LEFT JOIN kids USING (node) LEFT JOIN words USING (turn)),
+sub AS (SELECT p.node, sum(s.own) AS saved_tokens, count(*) FILTER (WHERE s.n_children = 0) AS n_leaves FROM s JOIN path AS p ON p.conv_id = s.conv_id AND p.depth <= s.depth GROUP BY p.node)
+SELECT s.conv_id, s.depth, up.conv_id AS parent_conv_id, s.n_convs, s.n_children, sub.n_leaves, CAST(sub.saved_tokens AS BIGINT) AS saved_tokens, sha256(s.ends) AS ends_sha256
+FROM s JOIN sub USING (node) LEFT JOIN n AS up ON up.node = s.parent
+"""
+
 
 
 def _license_sql() -> str:
@@ -87,4 +104,4 @@ FROM d LEFT JOIN b USING (r) LEFT JOIN g USING (r)
 """
 
 
-ORACLES: dict[str, str] = {"op5_license_scan": _license_sql(), "op6_quality_rules": _QUALITY, "op8_line_dedup": _LINES}
+ORACLES: dict[str, str] = {"op5_license_scan": _license_sql(), "op6_quality_rules": _QUALITY, "op8_line_dedup": _LINES, "op13_conversation_trie": _TRIE}
