@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import numpy as np
@@ -45,28 +45,33 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[start], np.add.reduceat(counts, start)
 
 
-def partial_counts(parts: Iterable[np.ndarray], most: int = MOST_KEYS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted unique keys with counts of the arrays of a partition, so that about most keys are held at a time."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    fresh: list[np.ndarray] = []
-    size = kept = 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        held.append(np.unique(np.concatenate(fresh), return_counts=True) if fresh else (np.empty(0, np.int64), np.empty(0, np.int64)))
-        return summed(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
-
-    for keys in parts:
-        fresh.append(keys)
-        size += len(keys)
-        if size > max(most, kept):
-            one = merged()
-            held, fresh, size, kept = [one], [], 0, len(one[0])
-            if kept > most:
-                yield one
-                held, kept = [], 0
-    one = merged()
-    if len(one[0]):
-        yield one
+class PartialCounts:
+    """Counts of the keys of a partition as arrays of them come; about most keys are held at a time."""
+
+    def __init__(self, most: int = MOST_KEYS):
+        self.most, self.fresh, self.size = most, [], 0
+        self.held = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _merge(self) -> None:
+        keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *self.fresh]), return_counts=True)
+        self.held = summed(np.concatenate([self.held[0], keys]), np.concatenate([self.held[1], n]))
+        self.fresh, self.size = [], 0
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Sorted unique keys and counts, where more are held than may be."""
+        self.fresh.append(keys)
+        self.size += len(keys)
+        if self.size > max(self.most, len(self.held[0])):
+            self._merge()
+            if len(self.held[0]) > self.most:
+                yield from self.end()
+
+    def end(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What is left."""
+        self._merge()
+        if len(self.held[0]):
+            yield self.held
+        self.held = np.empty(0, np.int64), np.empty(0, np.int64)
 
 
 class CountShards:
