@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..schemas import ALL_MASK, PLAYERS, TICK_COLUMNS
+from . import ranges
 
 MIN_USABLE_FRAMES = 600
 #: Duplicate rows in 10,000 above which a capture fails.
@@ -14,19 +15,35 @@ MAX_DUPLICATES = 100
 
 
 def tick_summary(rows: DataFrame, key: str, order: str, tick: str) -> DataFrame:
-    """csv_rows, distinct_frames, duplicate_rows and decreases of each key, in one shuffle by key."""
-    w = Window.partitionBy(key).orderBy(order)
-    fell = F.col(tick) < F.lag(tick).over(w)
-    out = rows.where(F.col(tick).isNotNull()).select(key, tick, F.coalesce(fell, F.lit(False)).alias("fell"))
-    out = out.groupBy(key).agg(F.count("*").alias("csv_rows"), F.countDistinct(tick).alias("distinct_frames"), F.count_if("fell").alias("decreases"))
-    return out.withColumn("duplicate_rows", F.col("csv_rows") - F.col("distinct_frames"))
+    """csv_rows, distinct_frames, duplicate_rows and decreases of each key; no task sees all rows of one."""
+    out = ranges.with_previous(rows.select(key, order, tick), [key], [order], tick, "__before").where(F.col(tick).isNotNull())
+    fell = F.count_if(F.coalesce(F.col(tick) < F.col("__before"), F.lit(False)))
+    out = _with_distinct(out, key, tick, "distinct_frames", csv_rows=(F.count("*"), F.sum), decreases=(fell, F.sum))
+    return out.withColumn("duplicate_rows", F.col("csv_rows") - F.col("distinct_frames")).select(key, "csv_rows", "distinct_frames", "decreases", "duplicate_rows")
+
+
+def _with_distinct(rows: DataFrame, key: str, value: str, name: str, **totals) -> DataFrame:
+    """name, the exact number of distinct values of each key, and totals (how to aggregate rows, and these once more).
+
+    Values are integers that lie close together, as ticks and masks do: each 32,768 of them in a row are a bitmap of
+    4 KB, and only bitmaps of tasks are shuffled and merged, not values.
+    """
+    v = F.col(value).cast("long")
+    maps = rows.select("*", F.bitmap_bucket_number(v).alias("__bucket"), F.bitmap_bit_position(v).alias("__bit"))
+    parts = maps.groupBy(key, "__bucket").agg(F.bitmap_count(F.bitmap_construct_agg("__bit")).alias("__n"), *(how.alias(n) for n, (how, _) in totals.items()))
+    return parts.groupBy(key).agg(F.sum(F.when(F.col("__bucket").isNotNull(), F.col("__n")).otherwise(0)).alias(name), *(again(n).alias(n) for n, (_, again) in totals.items()))
 
 
 def worst_duplicate(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """The most frequent value of each key and its count; of equally frequent ones that met first."""
+    return _repeats(rows, key, order, value).drop("distinct_frames")
+
+
+def _repeats(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """worst_value, worst_count and distinct_frames of each key that has values."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    best = counts.groupBy(key).agg(F.max(F.struct("n", (-F.col("first")).alias("back"), F.col(value).alias("value"))).alias("x"))
-    return best.select(key, F.col("x.value").alias("worst_value"), F.col("x.n").alias("worst_count"))
+    best = counts.groupBy(key).agg(F.max(F.struct("n", (-F.col("first")).alias("back"), F.col(value).alias("value"))).alias("x"), F.count("*").alias("distinct_frames"))
+    return best.select(key, F.col("x.value").alias("worst_value"), F.col("x.n").alias("worst_count"), "distinct_frames")
 
 
 def dense_counter(rows: DataFrame, key: str, order: str, counter: str) -> DataFrame:
@@ -80,12 +97,12 @@ def reports(frames: DataFrame, videos: DataFrame | None = None, require_video: b
     wrong = F.col("place").isNotNull() & (F.col("place") != F.col("frame"))
     stats = rows.groupBy("capture").agg(
         F.first("has_header").alias("has_header"), F.first("frame_column").alias("frame_column"), F.first("has_frame").alias("has_frame"),
-        F.count("tick").alias("csv_rows"), F.countDistinct("tick").alias("distinct_frames"), F.count_if("bad").alias("bad_rows"), F.count_if("fell").alias("decreases"),
+        F.count("tick").alias("csv_rows"), F.count_if("bad").alias("bad_rows"), F.count_if("fell").alias("decreases"),
         F.count("place").alias("counted"), F.min(F.when(wrong, F.struct("place", "frame"))).alias("gap"), F.min_by("tick", F.when(F.col("tick").isNotNull(), F.col("pos"))).alias("first_tick"),
         *(F.bool_or(f"{p}_any").alias(f"{p}_any") for p in PLAYERS), F.sum("wide").alias("mask_range"), F.sum("odd").alias("mask_mismatches"),
         F.min_by("witness", F.when(F.col("witness").isNotNull(), F.col("pos"))).alias("witness"),
     )
-    out = stats.join(worst_duplicate(frames, "capture", "pos", "tick"), "capture", "left").withColumn("duplicate_rows", F.col("csv_rows") - F.col("distinct_frames"))
+    out = stats.join(_repeats(frames, "capture", "pos", "tick"), "capture", "left").withColumn("distinct_frames", F.coalesce("distinct_frames", F.lit(0))).withColumn("duplicate_rows", F.col("csv_rows") - F.col("distinct_frames"))
     if expected is not None:
         out = expected.select("capture").distinct().join(out.withColumn("present", F.lit(True)), "capture", "left")
     else:
@@ -144,5 +161,5 @@ def failing(checked: DataFrame) -> DataFrame:
 
 def activity(rows: DataFrame, key: str, mask: str) -> DataFrame:
     """Rows, active rows, distinct states and whether a capture of more than 60 rows is all idle."""
-    out = rows.groupBy(key).agg(F.count("*").alias("n_rows"), F.count_if(F.col(mask) != 0).alias("active_rows"), F.countDistinct(mask).alias("distinct_states"))
+    out = _with_distinct(rows, key, mask, "distinct_states", n_rows=(F.count("*"), F.sum), active_rows=(F.count_if(F.col(mask) != 0), F.sum))
     return out.withColumn("all_idle", (F.col("active_rows") == 0) & (F.col("n_rows") > 60))

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialize
+from . import ranges
 from .numbering import numbered, with_sum_before
 
 
@@ -97,34 +99,110 @@ def not_shipped(captures: DataFrame, shipped: DataFrame) -> DataFrame:
     return captures.join(shipped.select("root", "rel"), ["root", "rel"], "left_anti")
 
 
-def next_fit(items: DataFrame, group: str, order: list[str], amount: str, cap: int) -> DataFrame:
+#: Items of a group that one task walks through.
+BLOCK = 100_000
+
+
+def _exits(group: str, block: int):
+    """For items (group, n, next), last first by block, where a bin that starts at one leaves its block."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: object = walk  # no block yet
+        known: dict[int, int | None] = {}
+        for batch in batches:
+            out: list[int | None] = []
+            for key, n, after in zip(*(batch.column(c).to_pylist() for c in (group, "n", "next")), strict=True):
+                if at != (key, n // block):
+                    at = (key, n // block)
+                    known = {}
+                known[n] = known[after] if after in known else after
+                out.append(known[n])
+            yield pa.RecordBatch.from_arrays([batch.column(group), batch.column("n"), pa.array(out, pa.int64())], names=[group, "n", "exit"])
+
+    return walk
+
+
+def _starts(group: str, block: int):
+    """For items (group, n, next, enters), first first by block, how many bins have started in the block up to each."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: object = walk
+        expected: int | None = None
+        count = 0
+        for batch in batches:
+            counts, firsts = [], []
+            for key, n, after, enters in zip(*(batch.column(c).to_pylist() for c in (group, "n", "next", "enters")), strict=True):
+                if at != (key, n // block):
+                    at, expected, count = (key, n // block), None, 0
+                if enters or n == expected:
+                    count, expected = count + 1, after
+                    firsts.append(1)
+                else:
+                    firsts.append(0)
+                counts.append(count)
+            yield pa.RecordBatch.from_arrays([batch.column(group), batch.column("n"), pa.array(counts, pa.int64()), pa.array(firsts, pa.int64())], names=[group, "n", "upto", "starts"])
+
+    return walk
+
+
+def _next_bins(items: DataFrame, group: str, cap: int) -> DataFrame:
+    """(group, n, next) of items (group, n, size, before): the place at which a bin that starts at n is closed.
+
+    That is the first item whose total passes the sum before n by more than cap, or the one behind it if
+    nothing but that item has a size. Items and the sums that are looked for are sorted together by range; for the last of a range, the
+    first item of the ranges behind is one row.
+    """
+    goal = F.struct(F.col("n"), F.col("before"))
+    asked = items.select(group, (F.col("before") + cap).alias("v"), F.lit(1).alias("kind"), "n", "before", F.lit(None).cast("struct<n:bigint,before:bigint>").alias("item"))
+    met = items.select(group, (F.col("before") + F.col("size")).alias("v"), F.lit(0).alias("kind"), "n", "before", goal.alias("item"))
+    parted = ranges.ranged(asked.unionByName(met), group, "v", "kind", "n")
+    backwards = Window.partitionBy(ranges.PART, group).orderBy(F.desc("v"), F.desc("kind"), F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the first item of each range's first group, for the ranges before that end in this group
+    heads = ranges.first_keys(parted, [group])
+    firsts = parted.where("kind = 0").alias("r").join(F.broadcast(heads).alias("h"), ranges.same_range("r", "h", [group]), "left_semi").groupBy(ranges.PART, group).agg(F.min("item").alias("item"))
+    parts = parted.groupBy(ranges.PART).agg(F.max(F.struct(group)).alias("k")).select(ranges.PART, F.col(f"k.{group}").alias(group))
+    behind = Window.partitionBy(group).orderBy(F.desc(ranges.PART)).rowsBetween(Window.unboundedPreceding, -1)
+    both = parts.withColumn("ends", F.lit(True)).join(firsts.withColumnRenamed(group, "g").withColumnRenamed(ranges.PART, "p"), (F.col(group).eqNullSafe(F.col("g"))) & (F.col(ranges.PART) == F.col("p")), "full")
+    both = both.select(F.coalesce(ranges.PART, "p").alias(ranges.PART), F.when(F.col("ends"), F.col(group)).otherwise(F.col("g")).alias(group), "item")
+    carried = both.withColumn("__behind", F.min("item").over(behind)).where("__behind IS NOT NULL").drop("item")
+    found = ranges.with_carried(parted.withColumn("found", F.last("item", ignorenulls=True).over(backwards)).where("kind = 1"), carried, [group], "__behind")
+    hit = F.coalesce("found", "__behind")
+    return found.select(group, "n", F.when(hit["before"] > F.col("before"), hit["n"]).otherwise(hit["n"] + 1).alias("next"))
+
+
+def next_fit(items: DataFrame, group: str, order: list[str], amount: str, cap: int, block: int = BLOCK) -> DataFrame:
     """Items with n, their place, and bin: a bin closes when the next item would exceed cap; a larger item is alone.
 
-    A bin depends on all items before, so each group's items (a host's upload list) pass through one task,
-    sorted and batch by batch; only the open bin's total is kept, and no group is gathered.
+    A bin depends on all items before. Sums by range give each item the start of the next bin, were it the start of one; blocks of
+    a fixed number of items are walked through in tasks of their own, which gives where a bin that starts in a block
+    leaves it; and pointer doubling over these exits, of which few are different, gives the start that enters each block. No task walks
+    more than a block, one group may hold all items, and there are as many rounds as the number of blocks has binary digits.
     """
     fields = [c for c in items.columns if c != group]
     sort = list(dict.fromkeys([*order, *fields]))
-    dealt = items.select(group, *fields).repartition(group).sortWithinPartitions(group, *sort)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: object = fold  # no group yet
-        n = at = total = 0
-        for batch in batches:
-            places, bins = [], []
-            for key, size in zip(batch.column(group).to_pylist(), batch.column(amount).to_pylist(), strict=True):
-                if key != now:
-                    now, n, at, total = key, 0, 0, 0
-                size = int(size or 0)
-                if total > 0 and total + size > cap:
-                    at, total = at + 1, 0
-                places.append(n)
-                bins.append(at)
-                n, total = n + 1, total + size
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64()), pa.array(bins, pa.int32())], names=[*batch.schema.names, "n", "bin"])
-
-    schema = type(dealt.schema)([*dealt.schema.fields]).add("n", "long").add("bin", "integer")
-    return dealt.mapInArrow(fold, schema).select(group, "n", "bin", *fields)
+    size = F.greatest(F.coalesce(F.col(amount), F.lit(0)), F.lit(0)).cast("long")
+    all_ = materialize(ranges.placed(items.select(group, *fields, size.alias("__size")), [group], sort, "__size", "n", "__before"))
+    sized = all_.select(group, "n", F.col("__size").alias("size"), F.col("__before").alias("before"))
+    after = materialize(_next_bins(sized, group, cap))
+    blocked = after.withColumn("__block", F.floor(F.col("n") / block))
+    kind = after.schema[group].dataType.simpleString()
+    exits = materialize(blocked.repartition(group, "__block").sortWithinPartitions(group, "__block", F.desc("n")).select(group, "n", "next").mapInArrow(_exits(group, block), f"`{group}` {kind}, n long, exit long"))
+    entered = exits.where("n = 0").select(group, "n")
+    left = exits.where("exit IS NOT NULL").select(group, F.col("exit").alias("n")).distinct()
+    equal = lambda a, b, x, y: F.col(f"{a}.{group}").eqNullSafe(F.col(f"{b}.{group}")) & (F.col(f"{a}.{x}") == F.col(f"{b}.{y}"))
+    steps = exits.alias("e").join(left.unionByName(entered).distinct().alias("c"), equal("e", "c", "n", "n"), "left_semi").where("exit IS NOT NULL")
+    steps = materialize(steps)
+    while not steps.isEmpty():
+        reached = entered.alias("e").join(steps.alias("s"), equal("e", "s", "n", "n")).select(f"e.{group}", F.col("s.exit").alias("n"))
+        entered = materialize(entered.unionByName(reached).distinct())
+        steps = materialize(steps.alias("a").join(steps.alias("b"), equal("a", "b", "exit", "n")).select(f"a.{group}", "a.n", "b.exit"))
+    marked = blocked.alias("b").join(entered.withColumn("enters", F.lit(True)).alias("e"), equal("b", "e", "n", "n"), "left").select("b.*", F.coalesce("e.enters", F.lit(False)).alias("enters"))
+    counted = materialize(marked.repartition(group, "__block").sortWithinPartitions(group, "__block", "n").select(group, "n", "next", "enters").mapInArrow(_starts(group, block), f"`{group}` {kind}, n long, upto long, starts long")).withColumn("__block", F.floor(F.col("n") / block))
+    blocks = counted.groupBy(group, "__block").agg(F.sum("starts").alias("starts"))
+    earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    base = blocks.select(group, "__block", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("__base"))
+    bins = counted.alias("c").join(base.alias("k"), equal("c", "k", "__block", "__block")).select(f"c.{group}", "c.n", (F.col("__base") + F.col("upto") - 1).cast("int").alias("bin"))
+    return all_.alias("a").join(bins.alias("b"), equal("a", "b", "n", "n")).select(f"a.{group}", "a.n", "b.bin", *(f"a.{f}" for f in fields))
 
 
 def shard_plan(captures: DataFrame, host: str, order: list[str], amount: str, cap: int, first: int = 0) -> DataFrame:

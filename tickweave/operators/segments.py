@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges
 from .numbering import numbered
 
 
 def contiguous_runs(rows: DataFrame, value: str, keys: list[str] | None = None, order: str | None = None) -> DataFrame:
     """start and length of each maximal run in which every value is one more than the value before.
 
-    In the given order (the value's own without one), by keys. Without keys or order, values are distinct
-    and no task sees all rows.
+    In the given order (the value's own without one), by keys. Without keys or order, values are distinct.
+    No task sees all rows, of one key neither.
     """
     keys = keys or []
     if not keys and order is None:
@@ -23,11 +24,7 @@ def contiguous_runs(rows: DataFrame, value: str, keys: list[str] | None = None,
         ends = v.join(v.select((F.col("v") - 1).alias("v")), "v", "left_anti")
         paired = numbered(starts.select(F.col("v").alias("start")), "start").join(numbered(ends.select(F.col("v").alias("end")), "end"), "rn")
         return paired.select("start", (F.col("end") - F.col("start") + 1).alias("length"))
-    w = Window.partitionBy(*keys).orderBy(order or value)
-    breaks = F.coalesce((F.col(value) != F.lag(value).over(w) + 1).cast("int"), F.lit(0))
-    run = F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = rows.withColumn("brk", breaks).withColumn("run", run)
-    return marked.groupBy(*keys, "run").agg(F.min_by(value, order or value).alias("start"), F.count("*").alias("length")).drop("run")
+    return ranges.runs(rows, keys, order or value, value, lambda v, last: v != last + 1)
 
 
 def longest_run(runs: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -43,27 +40,27 @@ def ordered_runs(runs: DataFrame) -> DataFrame:
 
 def longest_identical(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """n_rows and longest, the most rows in succession with the same value (nulls are the same)."""
-    w = Window.partitionBy(key).orderBy(order)
-    changed = F.coalesce((~F.col(value).eqNullSafe(F.lag(value).over(w))).cast("int"), F.lit(0))
-    marked = rows.select(key, order, value).withColumn("changed", changed)
-    runs = marked.withColumn("run", F.sum("changed").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(key, "run").agg(F.count("*").alias("length"))
+    runs = ranges.runs(rows, [key], order, value, lambda v, last: ~v.eqNullSafe(last))
     return runs.groupBy(key).agg(F.sum("length").alias("n_rows"), F.max("length").alias("longest"))
 
 
 def busiest_window(rows: DataFrame, key: str, order: str, amount: str, length: int, inclusive: bool = False) -> DataFrame:
     """start (from 0) and total of the window of length rows with the largest sum; of equal ones the first.
 
-    Sums are differences of running totals, so long windows cost no more than short ones. The last possible
+    Sums are differences of running totals, so long windows cost no more than short ones, and a key's rows are
+    dealt out in blocks, each with the rows behind it that its windows reach. The last possible
     start is tried only if inclusive; with no more rows than length, start is 0.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.select(key, order, amount).withColumns({"i": F.row_number().over(w) - 1, "upto": F.sum(amount).over(running), "n": F.count("*").over(Window.partitionBy(key))})
-    ahead = F.coalesce(F.lead("upto", length - 1).over(w), F.last("upto").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    out = out.withColumn("total", ahead - F.col("upto") + F.coalesce(F.col(amount), F.lit(0)))
-    last = F.col("n") - length - (0 if inclusive else 1)
-    best = out.where((F.col("i") == 0) | (F.col("i") <= last)).groupBy(key).agg(F.max(F.struct("total", (-F.col("i")).alias("back"))).alias("x"))
-    return best.select(key, (-F.col("x.back")).cast("long").alias("start"), F.col("x.total").alias("total"))
+    rows = ranges.placed(rows.select(key, order, F.col(amount).alias("amount")), [key], [order], "amount")
+    dealt = ranges.with_halo(rows, [key], length)
+    w = Window.partitionBy(key, "__block").orderBy("n")
+    value = F.coalesce("amount", F.lit(0))
+    end = F.lead(F.col("before") + value, length - 1).over(w)
+    tried = F.lead("n", length - (1 if inclusive else 0)).over(w).isNotNull() | (F.col("n") == 0)
+    out = dealt.withColumns({"value": value, "total": end - F.col("before"), "tried": tried}).where("NOT __halo")
+    best = F.max(F.when(F.col("tried") & F.col("total").isNotNull(), F.struct("total", (-F.col("n")).alias("back"))))
+    found = out.groupBy(key).agg(best.alias("x"), F.sum("value").alias("all"))
+    return found.select(key, F.coalesce(-F.col("x.back"), F.lit(0)).cast("long").alias("start"), F.coalesce("x.total", "all").alias("total"))
 
 
 def positional_samples(rows: DataFrame, key: str, order: str, percents: tuple[int, ...] = (15, 40, 65, 90)) -> DataFrame:
