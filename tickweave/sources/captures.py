@@ -80,6 +80,19 @@ def manifest_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parsed.where(F.col("e").isNotNull() & (F.trim("line") != "") & F.col("e.status").isNotNull()).select("source_file", "line_no", "e.*")
 
 
+def manifest_objects(spark: SparkSession, roots: str | list[str], pattern: str = "manifest.jsonl") -> DataFrame:
+    """source_file and entry, the whole object of each line as a variant: fields that no schema names stay; torn lines go."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(roots)
+    entries = lines.select(F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").alias("entry"))
+    return entries.where(F.col("entry").isNotNull() & F.schema_of_variant("entry").startswith("OBJECT"))
+
+
+def known_fields(objects: DataFrame, *names: str) -> DataFrame:
+    """The objects with the named manifest fields as columns, null where an entry has none or one of another kind."""
+    kinds = {f.name: f.dataType.simpleString() for f in MANIFEST.fields}
+    return objects.select("*", *(F.try_variant_get("entry", f"$.{n}", kinds[n]).alias(n) for n in names))
+
+
 def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Listed replays of an index of JSON lines, those with an id."""
     return json_lines(spark, path, LISTING).where("id IS NOT NULL")

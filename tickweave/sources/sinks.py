@@ -30,6 +30,11 @@ def append_manifest(entries: DataFrame, path: str) -> None:
 append_listing = append_manifest
 
 
+def append_objects(objects: DataFrame, path: str) -> None:
+    """Whole manifest objects (entry, a variant) as JSON lines."""
+    objects.select(F.to_json("entry").alias("value")).write.mode("append").text(path)
+
+
 def write_replays(replays: DataFrame, path: str, buckets: int = 16) -> None:
     """Two Parquet tables, replays and frame_inputs, the latter in folders by a hash of the replay."""
     from ..plans.replay_tables import frame_inputs, replay_dimension
