@@ -39,7 +39,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Unique keys in order and the sum of their counts."""
     if len(keys) == 0:
         return keys, counts
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[start], np.add.reduceat(counts, start)
@@ -49,29 +49,27 @@ class PartialCounts:
     """Counts of the keys of a partition as arrays of them come; about most keys are held at a time."""
 
     def __init__(self, most: int = MOST_KEYS):
-        self.most, self.fresh, self.size = most, [], 0
-        self.held = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.most, self.fresh, self.size, self.kept = most, [], 0, 0
 
     def _merge(self) -> None:
-        keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *self.fresh]), return_counts=True)
-        self.held = summed(np.concatenate([self.held[0], keys]), np.concatenate([self.held[1], n]))
-        self.fresh, self.size = [], 0
-
-    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Sorted unique keys and counts, where more are held than may be."""
-        self.fresh.append(keys)
-        self.size += len(keys)
-        if self.size > max(self.most, len(self.held[0])):
+        self.fresh = [summed(*(np.concatenate(x) for x in zip(*self.fresh, strict=True)))] if self.fresh else []
+        self.size, self.kept = 0, len(self.fresh[0][0]) if self.fresh else 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Takes keys, with counts or as they stand; gives sorted unique keys and counts where more are held than may be."""
+        self.fresh.append(np.unique(keys, return_counts=True) if n is None else (keys, n))
+        self.size += len(self.fresh[-1][0])
+        if self.size > max(self.most, self.kept):
             self._merge()
-            if len(self.held[0]) > self.most:
+            if self.kept > self.most:
                 yield from self.end()
 
     def end(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """What is left."""
         self._merge()
-        if len(self.held[0]):
-            yield self.held
-        self.held = np.empty(0, np.int64), np.empty(0, np.int64)
+        if self.kept:
+            yield self.fresh[0]
+        self.fresh, self.kept = [], 0
 
 
 class CountShards:

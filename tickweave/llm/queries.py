@@ -8,6 +8,7 @@ from .ann import op4_cross_polytope_ann
 from .compression_quality import op10_compression_quality
 from .conversation_trie import op13_conversation_trie
 from .html_text import op2_html_main_text
+from .language_model import op12_context_mixing
 from .license_scan import op5_license_scan
 from .line_dedup import op8_line_dedup
 from .packing import op9_packing
@@ -18,7 +19,7 @@ from .toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality, op11_token_alignment, op13_conversation_trie)
+    for f in (op1_toxicity, op2_html_main_text, op3_sentencepiece, op4_cross_polytope_ann, op5_license_scan, op6_quality_rules, op7_simhash, op8_line_dedup, op9_packing, op10_compression_quality, op11_token_alignment, op12_context_mixing, op13_conversation_trie)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
