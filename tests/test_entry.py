@@ -3,9 +3,10 @@
 import sys
 
 import __spark_entry__ as entry
-from tickweave import catalog_queries, file_queries
+from tickweave import catalog_queries, file_queries, storage_queries
 
-CAPTURE = set(catalog_queries.QUERIES) | set(file_queries.QUERIES)
+MODULES = (catalog_queries, file_queries, storage_queries)
+CAPTURE = {name for m in MODULES for name in m.QUERIES}
 
 
 def test_capture_queries_need_no_corpus_operators(monkeypatch):
@@ -15,4 +16,4 @@ def test_capture_queries_need_no_corpus_operators(monkeypatch):
 
 def test_names_are_told_apart():
     assert CAPTURE <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(CAPTURE) == len(catalog_queries.QUERIES) + len(file_queries.QUERIES)
+    assert len(CAPTURE) == sum(len(m.QUERIES) for m in MODULES)

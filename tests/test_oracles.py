@@ -3,9 +3,10 @@
 import duckdb
 import pytest
 
-from tickweave import catalog_queries, file_queries
+from tickweave import catalog_queries, file_queries, storage_queries
 
-QUERIES, ORACLES = catalog_queries.QUERIES | file_queries.QUERIES, catalog_queries.ORACLES | file_queries.ORACLES
+MODULES = (catalog_queries, file_queries, storage_queries)
+QUERIES, ORACLES = {k: v for m in MODULES for k, v in m.QUERIES.items()}, {k: v for m in MODULES for k, v in m.ORACLES.items()}
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

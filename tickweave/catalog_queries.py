@@ -320,12 +320,13 @@ def host_audit(spark, sf_dir):
     return catalog.host_audit(attempts, sizes).select("ok", "fail", "hours", "gb", "unique_ids", "n_dup", "n_sync", "n_mask", F.array_join(F.transform("dup", lambda x: x.cast("string")), ",").alias("first_dups"))
 
 
-@_query("""WITH a AS (SELECT o_orderpriority AS worker, sum(o_orderkey % 100) AS b, sum(o_orderkey % 30) AS a FROM orders GROUP BY 1)
+@_query("""WITH a AS (SELECT o_orderpriority AS worker, sum(o_orderkey % 100) + max(o_orderkey % 7) AS b, sum(o_orderkey % 30) + max(o_orderkey % 900) AS a FROM orders GROUP BY 1)
 SELECT worker, sum(b - a) / 10.0 AS fps FROM a GROUP BY ROLLUP (worker)""")
 def sampled_rate(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "worker")
-    snapshot = lambda m: o.groupBy("worker").agg(F.sum(F.col("o_orderkey") % m).alias("done"), F.lit(0).alias("in_flight"))
-    return catalog.sampled_rate(snapshot(30), snapshot(100), 10.0)
+    # the counter of what is in flight has gone back between the two
+    snapshot = lambda m, flying: o.groupBy("worker").agg(F.sum(F.col("o_orderkey") % m).alias("done"), F.max(F.col("o_orderkey") % flying).alias("in_flight"))
+    return catalog.sampled_rate(snapshot(30, 900), snapshot(100, 7), 10.0)
 
 
 @_query("""WITH f AS (SELECT o_orderpriority AS worker, o_orderkey % 1000 AS frames, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 777 END AS length FROM orders WHERE o_orderstatus = 'F')
@@ -430,28 +431,28 @@ def frame_rewrite(spark, sf_dir):
 def _replay_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for n in pdf["n_nationkey"]:
-            n = int(n)
+        for key in map(int, pdf["s_suppkey"]):
+            n = key % 5000
             deck = struct.pack("<I3H", 3, 1, 2, 200 + n)
             head = struct.pack("<I4xBB6x", 210 + n, n % 22, n % 8) + deck
             second = struct.pack("<BB5x", (n + 1) % 22, 1) + deck + bytes([n % 20, n % 5]) + bytes(10)
-            body = b"".join(struct.pack("<HH", (i * 7 + n) & 0x7FF, i % 4) for i in range(100 + n))
-            out.append((f"/corpus/{n}.rep", (head + second).ljust(0x80, b"\xff") + zlib.compress(body)))
+            body = b"".join(struct.pack("<HH", (i * 7 + n) & 0x7FF, i % 4) for i in range(100 + n % 100))
+            out.append((f"/corpus/{key}.rep", (head + second).ljust(0x80, b"\xff") + zlib.compress(body)))
         yield pd.DataFrame(out, columns=["path", "content"])
 
 
 def _decoded(spark, sf_dir) -> DataFrame:
-    return replays.decode(_t(spark, sf_dir, "nation").select("n_nationkey").mapInPandas(_replay_bytes, "path string, content binary"))
+    return replays.decode(_t(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_replay_bytes, "path string, content binary"))
 
 
-@_query("""SELECT concat(n_nationkey, '.rep') AS file_name, CAST(210 + n_nationkey AS BIGINT) AS game_version, CAST(n_nationkey % 22 AS INTEGER) AS p1_character_id,
-concat('0x0001,0x0002,0x', upper(printf('%04x', 200 + n_nationkey))) AS p1_deck_cards, CAST(n_nationkey % 20 AS INTEGER) AS stage_id, CAST(100 + n_nationkey AS BIGINT) AS total_frames, CAST(NULL AS VARCHAR) AS parse_errors, 'zlib' AS strategy FROM nation""")
+@_query("""SELECT concat(s_suppkey, '.rep') AS file_name, CAST(210 + s_suppkey % 5000 AS BIGINT) AS game_version, CAST(s_suppkey % 5000 % 22 AS INTEGER) AS p1_character_id,
+concat('0x0001,0x0002,0x', upper(printf('%04x', 200 + s_suppkey % 5000))) AS p1_deck_cards, CAST(s_suppkey % 5000 % 20 AS INTEGER) AS stage_id, CAST(100 + s_suppkey % 100 AS BIGINT) AS total_frames, CAST(NULL AS VARCHAR) AS parse_errors, 'zlib' AS strategy FROM supplier""")
 def decode_replay(spark, sf_dir):
     return replay_tables.replay_dimension(_decoded(spark, sf_dir)).select("file_name", "game_version", "p1_character_id", "p1_deck_cards", "stage_id", "total_frames", "parse_errors", "strategy")
 
 
-@_query("""SELECT concat(n_nationkey, '.rep') AS file_name, count(*) AS n_rows, CAST(sum((i * 7 + n_nationkey) & 1023) AS BIGINT) AS p1_sum, CAST(sum(((i * 7 + n_nationkey) >> 4) & 1) AS BIGINT) AS p1_a_rows, CAST(sum(i % 4) AS BIGINT) AS p2_sum
-FROM nation, range(200) AS t(i) WHERE i < 100 + n_nationkey GROUP BY 1""")
+@_query("""SELECT concat(s_suppkey, '.rep') AS file_name, count(*) AS n_rows, CAST(sum((i * 7 + s_suppkey % 5000) & 1023) AS BIGINT) AS p1_sum, CAST(sum(((i * 7 + s_suppkey % 5000) >> 4) & 1) AS BIGINT) AS p1_a_rows, CAST(sum(i % 4) AS BIGINT) AS p2_sum
+FROM supplier, range(200) AS t(i) WHERE i < 100 + s_suppkey % 100 GROUP BY 1""")
 def decoded_frames(spark, sf_dir):
     decoded = _decoded(spark, sf_dir)
     names = replay_tables.replay_dimension(decoded).select("replay_id", "file_name")

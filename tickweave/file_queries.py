@@ -82,22 +82,22 @@ def listing_intake(spark, sf_dir):
     return found.select("id", F.col("serverUserElo").alias("elo"))
 
 
-@_query("""SELECT CAST(n_nationkey AS INTEGER) AS worker, CAST(CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey WHEN n_nationkey % 3 <> 0 THEN n_nationkey * 10 END AS BIGINT) AS in_flight FROM nation""")
+@_query("""SELECT CAST(s_suppkey AS INTEGER) AS worker, CAST(CASE WHEN s_suppkey % 2 = 1 THEN s_suppkey WHEN s_suppkey % 3 <> 0 THEN s_suppkey * 10 END AS BIGINT) AS in_flight FROM supplier""")
 def log_frames(spark, sf_dir):
     """The last frame count after the last start that a worker's log tells of."""
-    n = F.col("n_nationkey")
+    n = F.col("s_suppkey")
     wrote = lambda c: F.concat(F.lit("encoder wrote "), c, F.lit(" frames"))
     again = F.when(n % 2 == 0, F.concat(F.lit("Session::init\n"), F.when(n % 3 == 0, F.lit("waiting")).otherwise(F.concat(wrote(n * 5), F.lit("\n"), wrote(n * 10))))).otherwise(F.lit("idle"))
-    logs = _t(spark, sf_dir, "nation").select(n.alias("worker"), F.concat_ws("\n", F.lit("Session::init"), wrote(n), again).alias("value"))
+    logs = _t(spark, sf_dir, "supplier").select(n.alias("worker"), F.concat_ws("\n", F.lit("Session::init"), wrote(n), again).alias("value"))
     read = captures.worker_logs(spark, f"{_write_texts(logs, _folder(spark), 'worker')}/*")
     return read.select(F.regexp_extract("source_file", r"worker=(\d+)", 1).cast("int").alias("worker"), "in_flight")
 
 
-@_query("SELECT CAST(n_nationkey AS INTEGER) AS part, n_nationkey * 100 + 1 AS length FROM nation")
+@_query("SELECT CAST(s_suppkey AS INTEGER) AS part, s_suppkey % 90 * 100 + 1 AS length FROM supplier")
 def artefact_sizes(spark, sf_dir):
     """Sizes of files, contents unread."""
-    n = F.col("n_nationkey")
-    texts = _t(spark, sf_dir, "nation").select(n.alias("part"), F.expr("repeat('x', n_nationkey * 100)").alias("value"))
+    n = F.col("s_suppkey")
+    texts = _t(spark, sf_dir, "supplier").select(n.alias("part"), F.expr("repeat('x', cast(s_suppkey % 90 * 100 as int))").alias("value"))
     sizes = captures.file_sizes(spark, _write_texts(texts, _folder(spark), "part"), "*.txt")
     return sizes.where("modified IS NOT NULL").select(F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"), "length")
 
@@ -105,29 +105,29 @@ def artefact_sizes(spark, sf_dir):
 def _broken_replays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for n in map(int, pdf["n_nationkey"]):
-            deck = struct.pack("<I3H", 3, 1, 2, 200 + n)
+        for n in map(int, pdf["s_suppkey"]):
+            deck = struct.pack("<I3H", 3, 1, 2, 200 + n % 5000)
             head = struct.pack("<I4xBB6x", 210, n % 22, n % 8) + deck + struct.pack("<BB5x", (n + 1) % 22, 1) + deck + bytes([n % 20, n % 5]) + bytes(10)
-            body = {1: b"\xff" * 600, 2: zlib.compress(b""), 3: zlib.compress(bytes(4 * (100 + n)))}.get(n % 5, zlib.compress(struct.pack("<HH", 1, 2) * (1 + n)))
+            body = {1: b"\xff" * 600, 2: zlib.compress(b""), 3: zlib.compress(bytes(4 * (100 + n % 50)))}.get(n % 5, zlib.compress(struct.pack("<HH", 1, 2) * (1 + n % 50)))
             out.append((f"/corpus/{n}.rep", head[: 10 if n % 5 == 0 else None] if n % 5 == 0 else head.ljust(0x80, b"\xff") + body))
         yield pd.DataFrame(out, columns=["path", "content"])
 
 
 def _damaged(spark, sf_dir) -> DataFrame:
-    return _t(spark, sf_dir, "nation").select("n_nationkey").mapInPandas(_broken_replays, "path string, content binary")
+    return _t(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_broken_replays, "path string, content binary")
 
 
-@_query("""SELECT concat('/corpus/', n_nationkey, '.rep') AS file_path, CASE n_nationkey % 5 WHEN 0 THEN 'File too small (10 bytes)' WHEN 1 THEN 'Could not find compressed input data' WHEN 2 THEN 'No frame data in decompressed stream'
-WHEN 3 THEN 'Warning: all inputs are zero (possible parse error)' ELSE '' END AS errors, CASE WHEN n_nationkey % 5 > 0 THEN CAST(n_nationkey % 22 AS INTEGER) END AS p1_character_id,
-CAST(CASE n_nationkey % 5 WHEN 3 THEN 100 + n_nationkey WHEN 4 THEN 1 + n_nationkey END AS BIGINT) AS total_frames FROM nation""")
+@_query("""SELECT concat('/corpus/', s_suppkey, '.rep') AS file_path, CASE s_suppkey % 5 WHEN 0 THEN 'File too small (10 bytes)' WHEN 1 THEN 'Could not find compressed input data' WHEN 2 THEN 'No frame data in decompressed stream'
+WHEN 3 THEN 'Warning: all inputs are zero (possible parse error)' ELSE '' END AS errors, CASE WHEN s_suppkey % 5 > 0 THEN CAST(s_suppkey % 22 AS INTEGER) END AS p1_character_id,
+CAST(CASE s_suppkey % 5 WHEN 3 THEN 100 + s_suppkey % 50 WHEN 4 THEN 1 + s_suppkey % 50 END AS BIGINT) AS total_frames FROM supplier""")
 def decode_errors(spark, sf_dir):
     """What broken replay files still give, with the errors met."""
     out = replays.decode(_damaged(spark, sf_dir))
     return out.select("file_path", F.array_join("parse_errors", "; ").alias("errors"), "p1_character_id", "total_frames")
 
 
-@_query("""SELECT count(*) AS total, count(*) FILTER (WHERE n_nationkey % 5 > 3) - count(*) FILTER (WHERE n_nationkey % 5 = 4 AND n_nationkey < 10) + count(*) FILTER (WHERE n_nationkey % 5 = 3) AS success,
-count(*) FILTER (WHERE n_nationkey % 5 < 3) AS failed, count(*) FILTER (WHERE n_nationkey % 5 = 4 AND n_nationkey < 10) AS skipped FROM nation""")
+@_query("""SELECT count(*) AS total, count(*) FILTER (WHERE s_suppkey % 5 > 3) - count(*) FILTER (WHERE s_suppkey % 5 = 4 AND s_suppkey < 10) + count(*) FILTER (WHERE s_suppkey % 5 = 3) AS success,
+count(*) FILTER (WHERE s_suppkey % 5 < 3) AS failed, count(*) FILTER (WHERE s_suppkey % 5 = 4 AND s_suppkey < 10) AS skipped FROM supplier""")
 def ingest_outcomes(spark, sf_dir):
     """Outcomes of a batch of replay files of which some are known by their hash."""
     files = _damaged(spark, sf_dir)
@@ -215,13 +215,25 @@ def _run_to_end(stream: DataFrame, mode: str, out: str, checkpoint: str) -> Data
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-@_query("""SELECT CAST(floor(epoch(ts) / 5) * 5 AS BIGINT) AS start_s, count(*) AS n, CAST(sum(event_id % 60) AS BIGINT) AS frames FROM events GROUP BY 1""")
+def _arrive(batches: list[DataFrame], folder: str, files: int = 2) -> DataFrame:
+    """A stream of the batches, written one after another as so many files each, which a trigger reads together."""
+    for rows in batches:
+        rows.repartition(files).write.mode("append").parquet(folder)
+    schema = batches[0].schema
+    return batches[0].sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+@_query("""WITH e AS (SELECT event_id, event_id % 60 AS frames, max(event_id) OVER () AS top FROM events)
+SELECT CAST(event_id // 5 * 5 AS BIGINT) AS start_s, count(*) AS n, CAST(sum(frames) AS BIGINT) AS frames FROM e WHERE NOT (event_id * 4 < top AND event_id % 7 = 0) AND event_id // 5 * 5 + 5 <= top - 60 GROUP BY 1""")
 def stream_throughput(spark, sf_dir):
-    """Frames of every five seconds, as a stream of samples gives them."""
-    folder = _folder(spark)
-    samples = _t(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 60).alias("frames"))
-    rates = feeds.throughput_stream(_stream_of(samples.coalesce(1), f"{folder}/in"), late="1000 days")
-    return _run_to_end(rates, "complete", f"{folder}/out", f"{folder}/state").select(F.unix_timestamp("start").alias("start_s"), "n", "frames")
+    """Frames of every five seconds that are over for a minute, in three batches; what comes after its interval was given is left out."""
+    folder, at = _folder(spark), F.col("event_id")
+    samples = _t(spark, sf_dir, "events").select("event_id", F.timestamp_seconds(at).alias("ts"), (at % 60).alias("frames"))
+    top = samples.agg(F.max("event_id")).first()[0]
+    late = (at * 4 < top) & (at % 7 == 0)
+    batches = [samples.where((at * 2 < top) & ~late), samples.where(at * 2 >= top), samples.where(late)]
+    rates = feeds.throughput_stream(_arrive(batches, f"{folder}/in"), late="1 minute")
+    return _run_to_end(rates, "append", f"{folder}/out", f"{folder}/state").select(F.unix_timestamp("start").alias("start_s"), "n", "frames")
 
 
 @_query("SELECT DISTINCT c_custkey % 700 AS id FROM customer")
@@ -241,11 +253,11 @@ def stream_attempts(spark, sf_dir):
     return _run_to_end(feeds.attempt_stream(spark, f"{folder}/in", 1), "append", f"{folder}/out", f"{folder}/state").select("replay_id", "status")
 
 
-@_query("SELECT concat('/data dir/', n_regionkey) AS root, n_name AS rel FROM nation")
+@_query("SELECT concat('/data dir/', s_nationkey) AS root, s_name AS rel FROM supplier")
 def stream_shipped(spark, sf_dir):
     """What the upload state lists once all that has arrived is shipped."""
     folder = _folder(spark)
-    arrived = _t(spark, sf_dir, "nation").select(F.concat(F.lit("/data dir/"), F.col("n_regionkey")).alias("root"), F.col("n_name").alias("rel"))
+    arrived = _t(spark, sf_dir, "supplier").select(F.concat(F.lit("/data dir/"), F.col("s_nationkey")).alias("root"), F.col("s_name").alias("rel"))
     stream = _stream_of(arrived.repartition(4), f"{folder}/in")
     feeds.ship(stream, f"{folder}/shipped", f"{folder}/state", lambda rows, number: rows.write.mode("overwrite").parquet(f"{folder}/uploaded/batch={number}")).awaitTermination()
     uploaded = spark.read.schema(arrived.schema).parquet(f"{folder}/uploaded")

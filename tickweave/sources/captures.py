@@ -105,7 +105,7 @@ def listing_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def replay_files(spark: SparkSession, root: str) -> DataFrame:
-    """path, modified, length and content of all replay files below root."""
+    """path, modified, length and content of all replay files below root; Spark's scans leave out files of no bytes."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[rR][eE][pP]").load(root)
     return rows.select("path", F.col("modificationTime").alias("modified"), "length", "content")
 

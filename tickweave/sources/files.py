@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -55,3 +56,20 @@ def file_digests(files: DataFrame, path: str = "path") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "length", "sha256"])
 
     return files.mapInArrow(run, type(files.schema)([*files.schema.fields]).add("length", "long").add("sha256", "string"))
+
+
+def write_files(files: DataFrame, path: str = "path", content: str = "content") -> None:
+    """Writes each row's content (binary) to its path. A file is written under another name and then renamed, so none is ever there in part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, data in zip(batch.column(path).to_pylist(), batch.column(content).to_pylist(), strict=True):
+                system, name = opened(uri)
+                system.create_dir(name.rpartition("/")[0], recursive=True)
+                temporary = f"{name}.{uuid.uuid4().hex}.tmp"
+                with system.open_output_stream(temporary) as out:
+                    out.write(data or b"")
+                system.move(temporary, name)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    files.select(path, content).mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()

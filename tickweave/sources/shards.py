@@ -11,12 +11,14 @@ removes what it wrote and a job that fails leaves no shard and no state; a shard
 
 from __future__ import annotations
 
+import hashlib
 import json
 import tarfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -145,3 +147,23 @@ def members_of(plan: DataFrame, listing: DataFrame) -> DataFrame:
     """
     rows = plan.select("shard", "n", "root", "rel", "frames").join(listing.select("root", "rel", "file"), ["root", "rel"])
     return rows.select("shard", "n", "root", "rel", "frames", "file").repartition("shard").sortWithinPartitions("shard", "n", "root", "rel", "file")
+
+
+def contents(tars: DataFrame, path: str = "path") -> DataFrame:
+    """shard, name, length and sha256 of every member of the tar files that the rows name, read by blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column(path).to_pylist():
+                system, name = files.opened(uri)
+                rows = []
+                with system.open_input_stream(name) as f, tarfile.open(fileobj=_Blocks(f), mode="r|") as tar:
+                    for member in tar:
+                        sha, data = hashlib.sha256(), tar.extractfile(member)
+                        while block := data.read(files.BLOCK):
+                            sha.update(block)
+                        rows.append((name.rpartition("/")[2], member.name, member.size, sha.hexdigest()))
+                columns = list(zip(*rows, strict=True)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["shard", "name", "length", "sha256"])
+
+    return tars.select(path).mapInArrow(run, "shard string, name string, length long, sha256 string")
