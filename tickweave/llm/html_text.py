@@ -35,6 +35,8 @@ UNSEEN = frozenset("script style title template noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr"
     " math mi mn mo ms mspace mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mpadded mphantom semantics annotation").split())
+#: Elements that a slash before the end of their tag closes: those of formulas, not those of HTML.
+FOREIGN = frozenset("math mi mn mo ms mspace mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mpadded mphantom semantics annotation".split())
 MAIN = frozenset(("article", "main"))
 ASIDE = frozenset("nav footer aside form button dialog menu fieldset".split())
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",)}
@@ -48,6 +50,16 @@ NOT_MAIN = re.compile(
 )
 IS_MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|article-?body|post-?body|post-?content|entry-?content|story|story-?body|main-?content|post|entry|content)(?:$|[\s_-])", re.I)
 
+#: Words that stand beside those in names of such elements. Inside a marked article a name counts only if it is made of both.
+_BESIDE = re.compile(
+    r"(?:\d+|ads?|site|page|global|main|top|bottom|left|right|inner|outer|inline|sticky|fixed|float\w*|mobile|desktop|primary|secondary|sub|new|user|reader|post|article|story|content|entry"
+    r"|box|container|wrapper|wrap|block|section|area|zone|slot|unit|bar|panel|row|column|group|list|items?|links?|buttons?|btn|icons?|tools?|form|header|title|text|body|content|posts?|articles?|stories|news|count|thread|area|module|component|cta|us|me|it|this|in|up)"
+    r"|(?:advert|sponsor|nav|float)\w*",
+    re.I,
+)
+#: Elements that a name can set aside inside a marked article.
+_NAMED = frozenset("div section ul ol dl span p a table header footer".split())
+
 #: Names that say what a page has or lacks, not what an element is.
 _LAYOUT = re.compile(r"(?:^|[_-])(?:no|not|has|with|without|hide|show|enabled?|disabled?|layout|theme|template)(?:[_-]|$)", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s]++)))?")
@@ -56,6 +68,19 @@ _NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidde
 _UP_TO_QUOTE = re.compile(r"[^>\"']*+")
 
 
+def _sets_aside(name: str, names: str, in_main: bool) -> bool:
+    """Whether an element's names say that it isn't part of the article."""
+    if not in_main:
+        return bool(NOT_MAIN.search(names))
+    if name not in _NAMED:
+        return False
+    for token in names.split():
+        words = [w for w in re.split("[_-]+", token) if w]
+        if NOT_MAIN.search(token) and all(NOT_MAIN.search(w) or _BESIDE.fullmatch(w) or NOT_MAIN.fullmatch(token) for w in words):
+            return True
+    return False
+
+
 class _Reader:
     """Finds the ends of tags; never reads a part of the page more than twice."""
 
@@ -125,6 +150,9 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
     names of the elements around it say.
     """
     stack: list[tuple[str, str]] = []
+    held: dict[str, list[int]] = {}  # places of the open elements of each name
+    walls: list[int] = []  # places of those that are main or set aside
+    named: list[int] = []
     main = aside = link = 0
     at = 0
 
@@ -135,11 +163,21 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
 
     def leave(i: int) -> None:
         nonlocal main, aside, link
-        for _, kind in stack[i:]:
+        for name, kind in stack[i:]:
+            held[name].pop()
             main -= kind == "main"
             aside -= kind in ("aside", "named")
             link -= kind == "link"
         del stack[i:]
+        for places in (walls, named):
+            while places and places[-1] >= i:
+                places.pop()
+
+    def wall() -> int:
+        """The innermost main element or one that is set aside; -1 if there is none."""
+        while walls and stack[walls[-1]][1] == "":  # its name no longer counts
+            walls.pop()
+        return walls[-1] if walls else -1
 
     for start, end, what, name, text in _markup(page):
         if start > at:
@@ -151,8 +189,9 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
             continue
         flow = "" if name in INLINE else "block"
         if what == "close":
-            low = max((i for i, (_, kind) in enumerate(stack) if kind in ("main", "aside", "named")), default=-1) if name in INLINE or name == "p" else -1
-            i = next((i for i in range(len(stack) - 1, max(low, 0) - 1, -1) if stack[i][0] == name), None)
+            i = held[name][-1] if held.get(name) else None
+            if i is not None and (name in INLINE or name == "p") and i < wall():
+                i = None
             was = main
             if i is not None:
                 leave(i)
@@ -169,9 +208,11 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
         elif name == "main":
             kind = "main"
             # elements around it were named for something else
-            stack = [(n, "" if k == "named" else k) for n, k in stack]
-            aside = sum(k == "aside" for _, k in stack)
-        elif by_name and names and name not in ("body", "html") and NOT_MAIN.search(names):
+            for i in named:
+                stack[i] = stack[i][0], ""
+            aside -= len(named)
+            named.clear()
+        elif by_name and names and name not in ("body", "html") and _sets_aside(name, names, bool(main)):
             kind = "named"
         elif name in MAIN or names and name in ("div", "section", "td") and IS_MAIN.search(names):
             kind = "main"
@@ -180,7 +221,12 @@ def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, str]]:
         else:
             kind = ""
         was = main
-        if name not in VOID and not text.endswith("/"):
+        if name not in VOID and not (name in FOREIGN and text.endswith("/")):
+            held.setdefault(name, []).append(len(stack))
+            if kind in ("main", "aside", "named"):
+                walls.append(len(stack))
+            if kind == "named":
+                named.append(len(stack))
             stack.append((name, kind))
             main += kind == "main"
             aside += kind in ("aside", "named")
