@@ -17,9 +17,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -116,9 +118,12 @@ class ToxicityModel:
                 safe.append((start, end))
             else:
                 found.append((start, end, w))
+        # both lists are in the order of ends: the first start of all phrases that end no earlier than a hit
+        ends, first = [b for _, b in safe], list(accumulate((a for a, _ in reversed(safe)), min))[::-1]
         n, weight, last = 0, 0.0, -1
         for start, end, w in found:
-            if start == last or any(a <= start and end <= b for a, b in safe):
+            k = bisect_left(ends, end)
+            if start == last or k < len(ends) and first[k] <= start:
                 continue
             n, weight, last = n + 1, weight + w, start
         return n, weight, n_words
