@@ -217,13 +217,16 @@ def candidates(classes: DataFrame, asking: DataFrame, n: int, width: int, tables
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 64, few: int = 256, block: int = 4096, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row of (vec_id, embedding).
 
-    All vectors must have the same length. tables trades work for recall; few and block bound what a task
+    Vectors that are not as long as most, or of two lengths that are equally frequent as the longer, take no part. tables trades work for recall; few and block bound what a task
     holds of a query and of a bucket. Runs jobs that write the index.
     """
     # floats stay floats until they are multiplied: half the bytes to move
     kind = "array<float>" if "float" in vectors.schema["embedding"].dataType.simpleString() else "array<double>"
     rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).dropDuplicates(["vec_id", "v"])
+    lengths = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"))
+    usual = lengths.agg(F.max_by("size", F.struct("n", "size"))).first()[0]
+    rows = rows.where(F.size("v") == (usual or 0))
     by_vector = Window.partitionBy("v")
     # row_number() <= k + 1 is cut before the shuffle too, so a hot vector sends few rows of each task.
     classes = (
@@ -236,8 +239,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 64,
     queries = rows.where("is_query").select(F.col("vec_id").alias("query_id"), "v")
     asking = queries.groupBy("v").agg(F.count("*").alias("copies")).join(classes.select("v", "rep"), "v")
     asking = common.materialize(asking.select(F.col("rep").alias("query"), F.col("v").alias("q"), "copies"))
-    n, width = classes.agg(F.count("*"), F.max(F.size("v"))).first()
-    pairs, large, indexed = candidates(classes, asking, n, width or 1, tables, few, seed)
+    n = classes.count()
+    pairs, large, indexed = candidates(classes, asking, n, usual or 1, tables, few, seed)
 
     # a query's own vector is a candidate, as other rows may share it
     pairs = pairs.unionByName(asking.select("query", F.col("query").alias("rep"))).distinct()
