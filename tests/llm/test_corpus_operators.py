@@ -397,3 +397,14 @@ def test_neighbours_of_awkward_vectors(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = df.where("vec_id IN (0, 205, 250)")
     assert ann.nearest(few, F.col("vec_id") % 50 == 0).count() == 4
+
+
+def test_vectors_of_other_lengths_take_no_part(spark):
+    r = np.random.default_rng(4)
+    vector = lambda n: r.normal(size=n).tolist()
+    rows = [(i, vector(8)) for i in range(60)] + [(100 + i, vector(3 + i % 2)) for i in range(20)] + [(200, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    of = lambda d: sorted(map(tuple, ann.nearest(d, F.col("vec_id") % 50 == 0).collect()))
+    assert of(df) == of(df.where("vec_id < 60")) and len(of(df)) == 10
+    tie = spark.createDataFrame([(0, [1.0, 0.0]), (50, [1.0, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    assert of(tie) == []

@@ -179,13 +179,26 @@ def test_best_region_matches_brute_force():
             assert (first, last) == (0, -1) if best <= 0 else sums[first, last] == best
 
 
-@pytest.mark.parametrize("part", ["<a ", "<a '> ", '<a "> " ', "<b>", "</p>", "<!--", "<script>", "< ", "<div class='x'>w w</div>", "&amp;"])
+@pytest.mark.parametrize("part", ["<a ", "<a '> ", '<a "> " ', "<b>", "</p>", "<!--", "<script>", "< ", "<div class='x'>w w</div>", "&amp;", "<b>x</i>", "<div></p>", "<div class=ad><main>", "<p><b></p>", "</div><i>"])
 def test_long_pages_take_linear_time(part):
     began = time.process_time()
     html_text.main_text(part * (1_000_000 // len(part)) + "'")
     assert time.process_time() - began < 15
 
 
+@pytest.mark.parametrize("part", ["<div class='share-prices'>{}</div>", "<div class='related-work'>{}</div>", "<section id='navigation-methods'>{}</section>", "<blockquote class='popular'>{}</blockquote>", "<blockquote id='alert-level'>{}</blockquote>", "<div/>one</div>{}", "<div class=clear/></div>{}", "<a href=/x/>{}</a>"])
+def test_names_and_slashes_leave_the_article_whole(part):
+    page = f"<body><nav><a href=/>home</a></nav><article><h1>Title</h1><p>First words of a long paragraph.</p>{part.format('what is kept')}<p>Last words of it.</p></article></body>"
+    text = html_text.main_text(page)
+    assert "what is kept" in text and text.startswith("Title\nFirst words") and text.endswith("Last words of it.")
+
+
+@pytest.mark.parametrize("part", ["<div class='related-posts'>{}</div>", "<div class='share-buttons'>{}</div>", "<div id=comments>{}</div>", "<div class='ad-container'>{}</div>", "<p class='newsletter-signup box'>{}</p>", "<ul class=social>{}</ul>", "<div class='ad_slot-3'>{}</div>"])
+def test_named_parts_of_an_article_go(part):
+    page = f"<article><h1>Title</h1><p>First words of a long paragraph.</p>{part.format('what goes')}<p>Last words of it.</p></article>"
+    assert html_text.main_text(page) == "Title\nFirst words of a long paragraph.\nLast words of it."
+
+
 def test_pages_of_awkward_rows(spark):
     page = "<nav>menu</nav><article><h1>Title</h1><p>Body words of it.</p></article>"
     rows = [(1, "u", page, "a", 9), (1, "u", page, "a", 9), (2, None, None, None, None), (None, "u", "", "b", 1), (3, "v", "<article>" + "<p>long words</p>" * 60_000 + "</article>", "x", 2)]
@@ -220,6 +233,14 @@ def _labelled(spark, words, n=400):
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*labels, (5, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
 
 
+def test_very_long_texts_full_of_hits_and_exceptions():
+    model = toxicity.ToxicityModel({"idiot": 3.0, "loser": 3.0})
+    began = time.process_time()
+    assert model.hits("idiot proof " * 80_000)[0] == 0 and model.hits("idiot " * 80_000)[0] == 80_000
+    assert time.process_time() - began < 15
+    model.hits("idiot proof idiot, idiot-proof loser idiotproof")
+
+
 def test_toxicity_learns_stems(spark):
     rows, labels = _labelled(spark, ["zorky", "blimf"])
     model = toxicity.fit(rows, labels)
