@@ -234,7 +234,7 @@ def _shingle_sets(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _sketch_pairs(similarity: float, away: float):
-    """Pairs of a hot key to be verified, from the min-hashes' agreement.
+    """Pairs of a hot key to be verified, from the min-hashes' agreement, of nodes that aren't known to be of one component (of).
 
     Nodes that agree clearly are joined by a forest; of less clear pairs those that it leaves apart.
     """
@@ -243,7 +243,7 @@ def _sketch_pairs(similarity: float, away: float):
         pdf = pdf.drop_duplicates(["doc", "row"]).sort_values(["doc", "row"])
         docs, rows, n = pdf["doc"].to_numpy(), pdf["row"].to_numpy(), pdf["n"].to_numpy()
         sigs = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint8).reshape(len(pdf), -1)
-        label, edges, unclear = np.arange(len(pdf)), [], []
+        label, edges, unclear = pdf.groupby(["of_doc", "of_row"]).ngroup().to_numpy().copy(), [], []
         for i in range(len(pdf)):
             apart = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
             apart = apart[np.minimum(n[apart], n[i]) >= similarity * np.maximum(n[apart], n[i])]
@@ -261,31 +261,48 @@ def _sketch_pairs(similarity: float, away: float):
     return run
 
 
-def similar_pairs(nodes: DataFrame, similarity: float, few: int = 8, chunk: int = 2048) -> DataFrame:
-    """(a, b) ids of nodes (id, n, keys, sig) to be verified: a shared band, and sizes that allow the similarity.
-
-    few and chunk: as in links. Pairs of a key that more than few nodes share are thinned by their min-hashes.
-    """
+def shared_bands(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, c, id) of the nodes (id, keys) that share a key with others, c of them, and (a, b) of the keys of two. Keys that the same nodes share are one."""
     members = common.spread(nodes.select("id", "keys")).select("id", F.explode(F.array_distinct("keys")).alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     members = common.materialize(members.join(shared, "key", "left_semi"))
     marks = [F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("g")]
     sets = common.materialize(members.groupBy("key").agg(*marks).groupBy("c", "a", "b", "h", "g").agg(F.min("key").alias("key")).drop("h", "g"))
-    full = members.join(sets.where("c > 2").select("key", "c"), "key")
-    small = full.where(F.col("c") <= few)
+    return members.join(sets.where("c > 2").select("key", "c"), "key").select("key", "c", "id"), sets.where("c = 2").select("a", "b")
+
+
+def similar_components(nodes: DataFrame, similarity: float, verified, few: int = 8, chunk: int = 2048) -> DataFrame:
+    """(node, root) of nodes (id, n, keys, sig) that share bands and whose pairs are found similar by verified((a, b) pairs).
+
+    Of a key that few nodes share all pairs are verified, of a key of more each node's with the smallest one: copies of one text are a component after
+    that. Nodes of such a key that are then still in different components, and only these, are compared with each other: their pairs are thinned
+    by their min-hashes (four standard errors of the share that agrees) in parts of chunk nodes, and verified too.
+    """
+    full, twos = shared_bands(nodes)
+    full = common.materialize(full)
+    sizes = nodes.select("id", "n")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        for c in ("a", "b"):
+            pairs = pairs.join(sizes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")), c)
+        return pairs.where(F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b")).select("a", "b")
+
+    small, large = full.where(F.col("c") <= few), full.where(F.col("c") > few)
     pairs = small.alias("l").join(small.alias("r"), F.expr("l.key = r.key AND l.id < r.id")).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    pairs = pairs.unionByName(sets.where("c = 2").select("a", "b")).distinct()
-    for c in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")), c)
-    pairs = pairs.where(F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b")).select("a", "b")
-    large = full.where(F.col("c") > few).withColumn("parts", F.ceil(F.col("c") / chunk).cast("int"))
-    large = large.join(nodes.select("id", "n", "sig"), "id").withColumn("p", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    large = large.select("key", F.least("p", "other").alias("lo"), F.greatest("p", "other").alias("hi"), "id.doc", "id.row", "n", "sig")
-    # four standard errors of the share of agreeing min-hashes
-    hot = large.groupBy("key", "lo", "hi").applyInPandas(_sketch_pairs(similarity, 0.13), "a_doc long, a_row long, b_doc long, b_row long")
-    hot = hot.select(*(F.struct(F.col(f"{c}_doc").alias("doc"), F.col(f"{c}_row").alias("row")).alias(c) for c in ("a", "b")))
-    return pairs.unionByName(hot).distinct()
+    led = large.join(large.groupBy("key").agg(F.min("id").alias("a")), "key").where("id != a").select("a", F.col("id").alias("b"))
+    edges = common.materialize(verified(possible(pairs.unionByName(led).unionByName(twos).distinct())))
+    roots = components(edges)
+
+    of = roots.select(F.col("node").alias("id"), "root")
+    told = common.materialize(large.join(of, "id", "left").select("key", "c", "id", F.coalesce("root", "id").alias("of")))
+    apart = told.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo != hi").select("key")
+    left = told.join(apart, "key", "left_semi").join(nodes.select("id", "n", "sig"), "id")
+    left = left.withColumn("parts", F.ceil(F.col("c") / chunk).cast("int")).withColumn("p", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    left = left.select("key", F.least("p", "other").alias("lo"), F.greatest("p", "other").alias("hi"), "id.doc", "id.row", "n", "sig", F.col("of.doc").alias("of_doc"), F.col("of.row").alias("of_row"))
+    hot = left.groupBy("key", "lo", "hi").applyInPandas(_sketch_pairs(similarity, 0.13), "a_doc long, a_row long, b_doc long, b_row long")
+    hot = common.materialize(hot.select(*(F.struct(F.col(f"{c}_doc").alias("doc"), F.col(f"{c}_row").alias("row")).alias(c) for c in ("a", "b"))).distinct())
+    return roots if hot.isEmpty() else components(edges.unionByName(verified(hot)))
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, similarity: float = 0.8, bands: int = 24, band: int = 6) -> DataFrame:
@@ -302,16 +319,19 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
         sketches = common.materialize(_sketches(rows, width, bands, band))
     named = F.min(F.struct("doc", "row")).alias("id")
     nodes = common.materialize(sketches.groupBy("s", "t").agg(named, *(F.first(c).alias(c) for c in ("n", "keys", "sig"))).drop("s", "t"))
-    pairs = common.materialize(similar_pairs(nodes, similarity))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select("id.*").distinct()
-    sets = _shingle_sets(rows.join(ids, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"]), width)
-    with common.small_batches(spark):
-        sets = common.materialize(sets.select(F.struct("doc", "row").alias("id"), "shingles"))
-    for c in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")), c)
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    edges = pairs.where(both >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
-    roots = components(edges)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = common.materialize(pairs)
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select("id.*").distinct()
+        sets = _shingle_sets(rows.join(ids, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"]), width)
+        with common.small_batches(spark):
+            sets = common.materialize(sets.select(F.struct("doc", "row").alias("id"), "shingles"))
+        for c in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")), c)
+        both = F.size(F.array_intersect("of_a", "of_b"))
+        return pairs.where(both >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
+
+    roots = similar_components(nodes, similarity, verified)
     # a component's root is its smallest id; of all other nodes the first row is their smallest
     first = nodes.select("id").join(roots.where("node != root").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id.doc").alias("__doc"), F.col("id.row").alias("__row"))
     keyed = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__row", F.xxhash64("text"))
