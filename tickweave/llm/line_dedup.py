@@ -63,9 +63,9 @@ def _without(norm: Column, words: Column, i: Column) -> Column:
     return F.when(i < 0, norm).otherwise(F.trim(F.concat(before, F.lit(" "), after)))
 
 
-def _near(docs: DataFrame, places: DataFrame, entries: DataFrame, min_words: int) -> DataFrame:
+def _near(docs: DataFrame, entries: DataFrame, min_words: int) -> DataFrame:
     """h1, h2 and of, the earliest place before it of an entry one word apart, for entries that have one."""
-    halves = places.where("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("key"))
+    halves = entries.where("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     candidates = halves.join(shared, "key", "left_semi").select("h1", "h2").distinct()
     where = entries.join(candidates, ["h1", "h2"], "left_semi").select("first.*").groupBy("doc", "row").agg(F.collect_set("n").alias("ns"))
@@ -105,8 +105,8 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, edit_words: int = 8) ->
     lines = _entries_of(_with_places(docs).select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("n", "line")), min_words)
     halves = F.when(F.col("words") >= edit_words, _half_keys())
     places = common.materialize(lines.select(F.struct(*_PLACE).alias("place"), "h1", "h2", halves.alias("halves")))
-    entries = common.materialize(places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("copies")))
-    near = _near(docs, places, entries, min_words)
+    entries = common.materialize(places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("halves").alias("halves"), F.count("*").alias("copies")))
+    near = _near(docs, entries, min_words)
     marked = entries.join(near, ["h1", "h2"], "left").where("copies > 1 OR of IS NOT NULL").select("h1", "h2", "first", "of", "copies")
     marked = common.materialize(marked)
     found = common.join_to_groups(places.drop("halves"), marked, ["h1", "h2"], "copies")
