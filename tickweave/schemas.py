@@ -71,4 +71,15 @@ REPLAY = (
     + "stage_id int, stage_name string, music_id int, total_frames long, strategy string, "
     "parse_errors array<string>, frames array<struct<p1:int,p2:int>>"
 )
+#: Texts of the errors that decoding a replay meets; readers of stored replays look for them.
+REPLAY_ERRORS = {
+    "small": "File too small ({size} bytes)",
+    "header": "Header parse error: {error}",
+    "second": "P2 header beyond file bounds",
+    "deck": "{player} deck extends beyond file",
+    "inputs": "Could not find compressed input data",
+    "no_frames": "No frame data in decompressed stream",
+    "many_frames": "Frame count {count} exceeds maximum {most}",
+    "idle": "Warning: all inputs are zero (possible parse error)",
+}
 SCHEMA_VERSION = 1
