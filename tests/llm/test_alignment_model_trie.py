@@ -169,20 +169,34 @@ def test_held_out_prose_is_predicted(scored):
 def test_probabilities_add_up_and_depend_on_the_text_alone(scored):
     texts, model, got = scored
     total = 0.0
-    for byte in range(256):  # in place of the end
-        s = language_model.Slice([""])
-        s.bytes = s.bytes.copy()
-        s.bytes[s.start] = byte
+    for symbol in range(64):  # in place of the end
+        s = language_model.Slice([""], model.alphabet)
+        s.symbols[s.start] = symbol
         total += 10.0 ** model.mixer.run(s, model.tables)[0]
     assert math.isclose(total, 1, rel_tol=1e-3)
     for i in (1, 3, 5, 40, 41):
-        assert math.isclose(model.mixer.run(language_model.Slice([texts[i]]), model.tables)[0], got[i]["score"], rel_tol=1e-6)
+        assert math.isclose(model.mixer.run(language_model.Slice([texts[i]], model.alphabet), model.tables)[0], got[i]["score"], rel_tol=1e-6)
+
+
+def test_symbols_give_texts_back():
+    alphabet = language_model.Alphabet(np.bincount(np.frombuffer(b"the quick brown fox \n" * 3, dtype=np.uint8), minlength=256))
+    texts = ["The quick", "", None, "日本 \t\x00 Zé", "e" * 3000]
+    s = language_model.Slice(texts, alphabet)
+    byte = {int(x): b for b, x in enumerate(alphabet.symbol) if x != language_model.ESCAPE}
+    for t, start, size in zip(texts, s.start.tolist(), s.size.tolist(), strict=True):
+        got, out = s.symbols[start : start + size].tolist(), bytearray()
+        assert got[-1] == language_model.LAST and s.symbols[start - language_model.PAD : start].tolist() == [language_model.LAST] * language_model.PAD
+        i = 0
+        while i < size - 1:
+            out.append(got[i + 1] << 4 | got[i + 2] if got[i] == language_model.ESCAPE else byte[got[i]])
+            i += 3 if got[i] == language_model.ESCAPE else 1
+        assert bytes(out) == (t or "").encode().lower()
 
 
 def test_counts_go_through_ranges(spark):
     layout = language_model.Layout(3)
     r = np.random.default_rng(1)
-    keys = np.unique(r.integers(0, 5, 5000) << 56 | r.integers(0, 1 << layout.hash_bits, 5000) << 8 | r.integers(0, 256, 5000))
+    keys = np.unique(r.integers(0, 5, 5000) << 56 | r.integers(0, 1 << layout.hash_bits, 5000) << 8 | r.integers(0, 64, 5000))
     n = np.arange(1, len(keys) + 1)
     assert (language_model.unpacked(language_model.packed(keys)) == keys).all()
     parts = list(layout.ranges(keys, n))
