@@ -107,7 +107,8 @@ def _broken_replays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for n in map(int, pdf["s_suppkey"]):
             deck = struct.pack("<I3H", 3, 1, 2, 200 + n % 5000)
-            head = struct.pack("<I4xBB6x", 210, n % 22, n % 8) + deck + struct.pack("<BB5x", (n + 1) % 22, 1) + deck + bytes([n % 20, n % 5]) + bytes(10)
+            # bytes that mean nothing tell files apart
+            head = struct.pack("<IIBBIH", 210, n & 0xFFFFFFFF, n % 22, n % 8, n >> 32 & 0xFFFFFFFF, 0) + deck + struct.pack("<BB5x", (n + 1) % 22, 1) + deck + bytes([n % 20, n % 5]) + bytes(10)
             body = {1: b"\xff" * 600, 2: zlib.compress(b""), 3: zlib.compress(bytes(4 * (100 + n % 50)))}.get(n % 5, zlib.compress(struct.pack("<HH", 1, 2) * (1 + n % 50)))
             out.append((f"/corpus/{n}.rep", head[: 10 if n % 5 == 0 else None] if n % 5 == 0 else head.ljust(0x80, b"\xff") + body))
         yield pd.DataFrame(out, columns=["path", "content"])
