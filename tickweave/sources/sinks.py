@@ -40,7 +40,9 @@ def write_replays(replays: DataFrame, path: str, buckets: int = 16) -> None:
     from ..plans.replay_tables import frame_inputs, replay_dimension
 
     replay_dimension(replays).write.mode("append").parquet(f"{path}/replays")
-    frame_inputs(replays).withColumn("bucket", F.pmod(F.xxhash64("replay_id"), F.lit(buckets))).write.mode("append").partitionBy("bucket").parquet(f"{path}/frame_inputs")
+    frames = frame_inputs(replays).withColumn("bucket", F.pmod(F.xxhash64("replay_id"), F.lit(buckets)))
+    # a folder's rows are together but where they are many: each task writes few files
+    frames.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/frame_inputs")
 
 
 def report_json(reports: DataFrame) -> DataFrame:
