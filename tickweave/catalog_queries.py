@@ -38,6 +38,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are few bytes but become files, dealt evenly over all tasks."""
+    return _t(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     return _t(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", k.alias("k"))
@@ -442,7 +447,7 @@ def _replay_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _decoded(spark, sf_dir) -> DataFrame:
-    return replays.decode(_t(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_replay_bytes, "path string, content binary"))
+    return replays.decode(_dealt(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_replay_bytes, "path string, content binary"))
 
 
 @_query("""SELECT concat(s_suppkey, '.rep') AS file_name, CAST(210 + s_suppkey % 5000 AS BIGINT) AS game_version, CAST(s_suppkey % 5000 % 22 AS INTEGER) AS p1_character_id,
