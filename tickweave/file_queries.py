@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog_queries import _EVENTS, _events, _frame_texts, _t
+from .catalog_queries import _EVENTS, _dealt, _events, _frame_texts, _t
 from .functions import bits, scalars
 from .operators import catalog, integrity, planning, replays, segments
 from .schemas import BUTTONS
@@ -115,7 +115,7 @@ def _broken_replays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _damaged(spark, sf_dir) -> DataFrame:
-    return _t(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_broken_replays, "path string, content binary")
+    return _dealt(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(_broken_replays, "path string, content binary")
 
 
 @_query("""SELECT concat('/corpus/', s_suppkey, '.rep') AS file_path, CASE s_suppkey % 5 WHEN 0 THEN 'File too small (10 bytes)' WHEN 1 THEN 'Could not find compressed input data' WHEN 2 THEN 'No frame data in decompressed stream'
