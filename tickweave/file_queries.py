@@ -18,7 +18,7 @@ from .catalog_queries import _EVENTS, _dealt, _events, _frame_texts, _t
 from .functions import bits, scalars
 from .operators import catalog, integrity, planning, replays, segments
 from .schemas import BUTTONS
-from .sources import captures, sinks
+from .sources import captures, files, sinks
 from .storage import shared_dir
 from .streaming import feeds
 
@@ -40,11 +40,17 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _write_texts(rows: DataFrame, folder: str, part: str) -> str:
-    """One text file with the values of each part, in a folder of its own, part=..."""
+    """One text file with the values of each of few parts, in a folder of its own, part=..."""
     rows.select(part, "value").repartition(part).write.partitionBy(part).text(folder)
     return folder
 
 
+def _written(rows: DataFrame, folder: str) -> str:
+    """Files of (path below the folder, value)."""
+    files.write_files(rows.select(F.concat(F.lit(f"{folder}/"), "path").alias("path"), F.col("value").cast("binary").alias("content")))
+    return folder
+
+
 @_query("""SELECT concat('worker=w', o_orderkey % 3) AS worker, CAST(o_orderkey AS VARCHAR) AS replay_id, CASE WHEN o_orderstatus = 'F' THEN 'ok' ELSE 'failed' END AS status, o_orderkey % 1000 AS frames FROM orders WHERE o_orderkey % 7 <> 0
 UNION ALL SELECT 'appended', CAST(o_orderkey AS VARCHAR), 'late', CAST(NULL AS BIGINT) FROM orders WHERE o_orderkey % 5 < 2""")
 def torn_manifests(spark, sf_dir):
@@ -88,8 +94,8 @@ def log_frames(spark, sf_dir):
     n = F.col("s_suppkey")
     wrote = lambda c: F.concat(F.lit("encoder wrote "), c, F.lit(" frames"))
     again = F.when(n % 2 == 0, F.concat(F.lit("Session::init\n"), F.when(n % 3 == 0, F.lit("waiting")).otherwise(F.concat(wrote(n * 5), F.lit("\n"), wrote(n * 10))))).otherwise(F.lit("idle"))
-    logs = _t(spark, sf_dir, "supplier").select(n.alias("worker"), F.concat_ws("\n", F.lit("Session::init"), wrote(n), again).alias("value"))
-    read = captures.worker_logs(spark, f"{_write_texts(logs, _folder(spark), 'worker')}/*")
+    logs = _dealt(spark, sf_dir, "supplier").select(F.concat(F.lit("worker="), n, F.lit("/log.txt")).alias("path"), F.concat_ws("\n", F.lit("Session::init"), wrote(n), again, F.lit("")).alias("value"))
+    read = captures.worker_logs(spark, _written(logs, _folder(spark)))
     return read.select(F.regexp_extract("source_file", r"worker=(\d+)", 1).cast("int").alias("worker"), "in_flight")
 
 
@@ -97,8 +103,8 @@ def log_frames(spark, sf_dir):
 def artefact_sizes(spark, sf_dir):
     """Sizes of files, contents unread."""
     n = F.col("s_suppkey")
-    texts = _t(spark, sf_dir, "supplier").select(n.alias("part"), F.expr("repeat('x', cast(s_suppkey % 90 * 100 as int))").alias("value"))
-    sizes = captures.file_sizes(spark, _write_texts(texts, _folder(spark), "part"), "*.txt")
+    texts = _dealt(spark, sf_dir, "supplier").select(F.concat(F.lit("part="), n, F.lit("/x.txt")).alias("path"), F.expr("repeat('x', cast(s_suppkey % 90 * 100 as int)) || chr(10)").alias("value"))
+    sizes = captures.file_sizes(spark, _written(texts, _folder(spark)), "*.txt")
     return sizes.where("modified IS NOT NULL").select(F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"), "length")
 
 

@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog_queries import _EVENTS, _decoded, _events, _frame_texts, _t
+from .catalog_queries import _EVENTS, _dealt, _decoded, _events, _frame_texts, _t
 from .catalog_queries import ORACLES as CATALOG
-from .file_queries import _arrive, _damaged, _folder, _run_to_end, _write_texts
+from .file_queries import _arrive, _damaged, _folder, _run_to_end, _write_texts, _written
 from .operators import integrity, planning, replays
 from .plans import replay_tables
 from .sources import captures, files, shards, sinks
@@ -31,12 +31,6 @@ def _query(sql: str):
     return add
 
 
-def _written(rows: DataFrame, folder: str) -> str:
-    """Files of (path below the folder, value)."""
-    files.write_files(rows.select(F.concat(F.lit(f"{folder}/"), "path").alias("path"), F.col("value").cast("binary").alias("content")))
-    return folder
-
-
 _STATUS = "CASE WHEN o_orderstatus = 'F' THEN 'ok' ELSE 'failed' END"
 
 
@@ -90,8 +84,8 @@ SELECT printf('h-%04d.tar', bin + 7) AS shard, s_suppkey AS capture, s_suppkey %
 def tar_shards(spark, sf_dir):
     """Captures on disk, packed into tar shards by tasks, and what is read back from shards, index and state."""
     folder, k = _folder(spark), F.col("s_suppkey")
-    supplier = _t(spark, sf_dir, "supplier")
-    _write_texts(supplier.select(k.alias("cap"), F.expr("repeat('x', cast(s_suppkey % 97 * 10 as int))").alias("value")), f"{folder}/data", "cap")
+    supplier = _dealt(spark, sf_dir, "supplier")
+    _written(supplier.select(F.concat(F.lit("cap="), k, F.lit("/x.txt")).alias("path"), F.expr("repeat('x', cast(s_suppkey % 97 * 10 as int)) || chr(10)").alias("value")), f"{folder}/data")
     found = captures.file_sizes(spark, f"{folder}/data", "*.txt").select(F.regexp_extract("path", r"(cap=\d+)/", 1).alias("rel"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"))
     listing = found.select(F.lit(f"{folder}/data").alias("root"), "rel", "file", "bytes")
     good = supplier.select(F.concat(F.lit("cap="), k).alias("rel"), k.alias("key"), (k % 1000).alias("frames"))
@@ -109,7 +103,7 @@ def tar_shards(spark, sf_dir):
 def artefact_digests(spark, sf_dir):
     """Digests of listed files by blocks; some are not there."""
     folder, k = _folder(spark), F.col("s_suppkey")
-    rows = _t(spark, sf_dir, "supplier").select(k, F.concat(F.lit("d/"), k, F.lit(".bin")).alias("path"), F.expr("repeat('y', cast(s_suppkey % 50 * 1000 as int)) || chr(10)").alias("value"))
+    rows = _dealt(spark, sf_dir, "supplier").select(k, F.concat(F.lit("d/"), k, F.lit(".bin")).alias("path"), F.expr("repeat('y', cast(s_suppkey % 50 * 1000 as int)) || chr(10)").alias("value"))
     _written(rows.where(k % 5 != 0), folder)
     return files.file_digests(rows.select("s_suppkey", F.concat(F.lit(f"{folder}/"), "path").alias("path"))).drop("path")
 
@@ -132,7 +126,7 @@ def replay_discovery(spark, sf_dir):
     """Replay files anywhere below a root, by either case of their suffix."""
     k = F.col("s_suppkey")
     name = F.concat(F.lit("a/"), k % 5, F.lit("/r"), k, F.when(k % 3 == 0, ".rep").when(k % 3 == 1, ".REP").otherwise(".txt"))
-    rows = _t(spark, sf_dir, "supplier").select(name.alias("path"), F.expr("repeat('z', cast(s_suppkey % 300 + 1 as int))").alias("value"))
+    rows = _dealt(spark, sf_dir, "supplier").select(name.alias("path"), F.expr("repeat('z', cast(s_suppkey % 300 + 1 as int))").alias("value"))
     found = captures.replay_files(spark, _written(rows, _folder(spark)))
     return found.where(F.length("content") == F.col("length")).select(F.regexp_extract("path", r"/r(\d+)\.", 1).cast("long").alias("s_suppkey"), "length")
 
