@@ -8,8 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -45,14 +44,17 @@ class _Totals(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("frames", "done long, last long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(rows).sort_values(self.order)
-        done, last = self.state.get() if self.state.exists() else (0, 0)
-        counts = pdf[self.counter].astype("int64")
-        before = counts.shift(fill_value=last)
-        ended = before.where(counts < before, 0).cumsum() + done
-        self.state.update((int(ended.iloc[-1]), int(counts.iloc[-1])))
-        yield pdf[[self.key, *self.order]].assign(done=ended, in_flight=counts, total=ended + counts)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        made = Row(self.key, *self.order, "done", "in_flight", "total")
+        done, last = self.state.get() or (0, 0)
+        # nulls last
+        for row in sorted(rows, key=lambda r: [(r[c] is None, r[c]) for c in self.order]):
+            count = int(row[self.counter])
+            if count < last:
+                done += last
+            last = count
+            yield made(row[self.key], *(row[c] for c in self.order), done, count, done + count)
+        self.state.update((done, last))
 
     def close(self) -> None:
         pass
@@ -82,7 +84,7 @@ def frame_totals(samples: DataFrame, worker: str, counter: str, order: list[str]
     kind = {f.name: f.dataType.simpleString() for f in samples.schema.fields}
     out = ", ".join(f"{c} {kind[c]}" for c in [worker, *order]) + ", done long, in_flight long, total long"
     held = samples.where(F.col(counter).isNotNull()).select(worker, counter, *order)
-    return held.groupBy(worker).transformWithStateInPandas(_Totals(worker, counter, order), out, "Append", "None")
+    return held.groupBy(worker).transformWithState(_Totals(worker, counter, order), out, "Append", "None")
 
 
 def listing_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
