@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickweave import catalog_queries, file_queries, storage_queries
 from tickweave.operators import replays
 from tickweave.plans import replay_tables
+from tickweave.sources import sinks
 
 MODULES = (catalog_queries, file_queries, storage_queries)
 QUERIES, ORACLES = {k: v for m in MODULES for k, v in m.QUERIES.items()}, {k: v for m in MODULES for k, v in m.ORACLES.items()}
@@ -48,3 +49,15 @@ def test_decoded_rows_come_in_batches(spark):
     out = replays.decode(made)
     assert out.agg(F.count("*"), F.sum("total_frames"), F.sum(F.size("frames"))).first()[0] == 600
     assert out.where("total_frames != size(frames)").count() == 0
+
+
+def test_written_frames_replace_a_table_and_keep_any_name(spark, tmp_path):
+    names = ["a", "x/y=z:1", "ü [1]^", "50%"]
+    rows = spark.createDataFrame([(c, i, i, 1, 2) for c in names for i in (1, 0)], "capture string, pos int, tick long, p1_input long, p2_input long").repartition(3)
+    path = str(tmp_path / "out")
+    sinks.write_frames(rows.withColumn("capture", F.concat("capture", F.lit("old"))), path)
+    sinks.write_frames(rows, path)
+    back = spark.read.option("header", True).csv(path)
+    assert sorted((r["capture"], r["frame"], r["p1_up"], r["p2_down"]) for r in back.collect()) == sorted((c, i, "1", "1") for c in names for i in "01")
+    # written by the tasks: a file for each capture and no file of checksums beside it
+    assert sorted(p.name for p in tmp_path.rglob("*") if p.is_file()) == ["inputs.csv"] * len(names)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +12,25 @@ from ..functions import scalars
 from ..schemas import BUTTONS, LISTING, MANIFEST, PLAYERS, STATUS, TICK_COLUMNS
 
 
+@contextmanager
+def many_folders(spark: SparkSession) -> Iterator[None]:
+    """For reads that are set up inside: folders are listed by as many tasks as a shuffle has, not by one for each of up to 10,000. The session's own setting comes back after."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frame_files(spark: SparkSession, root: str) -> DataFrame:
     """capture, path and value, the whole text, of root/inputs.csv or else of each root/*/inputs.csv."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     own = jvm.org.apache.hadoop.fs.Path(f"{root}/inputs.csv")
     path = f"{root}/inputs.csv" if own.getFileSystem(conf).exists(own) else f"{root}/*/inputs.csv"
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    with many_folders(spark):
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.select(F.element_at(F.split("path", "/"), -2).alias("capture"), "path", "value")
 
 
@@ -106,19 +122,22 @@ def listing_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def replay_files(spark: SparkSession, root: str) -> DataFrame:
     """path, modified, length and content of all replay files below root; Spark's scans leave out files of no bytes."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[rR][eE][pP]").load(root)
+    with many_folders(spark):
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[rR][eE][pP]").load(root)
     return rows.select("path", F.col("modificationTime").alias("modified"), "length", "content")
 
 
 def file_sizes(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path, length and modified of files below root; contents are not read."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    with many_folders(spark):
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return rows.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def worker_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file and in_flight, the last frame count that a log tells of since its last start (null: none)."""
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    with many_folders(spark):
+        texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
     since = F.element_at(F.split("value", "Session::init"), -1)
     counts = F.regexp_extract_all(since, F.lit(r"encoder wrote (\d+)"), 1)
     return texts.select("source_file", F.try_element_at(counts, F.lit(-1)).cast("long").alias("in_flight"))

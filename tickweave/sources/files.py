@@ -58,6 +58,49 @@ def file_digests(files: DataFrame, path: str = "path") -> DataFrame:
     return files.mapInArrow(run, type(files.schema)([*files.schema.fields]).add("length", "long").add("sha256", "string"))
 
 
+def write_lines(lines: DataFrame, folder: str, header: str) -> None:
+    """Writes rows (path below the folder, value) as a text of lines for each path, with a header; the folder is replaced when all are there.
+
+    Rows of a path are in one partition, together and in order. A task holds no file, but writes it line by line under a name that Spark's readers
+    pass over, and renames it at its end; what a lost task left stays such a name.
+    """
+    part = f"{folder}.{uuid.uuid4().hex}.tmp"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = opened(part)
+        now = out = temporary = None
+
+        def finished() -> None:
+            out.close()
+            system.move(temporary, f"{root}/{now}")
+
+        for batch in batches:
+            paths, values = batch.column("path").to_pylist(), batch.column("value").to_pylist()
+            cuts = [i for i in range(len(paths)) if i == 0 or paths[i] != paths[i - 1]] + [len(paths)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if paths[a] != now:
+                    if now is not None:
+                        finished()
+                    now = paths[a]
+                    below = f"{root}/{now}".rpartition("/")[0]
+                    system.create_dir(below, recursive=True)
+                    temporary = f"{below}/_{uuid.uuid4().hex}"
+                    out = system.open_output_stream(temporary)
+                    out.write(f"{header}\n".encode())
+                out.write("".join(f"{v}\n" for v in values[a:b]).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+        if now is not None:
+            finished()
+
+    system, root = opened(part)
+    system.create_dir(root, recursive=True)
+    lines.select("path", "value").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+    final = opened(folder)[1]
+    if system.get_file_info(final).type.name == "Directory":
+        system.delete_dir(final)
+    system.move(root, final)
+
+
 def write_files(files: DataFrame, path: str = "path", content: str = "content") -> None:
     """Writes each row's content (binary) to its path. A file is written under another name and then renamed, so none is ever there in part."""
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..schemas import BUTTONS, PLAYERS
+from . import files
+
+#: What a folder's name of a value stands for, as Spark's partitioned tables have it.
+_ESCAPED = "[\\x00-\\x1F\\x7F\"#%'*/:=?\\\\{\\[\\]^]"
+
+
+def _folder_name(value: Column) -> Column:
+    chars = F.transform(F.split(value, ""), lambda c: F.when(c.rlike(_ESCAPED), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c))
+    return F.when(F.coalesce(value, F.lit("")) == "", "__HIVE_DEFAULT_PARTITION__").otherwise(F.when(value.rlike(_ESCAPED), F.array_join(chars, "")).otherwise(value))
 
 
 def frame_table(frames: DataFrame, order: str = "pos") -> DataFrame:
@@ -17,9 +26,12 @@ def frame_table(frames: DataFrame, order: str = "pos") -> DataFrame:
 
 
 def write_frames(frames: DataFrame, path: str, order: str = "pos") -> None:
-    """CSV with a header, a folder for each capture, rows in frame order."""
+    """CSV with a header, a folder for each capture, rows in frame order; tasks write the captures' files themselves."""
     table = frame_table(frames, order)
-    table.repartition("capture").sortWithinPartitions("capture", "frame").write.mode("overwrite").partitionBy("capture").option("header", True).csv(path)
+    names = table.columns[1:]
+    rows = table.repartition("capture").sortWithinPartitions("capture", "frame")
+    name = F.concat(F.lit("capture="), _folder_name(F.col("capture").cast("string")), F.lit("/inputs.csv"))
+    files.write_lines(rows.select(name.alias("path"), F.concat_ws(",", *names).alias("value")), path, ",".join(names))
 
 
 def append_manifest(entries: DataFrame, path: str) -> None:

@@ -15,6 +15,7 @@ from .catalog_queries import ORACLES as CATALOG
 from .file_queries import _arrive, _damaged, _folder, _run_to_end, _write_texts, _written
 from .operators import integrity, planning, replays
 from .plans import replay_tables
+from .schemas import BUTTONS, PLAYERS
 from .sources import captures, files, shards, sinks
 from .streaming import feeds
 
@@ -159,8 +160,10 @@ def written_frames(spark, sf_dir):
     """Frame tables as CSV, a folder for each capture, read back."""
     path = _folder(spark)
     sinks.write_frames(captures.frames(_frame_texts(spark, sf_dir)), path)
-    back = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return back.select(F.col("capture").cast("string").alias("capture"), *(F.col(c).cast("long").alias(c) for c in ("frame", "game_frame", "p1_input", "p2_input")), F.col("p1_a").cast("int").alias("p1_a"), F.col("p2_up").cast("int").alias("p2_up"))
+    flags = ", ".join(f"{p}_{b} int" for p in PLAYERS for b in BUTTONS)
+    with captures.many_folders(spark):
+        back = spark.read.schema(f"frame long, game_frame long, p1_input long, p2_input long, {flags}, capture string").option("header", True).csv(path)
+    return back.select("capture", "frame", "game_frame", "p1_input", "p2_input", "p1_a", "p2_up")
 
 
 @_query("""WITH b AS (SELECT i AS bit, ['up', 'down', 'left', 'right', 'a', 'b', 'c', 'd', 'change', 'spell'][i + 1] AS name FROM range(10) AS t(i)),
