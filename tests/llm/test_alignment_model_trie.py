@@ -300,3 +300,24 @@ def test_trie_sql(spark):
     want = sorted(str(tuple(r[i] for i in at)) for r in cur.fetchall())
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     assert _trie(spark, rows) == want == _plain_trie(rows)
+
+
+def test_contexts_of_all_training_texts_are_counted(spark):
+    """The model's tables hold tuning texts too, those that teach the weights don't."""
+    from tickweave.llm import language_model as lm
+
+    docs = spark.createDataFrame([(i, f"text number {i} of some" + " more" * (i % 3)) for i in range(400)], "doc_id long, text string").repartition(2)
+    training = lm._folds(docs).where(f"fold != {lm.HELD_OUT} AND fold >= 0").collect()
+    assert any(r["tuning"] for r in training)
+    made = []
+    keep = lm.build_tables
+    try:
+        lm.build_tables = lambda whole, layout: made.append(whole) or keep(whole, layout)
+        lm.fit(docs)
+    finally:
+        lm.build_tables = keep
+    places = [sum(lm.unpacked(r["counts"]).sum() for r in whole.where(f"range >> {lm.Layout(2).range_bits} = {lm.WORD}").collect()) for whole in made]
+    raw = [(len(r["text"].encode()) + 1, r["tuning"]) for r in training]
+    alphabet = lm.Alphabet(lm._byte_counts(lm._folds(docs).where(f"fold != {lm.HELD_OUT} AND fold >= 0")))
+    assert all(alphabet.symbol[b] != lm.ESCAPE for r in training for b in r["text"].encode())
+    assert places == [sum(n for n, tuned in raw if not tuned), sum(n for n, _ in raw)]

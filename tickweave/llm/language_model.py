@@ -1,15 +1,16 @@
 """Probability of whole texts by online logistic context mixing over bits, learnt from the corpus.
 
-A text is its bytes with A-Z in lower case, written in 64 symbols: one for each of the 62 bytes that are most frequent in the tuning texts, one
+A text is its bytes with A-Z in lower case, written in 64 symbols: one for each of the 62 bytes that are most frequent in the training texts, one
 that says that a byte comes as two half bytes, and the end. A symbol is six binary choices, and a choice is
 predicted from several contexts: the last 2, 4 and 6 symbols, and the word so far. How often a context
-was followed by each symbol is counted over the training texts: tasks count packed keys of their partition and give them on as compressed
+was followed by each symbol is counted over all training texts: tasks count packed keys of their partition and give them on as compressed
 runs by range of a hash; a range's sums become the slots of its part of a hashed table, each the log-odds of a bit in a context. There
 are as many slots as the contexts that were met need, so tables grow with the corpus. They are files in the shared folder that tasks map into memory.
 
 The log-odds are combined by weights of their own for each bit of a symbol; an order's weight has a second part that counts only
 where the longer context was never met. The sum's probability is refined by a table from log-odds to what came true. Weights and table are
-learnt online, each step after the bits it predicted, in pieces of X and goes on learning. So a text's probability
+learnt online, each step after the bits it predicted. What a piece begins with is taught by the tuning texts, one in forty, from tables that leave these out, as
+a text that is scored may not have been counted either. So a text's probability
 depends on nothing but the text, all texts' probabilities add up to at most 1, and very long texts are many pieces.
 
 Beside it stands the sum of smoothed log-probabilities of words, with an end for each text. Null and empty texts hold the end
@@ -58,6 +59,8 @@ RATE, REFINE_RATE = 0.015, 0.02
 BUCKETS, REACH = 33, 9.0
 #: What a word list holds for the end of a text; no word has a space.
 END = b" "
+#: Marks ranges that hold the counts of tuning texts, and after they were summed those of all texts.
+WHOLE = 1 << 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 BITS = ((np.arange(64)[:, None] >> np.arange(5, -1, -1)) & 1).astype(np.uint8)
@@ -227,22 +230,27 @@ def _rows(ranges: list[tuple[int, bytes, bytes, int]] = (), words: list[tuple[by
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each range and word of rows sorted by both."""
-    now, held = None, []
+    """Of rows sorted by range and word one row for each word and two for each range: without the tuning texts (if it has keys of others), and WHOLE with them."""
+    now, held, tuned = None, [], []
     words: list[tuple[bytes, int]] = []
 
     def finished() -> pa.RecordBatch:
-        keys, n = summed(np.concatenate([np.cumsum(unpacked(k)) for k, _ in held]), np.concatenate([unpacked(c) for _, c in held]))
-        return _rows([(now, packed(np.diff(keys, prepend=0)), packed(n), len(keys))])
+        made, parts = [], [held, tuned]
+        sums = [summed(np.concatenate([np.cumsum(unpacked(k)) for k, _ in p]), np.concatenate([unpacked(c) for _, c in p])) for p in parts if p]
+        if held:
+            made.append((now, *sums[0]))
+        made.append((now | WHOLE, *(sums[0] if len(sums) == 1 else summed(*(np.concatenate(x) for x in zip(*sums, strict=True))))))
+        return _rows([(own, packed(np.diff(keys, prepend=0)), packed(n), len(keys)) for own, keys, n in made])
 
     for batch in batches:
         for own, keys, counts, word, n in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "counts", "word", "n")), strict=True):
-            if own != now and held:
+            base = None if own is None else own & ~WHOLE
+            if base != now and (held or tuned):
                 yield finished()
-                held = []
-            now = own
+                held, tuned = [], []
+            now = base
             if own is not None:
-                held.append((keys, counts))
+                (tuned if own & WHOLE else held).append((keys, counts))
             elif words and words[-1][0] == word:
                 words[-1] = word, words[-1][1] + n
             else:
@@ -250,26 +258,26 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(words) > 10_000:
             yield _rows(words=words[:-1])
             words = words[-1:]
-    if held:
+    if held or tuned:
         yield finished()
     if words:
         yield _rows(words=words)
 
 
 def _gathered(layout: Layout, alphabet: Alphabet):
-    """Partial counts of words of all training texts, and of contexts of those that aren't for tuning."""
+    """Partial counts of words and contexts of all training texts; contexts of those for tuning in ranges of their own (WHOLE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        counts = PartialCounts(MOST_KEYS)
+        counts = {False: PartialCounts(MOST_KEYS), True: PartialCounts(MOST_KEYS // 8)}
 
         def spoken() -> pa.RecordBatch:
             out = _rows(words=list(words.items()))
             words.clear()
             return out
 
-        def met(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return _rows([(*r, 0) for r in layout.ranges(keys, n)])
+        def met(tuned: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return _rows([(own | WHOLE * tuned, k, c, 0) for own, k, c in layout.ranges(keys, n)])
 
         for batch in batches:
             for part in common.slices_of(batch, "text", SLICE_BYTES):
@@ -278,13 +286,15 @@ def _gathered(layout: Layout, alphabet: Alphabet):
                 words[END] += len(texts)
                 if len(words) > MOST_WORDS:
                     yield spoken()
-                counted = [t for t, x in zip(texts, tuning, strict=True) if not x]
-                if counted:
-                    for keys, n in _keys(counted, alphabet, layout.hash_bits):
-                        for full in counts.add(keys, n):
-                            yield met(*full)
-        for full in counts.end():
-            yield met(*full)
+                for tuned, partial in counts.items():
+                    counted = [t for t, x in zip(texts, tuning, strict=True) if x == tuned]
+                    if counted:
+                        for keys, n in _keys(counted, alphabet, layout.hash_bits):
+                            for full in partial.add(keys, n):
+                                yield met(tuned, *full)
+        for tuned, partial in counts.items():
+            for full in partial.end():
+                yield met(tuned, *full)
         yield spoken()
 
     return run
@@ -537,16 +547,22 @@ def _byte_counts(docs: DataFrame) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learns from all rows outside the held-out fold."""
+    """Learns from all rows outside the held-out fold: bytes, words and contexts are counted over all of them.
+
+    The first weights are taught by the tuning rows from tables without them, the tables of the model hold these too.
+    """
     training = _folds(docs).where((F.col("fold") != HELD_OUT) & (F.col("fold") >= 0))
     layout, tuning = Layout(training.rdd.getNumPartitions()), training.where("tuning")
-    alphabet = Alphabet(_byte_counts(tuning))
+    alphabet = Alphabet(_byte_counts(training))
     rows = training.select("text", "tuning").mapInArrow(_gathered(layout, alphabet), _GATHERED)
-    dealt = rows.repartition(F.coalesce("range", F.xxhash64("word"))).sortWithinPartitions("range", "word")
+    base = F.col("range").bitwiseAND(F.lit(WHOLE - 1))
+    dealt = rows.repartition(F.coalesce(base, F.xxhash64("word"))).sortWithinPartitions(base, "word")
     whole = common.materialize(dealt.mapInArrow(_summed, _GATHERED))
     words = count_words(whole.where("word IS NOT NULL").select("word", "n"))
-    tables = build_tables(whole.where("range IS NOT NULL").select("range", "keys", "counts", "n"), layout)
-    return Model(alphabet, words, tables, _teach(tuning, alphabet, tables, Mixer.untaught()))
+    ranges = whole.where("range IS NOT NULL").select("range", "keys", "counts", "n")
+    mixer = _teach(tuning, alphabet, build_tables(ranges.where(F.col("range") < WHOLE), layout), Mixer.untaught())
+    tables = build_tables(ranges.where(F.col("range") >= WHOLE).withColumn("range", F.col("range") - WHOLE), layout)
+    return Model(alphabet, words, tables, mixer)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
