@@ -5,6 +5,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tickweave.llm import packing
 
@@ -82,3 +83,16 @@ def test_stages_on_empty_tables(spark, corpus, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_come_by_simhash_too(spark, monkeypatch):
+    """Pairs of near texts are found by fingerprints alone, where no band of min-hashes is shared."""
+    from tickweave.llm import simhash
+
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(words), " ".join([*words[:-1], "end"]), " ".join(reversed(words))]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    apart = int(simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count()
+    assert apart <= 3
+    monkeypatch.setattr(simhash, "shared_bands", lambda nodes: (nodes.select(F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("c"), "id").limit(0), nodes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)))
+    assert sorted(r[0] for r in simhash.drop_near_duplicates(spark, docs, "").select("doc_id").collect()) == [1, 3]

@@ -195,7 +195,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _sketches(rows: DataFrame, width: int, bands: int, band: int) -> DataFrame:
-    """doc, row, n (distinct shingles), s and t, which name their set, a hashed key of each band, and sig, a byte of each min-hash."""
+    """doc, row, n (distinct shingles), s and t, which name their set, a hashed key of each band, sig, a byte of each min-hash, and fp, the fingerprint as op7 has it."""
     rng = np.random.default_rng(7)
     times = rng.integers(0, 1 << 63, bands * band, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     plus = rng.integers(0, 1 << 63, bands * band, dtype=np.uint64)
@@ -207,18 +207,19 @@ def _sketches(rows: DataFrame, width: int, bands: int, band: int) -> DataFrame:
             least = np.minimum(least, (h[i : i + 2048, None] * times + plus).min(axis=0))
         raw, whole = least.tobytes(), h.tobytes()
         keys = [xxhash.xxh64_intdigest(raw[8 * band * k : 8 * band * (k + 1)], k) for k in range(bands)]
-        return len(h), xxhash.xxh64_intdigest(whole, 1), xxhash.xxh64_intdigest(whole, 2), keys, (least >> np.uint64(56) ^ least >> np.uint64(8)).astype(np.uint8).tobytes()
+        sig = (least >> np.uint64(56) ^ least >> np.uint64(8)).astype(np.uint8).tobytes()
+        return len(h), xxhash.xxh64_intdigest(whole, 1), xxhash.xxh64_intdigest(whole, 2), keys, sig, fingerprint(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
-                n, s, t, keys, sig = zip(*map(one, part.column("text").to_pylist()), strict=True) if part.num_rows else ((),) * 5
-                longs = [pa.array(np.array(x, dtype=np.uint64).reshape(-1).view(np.int64)) for x in (s, t, keys)]
+                n, s, t, keys, sig, fp = zip(*map(one, part.column("text").to_pylist()), strict=True) if part.num_rows else ((),) * 6
+                longs = [pa.array(np.array(x, dtype=np.uint64).reshape(-1).view(np.int64)) for x in (s, t, keys, fp)]
                 listed = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * bands, longs[2])
-                arrays = [part.column("doc"), part.column("row"), pa.array(n, pa.int32()), longs[0], longs[1], listed, pa.array(sig, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc", "row", "n", "s", "t", "keys", "sig"])
+                arrays = [part.column("doc"), part.column("row"), pa.array(n, pa.int32()), longs[0], longs[1], listed, pa.array(sig, pa.binary()), longs[3]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc", "row", "n", "s", "t", "keys", "sig", "fp"])
 
-    return rows.mapInArrow(run, "doc long, row long, n int, s long, t long, keys array<long>, sig binary")
+    return rows.mapInArrow(run, "doc long, row long, n int, s long, t long, keys array<long>, sig binary, fp long")
 
 
 def _shingle_sets(rows: DataFrame, width: int) -> DataFrame:
@@ -271,8 +272,17 @@ def shared_bands(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.join(sets.where("c > 2").select("key", "c"), "key").select("key", "c", "id"), sets.where("c = 2").select("a", "b")
 
 
-def similar_components(nodes: DataFrame, similarity: float, verified, few: int = 8, chunk: int = 2048) -> DataFrame:
-    """(node, root) of nodes (id, n, keys, sig) that share bands and whose pairs are found similar by verified((a, b) pairs).
+def fingerprint_pairs(printed: DataFrame, bits: int = 3, blocks: int = 6) -> DataFrame:
+    """(a, b) ids of rows (id, fp) by SimHash: each id with the smallest one of its fingerprint, and these of fingerprints that op7's links join."""
+    first = common.materialize(printed.groupBy("fp").agg(F.min("id").alias("a")))
+    near = links(first.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("x")), block_masks(bits, blocks), bits)
+    ends = [first.select(F.col("fp").alias(c), F.col("a").alias(f"id_{c}")) for c in ("a", "b")]
+    linked = near.join(ends[0], "a").join(ends[1], "b").select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+    return printed.join(first, "fp").select("a", F.col("id").alias("b")).unionByName(linked).where("a != b").distinct()
+
+
+def similar_components(nodes: DataFrame, similarity: float, verified, few: int = 8, chunk: int = 2048, candidates: DataFrame | None = None) -> DataFrame:
+    """(node, root) of nodes (id, n, keys, sig) that are candidates (a, b) or share bands and whose pairs are found similar by verified((a, b) pairs).
 
     Of a key that few nodes share all pairs are verified, of a key of more each node's with the smallest one: copies of one text are a component after
     that. Nodes of such a key that are then still in different components, and only these, are compared with each other: their pairs are thinned
@@ -290,7 +300,7 @@ def similar_components(nodes: DataFrame, similarity: float, verified, few: int =
     small, large = full.where(F.col("c") <= few), full.where(F.col("c") > few)
     pairs = small.alias("l").join(small.alias("r"), F.expr("l.key = r.key AND l.id < r.id")).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     led = large.join(large.groupBy("key").agg(F.min("id").alias("a")), "key").where("id != a").select("a", F.col("id").alias("b"))
-    edges = common.materialize(verified(possible(pairs.unionByName(led).unionByName(twos).distinct())))
+    edges = common.materialize(verified(possible(pairs.unionByName(led).unionByName(twos if candidates is None else twos.unionByName(candidates)).distinct())))
     roots = components(edges)
 
     of = roots.select(F.col("node").alias("id"), "root")
@@ -309,8 +319,9 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
     """Of each group of near-duplicates the row with the smallest doc_id, one if rows repeat it; with all columns.
 
     Texts are linked if the sets of their five-word shingles have a Jaccard similarity of `similarity` or
-    more. Candidates share all min-hashes of one of the bands: a pair at 0.8 does with a probability of
-    0.9993, at 0.85 and more of 0.99999. Each is verified on the whole sets of both texts. Equal sets are
+    more. Candidates come from SimHash fingerprints, linked as in near_duplicates, and, as these miss many pairs at 0.8,
+    also from min-hashes: they share all those of one of the bands, which a pair at 0.8 does with a probability of
+    0.9993, at 0.85 and more of 0.99999. Each of both is verified on the whole sets of both texts. Equal sets are
     one node, named by the doc_id and text hash of its first row, so a doc_id repeated with another text
     is a row like any other. Rows with a null doc_id can't be named as the one of a group, and stay.
     """
@@ -318,7 +329,11 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
     with common.small_batches(spark):
         sketches = common.materialize(_sketches(rows, width, bands, band))
     named = F.min(F.struct("doc", "row")).alias("id")
-    nodes = common.materialize(sketches.groupBy("s", "t").agg(named, *(F.first(c).alias(c) for c in ("n", "keys", "sig"))).drop("s", "t"))
+    named_nodes = common.materialize(sketches.groupBy("s", "t").agg(named, *(F.first(c).alias(c) for c in ("n", "keys", "sig"))))
+    nodes = named_nodes.drop("s", "t")
+    # rows of one set of five-word shingles can differ in their fingerprints
+    printed = sketches.select("s", "t", "fp").distinct().join(named_nodes.select("s", "t", "id"), ["s", "t"]).select("id", "fp")
+    candidates = fingerprint_pairs(common.materialize(printed))
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = common.materialize(pairs)
@@ -331,7 +346,7 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str, width: int = 5, si
         both = F.size(F.array_intersect("of_a", "of_b"))
         return pairs.where(both >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
 
-    roots = similar_components(nodes, similarity, verified)
+    roots = similar_components(nodes, similarity, verified, candidates=candidates)
     # a component's root is its smallest id; of all other nodes the first row is their smallest
     first = nodes.select("id").join(roots.where("node != root").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id.doc").alias("__doc"), F.col("id.row").alias("__row"))
     keyed = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__row", F.xxhash64("text"))
