@@ -39,7 +39,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Unique keys in order and the sum of their counts."""
     if len(keys) == 0:
         return keys, counts
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")  # which merges runs that are in order
     keys, counts = keys[order], counts[order]
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[start], np.add.reduceat(counts, start)

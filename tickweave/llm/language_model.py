@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,49 +39,38 @@ from . import common
 from .count_shards import CountShards, PartialCounts, mounted_dir, summed, write_shards
 
 FOLDS, HELD_OUT, TUNING, TUNING_SHARE = 5, 1, 4, 8
-#: Contexts by number; the gated ones repeat the first where the second was never met.
+#: Contexts by number.
 ORDERS, WORD = (2, 4, 6), 3
-GATED = ((1, 2),)
-INPUTS = len(ORDERS) + 1 + len(GATED)
+INPUTS = len(ORDERS) + 1
 #: Symbols of a piece, bytes of text that are read at a time, words that a worker counts or keeps, and keys that it counts at a time.
 PIECE, SLICE_BYTES, MOST_WORDS, MOST_KEYS = 1024, 900_000, 400_000, 4_000_000
 #: Symbols with a byte of their own, what says that two half bytes follow, and the end.
 COMMON, ESCAPE, LAST, CHOICES = 62, 62, 63, 6
 PAD = 6
-#: Places that are looked up in a table at a time, so that a page's slots are read while they are near.
+#: Places that are looked up in a table at a time, so that what is read stays near.
 NEAR = 4096
-#: Slots of a page, a cache line: the 63 choices of a context and what tells whether it was met.
-PAGE = 64
-#: Slots for each pair of context and symbol.
-SLOTS_A_KEY = 8
+#: Bytes of a cell: the 7 choices of three bits of a symbol that follow one another, and a check of the context that holds the cell.
+CELL, NODES = 8, 7
+#: Cells for each pair of context and symbol.
+CELLS_A_KEY = 4
+#: Cells of a line, within which a context has all its cells where few symbols follow a context: they are read together.
+LINE_BITS, NEAR_ORDERS = 3, (2, WORD)
 #: Log-odds of 1 are so many steps of a slot.
 STEPS = 12.0
-RATE, REFINE_RATE = 0.015, 0.02
-BUCKETS, REACH = 33, 9.0
-#: What a word list holds for the end of a text; no word has a space.
-END = b" "
+RATE = 0.015
+#: Log-odds are refined by so many buckets within the reach, and rounded to so many steps of a bucket. Buckets begin as if met so often.
+BUCKETS, REACH, FINE, PRIOR = 33, 9.0, 32, 20
+#: What a word list holds for the end of a text; no word is empty.
+END = b""
 #: Marks ranges that hold the counts of tuning texts, and after they were summed those of all texts.
 WHOLE = 1 << 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 BITS = ((np.arange(64)[:, None] >> np.arange(5, -1, -1)) & 1).astype(np.uint8)
-#: A page's last slot tells which contexts were met: those that share the page set two bits of it each.
-MARKS = (1 << (np.arange(256) & 7) | 1 << (np.arange(256) >> 3 & 7)).astype(np.uint8)
-
-
-def _places() -> np.ndarray:
-    """For each of 16 orders and each symbol, the slots of the six choices that lead to it, and two more, as eight bytes of one number.
-
-    Contexts that share a page have their choices in different orders.
-    """
-    symbol, j = np.arange(64)[:, None], np.arange(8)
-    node = (1 << j) - 1 + (symbol >> np.maximum(6 - j, 0))
-    spread = np.array([m for m in range(1, PAGE) if np.gcd(m, PAGE - 1) == 1][:16])[:, None, None]
-    shift = np.arange(16)[:, None, None] * 3
-    return np.ascontiguousarray((node[None] * spread + shift) % (PAGE - 1)).astype(np.uint8).view("<u8").reshape(-1)
-
-
-PLACES = _places()
+#: For each symbol, the places of its choices in its two cells, one behind the other.
+PLACES = np.array([[(1 << j % 3) - 1 + ((x >> 3 if j < 3 else x & 7) >> 3 - j % 3) + CELL * (j // 3) for j in range(CHOICES)] for x in range(64)])
+#: What spreads a context's cells of second halves, one for each first half.
+SPREAD = (np.arange(1, 9, dtype=np.uint64) * _MIX | np.uint64(1)).view(np.int64)
 
 
 class Alphabet:
@@ -221,47 +211,56 @@ def unpacked(data: bytes) -> np.ndarray:
 _GATHERED = "range long, keys binary, counts binary, word binary, n long"
 
 
-def _rows(ranges: list[tuple[int, bytes, bytes, int]] = (), words: list[tuple[bytes, int]] = ()) -> pa.RecordBatch:
-    """Ranges with keys, counts and how many keys they have, and words with counts."""
-    rows = [(own, keys, counts, None, size) for own, keys, counts, size in ranges] + [(None, None, None, word, n) for word, n in words]
+def _rows(ranges: list[tuple[int, bytes | None, bytes, bytes | None, int]] = (), words: list[tuple[bytes, int]] = ()) -> pa.RecordBatch:
+    """Ranges with keys or compressed words, their counts and how many they are, and words with counts."""
+    rows = [*ranges, *((None, None, None, word, n) for word, n in words)]
     columns = list(zip(*rows, strict=True)) or [[]] * 5
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "keys", "counts", "word", "n"])
 
 
+def _word_ranges(words: Counter, bits: int) -> pa.RecordBatch:
+    """Words and counts by range of a hash, of which negative numbers tell; a range's words are one text, parted by spaces."""
+    own = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) >> 32 - bits
+    order = np.argsort(own, kind="stable")
+    held, n = np.empty(len(words), dtype=object), np.fromiter(words.values(), dtype=np.int64, count=len(words))
+    held[:] = list(words)
+    own, held, n = own[order], held[order].tolist(), n[order]
+    cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
+    return _rows([(-1 - int(own[a]), None, packed(n[a:b]), zstandard.compress(b" ".join(held[a:b]), 1), b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by range and word one row for each word and two for each range: without the tuning texts (if it has keys of others), and WHOLE with them."""
+    """Of rows sorted by range one row for each word and two for each range: without the tuning texts (if it has keys of others), and WHOLE with them."""
     now, held, tuned = None, [], []
-    words: list[tuple[bytes, int]] = []
+    words: Counter = Counter()
 
     def finished() -> pa.RecordBatch:
+        if words:
+            out = _rows(words=list(words.items()))
+            words.clear()
+            return out
         made, parts = [], [held, tuned]
         sums = [summed(np.concatenate([np.cumsum(unpacked(k)) for k, _ in p]), np.concatenate([unpacked(c) for _, c in p])) for p in parts if p]
         if held:
             made.append((now, *sums[0]))
         made.append((now | WHOLE, *(sums[0] if len(sums) == 1 else summed(*(np.concatenate(x) for x in zip(*sums, strict=True))))))
-        return _rows([(own, packed(np.diff(keys, prepend=0)), packed(n), len(keys)) for own, keys, n in made])
+        return _rows([(own, packed(np.diff(keys, prepend=0)), packed(n), None, len(keys)) for own, keys, n in made])
 
     for batch in batches:
-        for own, keys, counts, word, n in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "counts", "word", "n")), strict=True):
-            base = None if own is None else own & ~WHOLE
-            if base != now and (held or tuned):
+        for own, keys, counts, word in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "counts", "word")), strict=True):
+            base = own if own < 0 else own & ~WHOLE
+            if base != now and now is not None:
                 yield finished()
                 held, tuned = [], []
             now = base
-            if own is not None:
-                (tuned if own & WHOLE else held).append((keys, counts))
-            elif words and words[-1][0] == word:
-                words[-1] = word, words[-1][1] + n
+            if own < 0:
+                for w, n in zip(zstandard.decompress(word).split(b" "), unpacked(counts).tolist(), strict=True):
+                    words[w] += n
             else:
-                words.append((word, n))
-        if len(words) > 10_000:
-            yield _rows(words=words[:-1])
-            words = words[-1:]
-    if held or tuned:
+                (tuned if own & WHOLE else held).append((keys, counts))
+    if now is not None:
         yield finished()
-    if words:
-        yield _rows(words=words)
 
 
 def _gathered(layout: Layout, alphabet: Alphabet):
@@ -272,17 +271,17 @@ def _gathered(layout: Layout, alphabet: Alphabet):
         counts = {False: PartialCounts(MOST_KEYS), True: PartialCounts(MOST_KEYS // 8)}
 
         def spoken() -> pa.RecordBatch:
-            out = _rows(words=list(words.items()))
+            out = _word_ranges(words, layout.range_bits)
             words.clear()
             return out
 
         def met(tuned: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return _rows([(own | WHOLE * tuned, k, c, 0) for own, k, c in layout.ranges(keys, n)])
+            return _rows([(own | WHOLE * tuned, k, c, None, 0) for own, k, c in layout.ranges(keys, n)])
 
         for batch in batches:
             for part in common.slices_of(batch, "text", SLICE_BYTES):
                 texts, tuning = part.column("text").to_pylist(), part.column("tuning").to_pylist()
-                words.update(w for t in texts for w in (t or "").encode().lower().split())
+                words.update(" ".join(t or "" for t in texts).encode().lower().split())
                 words[END] += len(texts)
                 if len(words) > MOST_WORDS:
                     yield spoken()
@@ -295,7 +294,8 @@ def _gathered(layout: Layout, alphabet: Alphabet):
         for tuned, partial in counts.items():
             for full in partial.end():
                 yield met(tuned, *full)
-        yield spoken()
+        if words:
+            yield spoken()
 
     return run
 
@@ -316,7 +316,7 @@ class Words:
         if len(self.memo) > MOST_WORDS:
             self.memo.clear()
         flat = list(chain.from_iterable(rows))
-        new = list({w for w in flat if w not in self.memo})
+        new = list(set(flat).difference(self.memo))
         keys = np.array([xxhash.xxh64_intdigest(w + self.salt, 42) for w in new], dtype=np.uint64).view(np.int64)
         order = np.argsort(keys)
         c = np.empty(len(new), dtype=np.int64)
@@ -341,40 +341,59 @@ def count_words(counts: DataFrame) -> Words:
 
 
 class Tables:
-    """The slots of every context's table, mapped from a file each; can be sent to tasks."""
+    """The cells of every context's table, mapped from a file each; can be sent to tasks."""
 
-    def __init__(self, files: list[str], page_bits: list[int], hash_bits: int):
-        self.files, self.page_bits, self.hash_bits = files, page_bits, hash_bits
+    def __init__(self, files: list[str], cell_bits: list[int], layout: Layout):
+        self.files, self.cell_bits, self.hash_bits, self.range_bits = files, cell_bits, layout.hash_bits, layout.range_bits
         self._maps: list[np.ndarray] = []
 
     def __getstate__(self):
         return self.__dict__ | {"_maps": []}
 
+    def remove(self) -> None:
+        """Removes the files of tables that nothing looks into any more."""
+        self._maps = []
+        for f in self.files:
+            os.remove(f)
+
     def inputs(self, contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """(INPUTS, places, CHOICES) steps of log-odds of 1 for the choices that lead to the symbols."""
         if not self._maps:
-            self._maps = [np.asarray(np.memmap(f, dtype=np.int8, mode="r")) for f in self.files]
+            self._maps = [np.asarray(np.memmap(f, dtype="<u8", mode="r")) for f in self.files]
         out = np.empty((INPUTS, len(symbols), CHOICES), dtype=np.int8)
+        row = (np.arange(NEAR) * (2 * CELL))[:, None]
         for a in range(0, len(symbols), NEAR):
-            self._fill(out[:, a : a + NEAR], contexts[:, a : a + NEAR], symbols[a : a + NEAR])
+            near = symbols[a : a + NEAR]
+            self._fill(out[:, a : a + NEAR], contexts[:, a : a + NEAR], near >> 3, PLACES.take(near, axis=0) + row[: len(near)])
         return out
 
-    def _fill(self, out: np.ndarray, contexts: np.ndarray, symbols: np.ndarray) -> None:
-        met = []
-        for i, (table, bits) in enumerate(zip(self._maps, self.page_bits, strict=True)):
-            base = (contexts[i] >> (self.hash_bits - bits)) * PAGE
-            table.take(slots_of(contexts[i], symbols) + base[:, None], out=out[i], mode="clip")
-            marks = MARKS.take(contexts[i] & 255)
-            met.append(((table.take(base + (PAGE - 1)).view(np.uint8) & marks) == marks)[:, None])
-            out[i] *= met[i]
-        first = len(ORDERS) + 1
-        for g, (short, long) in enumerate(GATED):
-            np.multiply(out[short], ~met[long], out=out[first + g])
-
-
-def slots_of(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """(places, CHOICES) slots in a page."""
-    return PLACES.take((contexts & 15) << 6 | symbols).view(np.uint8).reshape(-1, 8)[:, :CHOICES]
+    def _fill(self, out: np.ndarray, contexts: np.ndarray, halves: np.ndarray, places: np.ndarray) -> None:
+        at = np.empty((len(halves), 2), dtype=np.int64)
+        spread = SPREAD.take(halves)
+        for i, (table, bits) in enumerate(zip(self._maps, self.cell_bits, strict=True)):
+            at[:, 0], at[:, 1] = cells_of(contexts[i], spread, i, bits, self.hash_bits, self.range_bits)
+            held = table.take(at, mode="clip")
+            held *= (held >> np.uint64(56)).view(np.int64) == (contexts[i] & 255)[:, None]
+            held.view(np.int8).ravel().take(places, out=out[i], mode="clip")
+
+
+def cells_of(h: np.ndarray, spread: np.ndarray, order: int, bits: int, hash_bits: int, range_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of contexts for the first and the second half of a symbol, within the part of the table that the contexts' range has."""
+    low = hash_bits - range_bits
+    at = h >> hash_bits - bits
+    second = h * spread
+    second &= (1 << low) - 1
+    if order in NEAR_ORDERS:
+        # another cell of the line
+        second >>= low - 16
+        second *= (1 << LINE_BITS) - 1
+        second >>= 16
+        second += 1
+        second ^= at
+    else:
+        second >>= hash_bits - bits
+        second |= h >> low << bits - range_bits
+    return at, second
 
 
 def _quantized(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -384,6 +403,40 @@ def _quantized(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(odds, -127, 127).astype(np.int8)
 
 
+def _filled(keys: np.ndarray, n: np.ndarray, order: int, bits: int, layout: Layout) -> np.ndarray:
+    """The cells of a range from its sorted keys. Of contexts that share a cell the one that was met there most often holds it."""
+    size = 1 << bits - layout.range_bits
+    h, symbols = keys >> 8 & (1 << layout.hash_bits) - 1, keys & 255
+    out = np.zeros(size * CELL, dtype=np.int8)
+    owner, most = np.full(size, -1), np.zeros(size, dtype=np.int64)
+    groups = []
+    for low in (0, 1):  # groups of keys that share a context's cell stand together
+        own = h << 3 | symbols >> 3 if low else h
+        start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        at = cells_of(h[start], SPREAD.take(symbols[start] >> 3), order, bits, layout.hash_bits, layout.range_bits)[low] & size - 1
+        met = np.add.reduceat(n, start)
+        np.maximum.at(most, at, met)
+        groups.append((start, at, met))
+    for low, (start, at, met) in enumerate(groups):
+        first = met == most[at]
+        owner[at[first]] = np.flatnonzero(first) << 1 | low
+    zeros, ones = np.zeros(size * CELL), np.zeros(size * CELL)
+    for low, (start, at, _) in enumerate(groups):
+        held = owner[at] == (np.arange(len(at)) << 1 | low)
+        out[at[held] * CELL + NODES] = (h[start[held]] & 255).astype(np.uint8).view(np.int8)
+        of = np.repeat(held, np.diff(start, append=len(keys)))
+        cell = np.repeat(at, np.diff(start, append=len(keys)))[of]
+        x, weight = symbols[of], n[of]
+        for j in range(3 * low, 3 * low + 3):
+            slot = cell * CELL + PLACES[:, j].take(x) - CELL * low
+            one = BITS[:, j].take(x) == 1
+            ones += np.bincount(slot[one], weights=weight[one], minlength=size * CELL)
+            zeros += np.bincount(slot[~one], weights=weight[~one], minlength=size * CELL)
+    odds = _quantized(zeros, ones)
+    odds[NODES::CELL] = out[NODES::CELL]
+    return odds
+
+
 def build_tables(whole: DataFrame, layout: Layout) -> Tables:
     """Tables of (range, keys, counts, n) with each range once. A range is a part of its table's file, which a task writes in its place; to write it twice changes nothing."""
     spark = whole.sparkSession
@@ -391,52 +444,45 @@ def build_tables(whole: DataFrame, layout: Layout) -> Tables:
     os.makedirs(folder, exist_ok=True)
     kind = F.shiftright("range", layout.range_bits)
     met = {r[0]: r[1] for r in whole.groupBy(kind).agg(F.sum("n")).collect()}
-    bits = [int(min(layout.hash_bits, max(layout.range_bits, np.rint(np.log2(max(1, met.get(k, 0)) * SLOTS_A_KEY / PAGE))))) for k in range(len(ORDERS) + 1)]
+    bits = [int(min(layout.hash_bits, max(layout.range_bits + LINE_BITS, np.rint(np.log2(max(1, met.get(k, 0)) * CELLS_A_KEY))))) for k in range(len(ORDERS) + 1)]
     files = [f"{folder}/{k}" for k in range(len(bits))]
     for f, b in zip(files, bits, strict=True):
         with open(f, "wb") as out:
-            out.truncate(PAGE << b)
+            out.truncate(CELL << b)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, keys, n in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "counts")), strict=True):
                 k, at = own >> layout.range_bits, own & (1 << layout.range_bits) - 1
-                keys, n, pages = np.cumsum(unpacked(keys)), unpacked(n), 1 << bits[k] - layout.range_bits
-                h, symbols = keys >> 8 & (1 << layout.hash_bits) - 1, keys & 255
-                number = (h >> (layout.hash_bits - bits[k])) & pages - 1
-                seen = np.zeros(pages, dtype=np.uint8)
-                np.bitwise_or.at(seen, number, MARKS[h & 255])
-                slot = slots_of(h, symbols) + (number * PAGE)[:, None]
-                one = BITS[symbols] == 1
-                weight = np.repeat(n, CHOICES).reshape(-1, CHOICES)
-                ones, zeros = (np.bincount(slot[side], weights=weight[side], minlength=pages * PAGE) for side in (one, ~one))
-                slots = _quantized(zeros, ones)
-                slots[PAGE - 1 :: PAGE] = seen.view(np.int8)
+                cells = _filled(np.cumsum(unpacked(keys)), unpacked(n), k, bits[k], layout)
                 f = os.open(files[k], os.O_WRONLY)
                 try:
-                    os.pwrite(f, slots.tobytes(), at * pages * PAGE)
+                    os.pwrite(f, cells.tobytes(), at * cells.nbytes)
                     os.fsync(f)
                 finally:
                     os.close(f)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["parts"])
 
     whole.mapInArrow(fill, "parts long").agg(F.sum("parts")).collect()
-    return Tables(files, bits, layout.hash_bits)
+    return Tables(files, bits, layout)
 
 
 class Mixer:
-    """Weights and refinement that pieces begin with."""
+    """Weights that pieces begin with, and what log-odds came to in the tuning texts."""
 
     def __init__(self, weights: np.ndarray, refined: np.ndarray):
-        self.weights, self.refined = weights.astype(np.float32), refined.astype(np.float32)
+        self.weights, self.refined = weights.astype(np.float32), refined
+        # log10 of a choice's probability, for each of the six, for 0 and 1, and for each step of the log-odds of 0
+        odds = np.arange(STEPPED) / (STEPPED - 1) * 2 * REACH - REACH
+        one = (1 / (1 + np.exp(odds)) + refined[:, _bucket(np.arange(STEPPED))]) / 2
+        self.logs = np.log10(np.stack([1 - one, one], axis=1)).astype(np.float32).ravel()
 
     @staticmethod
     def untaught() -> Mixer:
-        centre = (np.arange(BUCKETS) / (BUCKETS - 1) * 2 - 1) * REACH
-        return Mixer(np.full((INPUTS, CHOICES), 0.3), np.tile(1 / (1 + np.exp(-centre)), (CHOICES, 1)))
+        return Mixer(np.full((INPUTS, CHOICES), 0.3), np.tile(_centres(), (CHOICES, 1)))
 
     def run(self, s: Slice, tables: Tables, taught: np.ndarray | None = None) -> np.ndarray:
-        """log10 of the probability of each text. taught: sums of what pieces have learnt, by the bytes they learnt from, are added to it."""
+        """log10 of the probability of each text. taught: sums of what pieces have learnt, by the bytes they learnt from, are added to it, and how often what choices came true by bucket."""
         n_pieces = -(-s.size // PIECE)
         doc = np.repeat(np.arange(len(s.size)), n_pieces)
         number = np.arange(n_pieces.sum()) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
@@ -451,74 +497,88 @@ class Mixer:
         at = start[lane] + step
         symbols = s.symbols[at]
         x8 = tables.inputs(s.contexts(at, tables.hash_bits), symbols)
-        bits = BITS.astype(np.float32)[symbols]
+        bits = BITS.astype(np.float32).take(symbols, axis=0)
         n = len(size)
-        weights = np.repeat(self.weights[:, None, :], n, axis=1)
-        refined = np.repeat(self.refined[None], n, axis=0).ravel()
-        row = (np.arange(CHOICES * n) * BUCKETS).reshape(n, CHOICES)
-        out = np.empty(len(at), dtype=np.float32)
-        scale, spread = np.float32(1 / STEPS), np.float32((BUCKETS - 1) / (2 * REACH))
-        half, middle = np.float32(0.5), np.float32((BUCKETS - 1) / 2 + 0.5)
+        # of the log-odds of 0, and by steps
+        weights = np.repeat(self.weights[:, None, :] * np.float32(-1 / STEPS), n, axis=1)
+        odds = np.empty((len(at), CHOICES), dtype=np.float32)
+        rate = np.float32(RATE / STEPS**2)
         a = 0
         for b in ends.tolist():
             k = b - a
             x = x8[:, a:b].astype(np.float32)
             w = weights[:, :k]
-            dot = np.add.reduce(w * x, axis=0)
-            dot *= scale
+            dot = np.add.reduce(w * x, axis=0, out=odds[a:b])
             np.maximum(np.minimum(dot, REACH, out=dot), -REACH, out=dot)
-            p = np.exp(-dot)
+            p = np.exp(dot)
             p += 1
             np.reciprocal(p, out=p)
-            bit = bits[a:b]
-            dot *= spread
-            dot += middle
-            cell = dot.astype(np.int64)
-            cell += row[:k]
-            held = refined.take(cell)
-            q = p + held
-            q *= half
-            q -= bit
-            np.abs(q, out=q)
-            np.subtract(1, q, out=q)
-            q = q[:, :3] * q[:, 3:]
-            q[:, 0] *= q[:, 1]
-            np.multiply(q[:, 0], q[:, 2], out=out[a:b])
-            np.subtract(bit, p, out=p)
-            p *= np.float32(RATE / STEPS)
+            p -= bits[a:b]
+            p *= rate
             x *= p
             w += x
-            np.subtract(bit, held, out=p)
-            p *= np.float32(REFINE_RATE)
-            held += p
-            refined[cell] = held
             a = b
+        out = np.empty(len(at), dtype=np.float32)
+        scale = np.float32((STEPPED - 1) / (2 * REACH))
+        first = (np.arange(CHOICES) * (2 * STEPPED) + (STEPPED - 1) / 2 + 0.5).astype(np.float32)
+        for a in range(0, len(at), NEAR):
+            cell = odds[a : a + NEAR]
+            cell *= scale
+            cell += first
+            cell = cell.astype(np.int64)
+            if taught is not None:
+                bucket = _bucket(cell % (2 * STEPPED)) + np.arange(CHOICES) * BUCKETS
+                x = symbols[a : a + NEAR]
+                for bit in (0, 1):
+                    taught[-1 - (2 - bit) * CHOICES * BUCKETS :][: CHOICES * BUCKETS] += np.bincount(bucket[BITS.take(x, axis=0) == bit], minlength=CHOICES * BUCKETS)
+            cell += STEPS_OF.take(symbols[a : a + NEAR], axis=0)
+            np.add.reduce(self.logs.take(cell), axis=1, out=out[a : a + NEAR])
         if taught is not None:
-            cells = INPUTS * CHOICES
-            whole = lambda x: np.rint(x.astype(np.float64) * 65536).astype(np.int64)
-            taught[:cells] += (whole(weights) * size[:, None]).sum(axis=1).ravel()
-            taught[cells:-1] += (whole(refined).reshape(n, -1) * size[:, None]).sum(axis=0)
+            learnt = np.rint(weights.astype(np.float64) * -STEPS * 65536).astype(np.int64)
+            taught[: INPUTS * CHOICES] += (learnt * size[:, None]).sum(axis=1).ravel()
             taught[-1] += size.sum()
-        return np.bincount(doc[lane], weights=np.log10(out.astype(np.float64)), minlength=len(s.size))
+        return np.bincount(doc[lane], weights=out, minlength=len(s.size))
 
 
-def _teach(docs: DataFrame, alphabet: Alphabet, tables: Tables, mixer: Mixer) -> Mixer:
-    """What the pieces of the docs have learnt at their ends, on average by bytes; sums of integers, so no order of tasks changes it."""
-    cells = INPUTS * CHOICES + CHOICES * BUCKETS
+#: Steps that log-odds are rounded to, and where in the logs the probabilities of each symbol's choices begin.
+STEPPED = (BUCKETS - 1) * FINE + 1
+STEPS_OF = BITS.astype(np.int64) * STEPPED
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taught = np.zeros(cells + 1, dtype=np.int64)
-        for batch in batches:
-            for part in common.slices_of(batch, "text", SLICE_BYTES):
-                mixer.run(Slice(part.column("text").to_pylist(), alphabet), tables, taught)
-        yield pa.RecordBatch.from_arrays([pa.array(range(cells + 1), pa.int32()), pa.array(taught)], names=["cell", "n"])
 
-    sums = docs.select("text").mapInArrow(learn, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = {r["cell"]: r["n"] for r in sums.collect()}
-    if not got.get(cells):
+def _bucket(step: np.ndarray) -> np.ndarray:
+    return (step + FINE // 2) // FINE
+
+
+def _centres() -> np.ndarray:
+    """The probability of 1 in the middle of each bucket of log-odds of 0."""
+    return 1 / (1 + np.exp((np.arange(BUCKETS) / (BUCKETS - 1) * 2 - 1) * REACH))
+
+
+def _teach(docs: DataFrame, alphabet: Alphabet, tables: Tables, mixer: Mixer) -> Mixer:
+    """First the weights that the pieces of the docs have at their ends, on average by bytes; then, with these, how often choices of a bucket were 1.
+
+    Both are sums of integers, so no order of tasks changes them.
+    """
+    cells = INPUTS * CHOICES + 2 * CHOICES * BUCKETS
+
+    def sums(mixer: Mixer) -> np.ndarray | None:
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            taught = np.zeros(cells + 1, dtype=np.int64)
+            for batch in batches:
+                for part in common.slices_of(batch, "text", SLICE_BYTES):
+                    mixer.run(Slice(part.column("text").to_pylist(), alphabet), tables, taught)
+            yield pa.RecordBatch.from_arrays([pa.array(range(cells + 1), pa.int32()), pa.array(taught)], names=["cell", "n"])
+
+        added = docs.select("text").mapInArrow(learn, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        got = {r["cell"]: r["n"] for r in added.collect()}
+        return np.array([got[i] for i in range(cells + 1)]) if got.get(cells) else None
+
+    learnt = sums(mixer)
+    if learnt is None:
         return mixer
-    mean = np.array([got[i] / got[cells] / 65536 for i in range(cells)])
-    return Mixer(mean[: INPUTS * CHOICES].reshape(INPUTS, CHOICES), mean[INPUTS * CHOICES :].reshape(CHOICES, BUCKETS))
+    mixer = Mixer((learnt[: INPUTS * CHOICES] / learnt[-1] / 65536).reshape(INPUTS, CHOICES), mixer.refined)
+    zeros, ones = sums(mixer)[INPUTS * CHOICES : -1].reshape(2, CHOICES, BUCKETS)
+    return Mixer(mixer.weights, (ones + PRIOR * _centres()) / (zeros + ones + PRIOR))
 
 
 class Model:
@@ -555,12 +615,14 @@ def fit(docs: DataFrame) -> Model:
     layout, tuning = Layout(training.rdd.getNumPartitions()), training.where("tuning")
     alphabet = Alphabet(_byte_counts(training))
     rows = training.select("text", "tuning").mapInArrow(_gathered(layout, alphabet), _GATHERED)
-    base = F.col("range").bitwiseAND(F.lit(WHOLE - 1))
-    dealt = rows.repartition(F.coalesce(base, F.xxhash64("word"))).sortWithinPartitions(base, "word")
+    base = F.when(F.col("range") < 0, F.col("range")).otherwise(F.col("range").bitwiseAND(F.lit(WHOLE - 1)))
+    dealt = rows.repartition(base).sortWithinPartitions(base)
     whole = common.materialize(dealt.mapInArrow(_summed, _GATHERED))
     words = count_words(whole.where("word IS NOT NULL").select("word", "n"))
     ranges = whole.where("range IS NOT NULL").select("range", "keys", "counts", "n")
-    mixer = _teach(tuning, alphabet, build_tables(ranges.where(F.col("range") < WHOLE), layout), Mixer.untaught())
+    untuned = build_tables(ranges.where(F.col("range") < WHOLE), layout)
+    mixer = _teach(tuning, alphabet, untuned, Mixer.untaught())
+    untuned.remove()
     tables = build_tables(ranges.where(F.col("range") >= WHOLE).withColumn("range", F.col("range") - WHOLE), layout)
     return Model(alphabet, words, tables, mixer)
 
