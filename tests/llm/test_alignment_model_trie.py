@@ -321,3 +321,19 @@ def test_contexts_of_all_training_texts_are_counted(spark):
     alphabet = lm.Alphabet(lm._byte_counts(lm._folds(docs).where(f"fold != {lm.HELD_OUT} AND fold >= 0")))
     assert all(alphabet.symbol[b] != lm.ESCAPE for r in training for b in r["text"].encode())
     assert places == [sum(n for n, tuned in raw if not tuned), sum(n for n, _ in raw)]
+
+
+def test_counts_leave_a_task_in_few_rows():
+    """Words and keys go by ranges, not in a row each, and each word's count is whole."""
+    import pyarrow as pa
+
+    from tickweave.llm import language_model as lm
+
+    texts = [f"w{i} w{i % 7}" for i in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([False] * 5000)], names=["text", "tuning"])
+    layout = lm.Layout(1)
+    given = list(lm._gathered(layout, lm.Alphabet(np.bincount(np.frombuffer("".join(texts).encode(), dtype=np.uint8), minlength=256)))(iter([batch])))
+    assert sum(b.num_rows for b in given) < 100
+    rows = sorted((r for b in given for r in b.to_pylist()), key=lambda r: r["range"])
+    summed = [r for b in lm._summed(layout, iter([pa.RecordBatch.from_pylist(rows, schema=given[0].schema)])) for r in b.to_pylist() if r["word"] is not None]
+    assert {r["word"]: r["n"] for r in summed} == Counter([w.encode() for t in texts for w in t.split()] + [lm.END] * 5000)

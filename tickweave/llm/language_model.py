@@ -2,15 +2,15 @@
 
 A text is its bytes with A-Z in lower case, written in 64 symbols: one for each of the 62 bytes that are most frequent in the training texts, one
 that says that a byte comes as two half bytes, and the end. A symbol is six binary choices, and a choice is
-predicted from several contexts: the last 2, 4 and 6 symbols, and the word so far. How often a context
+predicted from several contexts: the last 3 and 6 symbols, and the word so far. How often a context
 was followed by each symbol is counted over all training texts: tasks count packed keys of their partition and give them on as compressed
-runs by range of a hash; a range's sums become the slots of its part of a hashed table, each the log-odds of a bit in a context. There
-are as many slots as the contexts that were met need, so tables grow with the corpus. They are files in the shared folder that tasks map into memory.
+runs by range of a hash, words as compressed texts by range; a range's sums become its part of a hashed table. A cell there holds the log-odds of
+three bits in a context and a check of the context that was met most often of those that share it; others find nothing. There
+are as many cells as the contexts that were met need, so tables grow with the corpus. They are files in the shared folder that tasks map into memory.
 
-The log-odds are combined by weights of their own for each bit of a symbol; an order's weight has a second part that counts only
-where the longer context was never met. The sum's probability is refined by a table from log-odds to what came true. Weights and table are
-learnt online, each step after the bits it predicted. What a piece begins with is taught by the tuning texts, one in forty, from tables that leave these out, as
-a text that is scored may not have been counted either. So a text's probability
+The log-odds are combined by weights of their own for each bit of a symbol, learnt online, each step after the bits it predicted. What a piece begins with
+is taught by the tuning texts, one in forty, from tables that leave these out, as a text that is scored may not have been counted either; with these
+weights they then teach how often log-odds came true, which refines the probability. So a text's probability
 depends on nothing but the text, all texts' probabilities add up to at most 1, and very long texts are many pieces.
 
 Beside it stands the sum of smoothed log-probabilities of words, with an end for each text. Null and empty texts hold the end
@@ -25,7 +25,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
@@ -40,7 +40,7 @@ from .count_shards import CountShards, PartialCounts, mounted_dir, summed, write
 
 FOLDS, HELD_OUT, TUNING, TUNING_SHARE = 5, 1, 4, 8
 #: Contexts by number.
-ORDERS, WORD = (2, 4, 6), 3
+ORDERS, WORD = (3, 6), 2
 INPUTS = len(ORDERS) + 1
 #: Symbols of a piece, bytes of text that are read at a time, words that a worker counts or keeps, and keys that it counts at a time.
 PIECE, SLICE_BYTES, MOST_WORDS, MOST_KEYS = 1024, 900_000, 400_000, 4_000_000
@@ -54,10 +54,10 @@ CELL, NODES = 8, 7
 #: Cells for each pair of context and symbol.
 CELLS_A_KEY = 4
 #: Cells of a line, within which a context has all its cells where few symbols follow a context: they are read together.
-LINE_BITS, NEAR_ORDERS = 3, (2, WORD)
+LINE_BITS, NEAR_ORDERS = 3, (1, WORD)
 #: Log-odds of 1 are so many steps of a slot.
 STEPS = 12.0
-RATE = 0.015
+RATE = 0.01
 #: Log-odds are refined by so many buckets within the reach, and rounded to so many steps of a bucket. Buckets begin as if met so often.
 BUCKETS, REACH, FINE, PRIOR = 33, 9.0, 32, 20
 #: What a word list holds for the end of a text; no word is empty.
@@ -188,13 +188,20 @@ class Layout:
     def __init__(self, partitions: int):
         size = max(1, partitions).bit_length()
         self.hash_bits, self.range_bits = min(48, 28 + size), min(24, 4 + size)
+        # tasks give their counts on in rows of several ranges, as each gives a row for each
+        self.given_bits = self.range_bits - 3
 
-    def ranges(self, keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    def cuts(self, keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+        """Ranges of so many bits, and where each begins and ends in sorted keys."""
+        own = (keys >> 56) << bits | (keys >> 8 + self.hash_bits - bits) & (1 << bits) - 1
+        cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield int(own[a]), a, b
+
+    def ranges(self, keys: np.ndarray, n: np.ndarray, bits: int | None = None) -> Iterator[tuple[int, bytes, bytes]]:
         """Range, packed keys and packed counts of sorted keys."""
-        own = (keys >> 56) << self.range_bits | (keys >> 8 + self.hash_bits - self.range_bits) & (1 << self.range_bits) - 1
-        cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield int(own[a]), packed(np.diff(keys[a:b], prepend=0)), packed(n[a:b])
+        for own, a, b in self.cuts(keys, bits or self.range_bits):
+            yield own, packed(np.diff(keys[a:b], prepend=0)), packed(n[a:b])
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -230,8 +237,8 @@ def _word_ranges(words: Counter, bits: int) -> pa.RecordBatch:
     return _rows([(-1 - int(own[a]), None, packed(n[a:b]), zstandard.compress(b" ".join(held[a:b]), 1), b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by range one row for each word and two for each range: without the tuning texts (if it has keys of others), and WHOLE with them."""
+def _summed(layout: Layout, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by range one row for each word and two for each range of the tables: without the tuning texts (if it has keys of others), and WHOLE with them."""
     now, held, tuned = None, [], []
     words: Counter = Counter()
 
@@ -243,9 +250,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, parts = [], [held, tuned]
         sums = [summed(np.concatenate([np.cumsum(unpacked(k)) for k, _ in p]), np.concatenate([unpacked(c) for _, c in p])) for p in parts if p]
         if held:
-            made.append((now, *sums[0]))
-        made.append((now | WHOLE, *(sums[0] if len(sums) == 1 else summed(*(np.concatenate(x) for x in zip(*sums, strict=True))))))
-        return _rows([(own, packed(np.diff(keys, prepend=0)), packed(n), None, len(keys)) for own, keys, n in made])
+            made.append((0, *sums[0]))
+        made.append((WHOLE, *(sums[0] if len(sums) == 1 else summed(*(np.concatenate(x) for x in zip(*sums, strict=True))))))
+        return _rows([(mark | own, packed(np.diff(keys[a:b], prepend=0)), packed(n[a:b]), None, b - a) for mark, keys, n in made for own, a, b in layout.cuts(keys, layout.range_bits)])
 
     for batch in batches:
         for own, keys, counts, word in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "counts", "word")), strict=True):
@@ -271,12 +278,12 @@ def _gathered(layout: Layout, alphabet: Alphabet):
         counts = {False: PartialCounts(MOST_KEYS), True: PartialCounts(MOST_KEYS // 8)}
 
         def spoken() -> pa.RecordBatch:
-            out = _word_ranges(words, layout.range_bits)
+            out = _word_ranges(words, layout.given_bits)
             words.clear()
             return out
 
         def met(tuned: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return _rows([(own | WHOLE * tuned, k, c, None, 0) for own, k, c in layout.ranges(keys, n)])
+            return _rows([(own | WHOLE * tuned, k, c, None, 0) for own, k, c in layout.ranges(keys, n, layout.given_bits)])
 
         for batch in batches:
             for part in common.slices_of(batch, "text", SLICE_BYTES):
@@ -285,14 +292,14 @@ def _gathered(layout: Layout, alphabet: Alphabet):
                 words[END] += len(texts)
                 if len(words) > MOST_WORDS:
                     yield spoken()
-                for tuned, partial in counts.items():
+                for tuned, held in counts.items():
                     counted = [t for t, x in zip(texts, tuning, strict=True) if x == tuned]
                     if counted:
                         for keys, n in _keys(counted, alphabet, layout.hash_bits):
-                            for full in partial.add(keys, n):
+                            for full in held.add(keys, n):
                                 yield met(tuned, *full)
-        for tuned, partial in counts.items():
-            for full in partial.end():
+        for tuned, held in counts.items():
+            for full in held.end():
                 yield met(tuned, *full)
         if words:
             yield spoken()
@@ -398,7 +405,7 @@ def cells_of(h: np.ndarray, spread: np.ndarray, order: int, bits: int, hash_bits
 
 def _quantized(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Steps of log-odds of the counts; 0 where there are none, and never 0 where there are some."""
-    odds = np.rint(np.log((ones + 0.3) / (zeros + 0.3)) * STEPS)
+    odds = np.rint(np.log((ones + 0.2) / (zeros + 0.2)) * STEPS)
     odds = np.where((odds == 0) & (zeros + ones > 0), 1, odds)
     return np.clip(odds, -127, 127).astype(np.int8)
 
@@ -617,7 +624,7 @@ def fit(docs: DataFrame) -> Model:
     rows = training.select("text", "tuning").mapInArrow(_gathered(layout, alphabet), _GATHERED)
     base = F.when(F.col("range") < 0, F.col("range")).otherwise(F.col("range").bitwiseAND(F.lit(WHOLE - 1)))
     dealt = rows.repartition(base).sortWithinPartitions(base)
-    whole = common.materialize(dealt.mapInArrow(_summed, _GATHERED))
+    whole = common.materialize(dealt.mapInArrow(partial(_summed, layout), _GATHERED))
     words = count_words(whole.where("word IS NOT NULL").select("word", "n"))
     ranges = whole.where("range IS NOT NULL").select("range", "keys", "counts", "n")
     untuned = build_tables(ranges.where(F.col("range") < WHOLE), layout)
