@@ -1,7 +1,10 @@
 """The pipeline's stages one by one and together, with columns whose names operators use themselves."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 
 import corpus_pipeline
 import pytest
@@ -96,3 +99,40 @@ def test_near_duplicates_come_by_simhash_too(spark, monkeypatch):
     assert apart <= 3
     monkeypatch.setattr(simhash, "shared_bands", lambda nodes: (nodes.select(F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("c"), "id").limit(0), nodes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)))
     assert sorted(r[0] for r in simhash.drop_near_duplicates(spark, docs, "").select("doc_id").collect()) == [1, 3]
+
+
+PACKING_TASK = """
+import random, re, threading, time
+import pandas, pyarrow as pa, pyspark.sql.functions
+from tickweave.llm import common, packing, simhash
+
+def held():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+class Rows:  # gives the function that tasks run
+    schema = {"doc_id": type("Field", (), {"dataType": type("Kind", (), {"simpleString": staticmethod(lambda: "bigint")})})}
+    select = lambda self, *columns: self
+    mapInArrow = lambda self, run, schema: run
+
+rng = random.Random(5)
+words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(150_000)]
+texts = [" ".join(rng.choices(words, k=300)) for _ in range(4000)]
+batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(i, i + 2000)), "text": texts[i : i + 2000]}) for i in (0, 2000)]
+run, peak, done = packing.pieces(Rows(), packing.tokenizer_path(), memo=packing.SMALL_MEMO, slice_bytes=packing.SMALL_SLICE_BYTES), [0.0], []
+before = held()
+watch = threading.Thread(target=lambda: [(peak.append(max(peak.pop(), held())), time.sleep(0.02)) for _ in iter(lambda: bool(done), True)])
+watch.start()
+assert sum(b.num_rows for b in run(iter(batches))) == 4000
+done.append(1)
+watch.join()
+list(simhash._sketches(Rows(), 5, 24, 6)(iter([])))
+print(peak[0] - before, held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory can't be read here")
+def test_packing_tasks_hold_little_and_later_stages_give_it_back():
+    """A packing task beside other stages' workers, and the same worker in a task of another stage (MB)."""
+    out = subprocess.run([sys.executable, "-c", PACKING_TASK], capture_output=True, text=True, check=True, timeout=300).stdout
+    most, after = map(float, out.split())
+    assert most < 90 and after < 40, out

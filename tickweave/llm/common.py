@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +105,38 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task. Workers outlive stages, so tasks of a stage without it call release."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def release() -> None:
+    """Gives back what this worker kept for tasks of other stages."""
+    if _kept:
+        _kept.clear()
+        trim()
+
+
+@lru_cache(1)
+def _malloc_trim() -> Callable | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):  # another C library
+        return None
+
+
+def trim() -> None:
+    """Gives memory that this worker has freed back to the system; allocators keep tens of MB otherwise."""
+    pa.default_memory_pool().release_unused()
+    if give := _malloc_trim():
+        give(0)
+
+
 def slices(batch, rows: int = 256):
     """Parts of an Arrow batch, so that few texts are Python objects at a time; Spark itself bounds a batch's bytes."""
     pa.default_memory_pool().release_unused()  # what the batches before took

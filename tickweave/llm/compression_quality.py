@@ -131,6 +131,7 @@ def reject_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     @F.arrow_udf("double")  # the other columns stay in the JVM
     def good(texts: pa.Array) -> pa.Array:
+        common.release()
         parts = [_scores(model, texts.slice(i, 256))[1] for i in range(0, len(texts), 256)]
         return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 

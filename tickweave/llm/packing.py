@@ -30,7 +30,7 @@ CAPACITY, END_ID = 4096, 2
 #: Words that a Python worker keeps the ids of, and bytes of text that it encodes at a time.
 MEMO, SLICE_BYTES = 600_000, 8_000_000
 #: The same where workers share their executor with those of other stages.
-SMALL_MEMO, SMALL_SLICE_BYTES = 150_000, 2_500_000
+SMALL_MEMO, SMALL_SLICE_BYTES = 50_000, 600_000
 
 
 class WordMerges:
@@ -244,14 +244,9 @@ class Encoder:
         return near
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker, so that words are kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return common.kept(f"encoder {path}", lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, memo: int = MEMO, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -263,8 +258,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, memo: int = MEM
         tok = encoder(path)
         tok.most = memo
         for batch in batches:
-            pa.default_memory_pool().release_unused()
             for part in common.slices_of(batch, "text", slice_bytes):
+                common.trim()
                 rows = []
                 encoded = tok.encode([t or "" for t in part.column("text").to_pylist()])
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):

@@ -211,6 +211,7 @@ def _sketches(rows: DataFrame, width: int, bands: int, band: int) -> DataFrame:
         return len(h), xxhash.xxh64_intdigest(whole, 1), xxhash.xxh64_intdigest(whole, 2), keys, sig, fingerprint(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for batch in batches:
             for part in common.slices(batch):
                 n, s, t, keys, sig, fp = zip(*map(one, part.column("text").to_pylist()), strict=True) if part.num_rows else ((),) * 6
@@ -226,6 +227,7 @@ def _shingle_sets(rows: DataFrame, width: int) -> DataFrame:
     """doc, row and the distinct shingles' hashes of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for batch in batches:
             for part in common.slices(batch):
                 sets = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in part.column("text").to_pylist()]
