@@ -337,3 +337,27 @@ def test_counts_leave_a_task_in_few_rows():
     rows = sorted((r for b in given for r in b.to_pylist()), key=lambda r: r["range"])
     summed = [r for b in lm._summed(layout, iter([pa.RecordBatch.from_pylist(rows, schema=given[0].schema)])) for r in b.to_pylist() if r["word"] is not None]
     assert {r["word"]: r["n"] for r in summed} == Counter([w.encode() for t in texts for w in t.split()] + [lm.END] * 5000)
+
+
+def test_windows_and_cells_by_brute_force():
+    """The last six symbols before each place, and log-odds of cells whose check is the context's alone."""
+    from tickweave.llm import language_model as lm
+
+    rng = np.random.default_rng(4)
+    alphabet = lm.Alphabet(np.arange(256, 0, -1))
+    s = lm.Slice(["", "abc", None, "some words éé, and more"], alphabet)
+    b = s.symbols.tolist()
+    assert s.windows().tolist() == [sum(b[i - 1 - k] << 8 * k for k in range(6) if i > k) for i in range(len(b))]
+    layout, at = lm.Layout(1), s.places()
+    tables = lm.Tables([], [12] * lm.INPUTS, layout)
+    tables._maps = [rng.integers(0, 1 << 63, 1 << 12, dtype=np.uint64) for _ in range(lm.INPUTS)]
+    contexts, symbols = s.contexts(at, layout.hash_bits), s.symbols[at]
+    for i, table in enumerate(tables._maps):  # every other place's first cell is its own
+        cells = lm.cells_of(contexts[i], lm.SPREAD.take(symbols >> 3), i, 12, layout.hash_bits, layout.range_bits)[0][::2]
+        table[cells] = table[cells] & np.uint64((1 << 56) - 1) | (contexts[i][::2] & 255).astype(np.uint64) << np.uint64(56)
+    got = tables.inputs(contexts, symbols)
+    for i, table in enumerate(tables._maps):
+        both = np.stack(lm.cells_of(contexts[i], lm.SPREAD.take(symbols >> 3), i, 12, layout.hash_bits, layout.range_bits), axis=1)
+        for k, (pair, x) in enumerate(zip(both.tolist(), symbols.tolist(), strict=True)):
+            raw = b"".join(int(table[c]).to_bytes(8, "little") if int(table[c]) >> 56 == int(contexts[i][k]) & 255 else bytes(8) for c in pair)
+            assert got[i, k].tolist() == [int(v) for v in np.frombuffer(raw, dtype=np.int8)[lm.PLACES[x]]]

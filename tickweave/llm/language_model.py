@@ -114,11 +114,15 @@ class Slice:
 
     def windows(self) -> np.ndarray:
         """The last six symbols before each place, the nearest lowest."""
-        b = self.symbols.astype(np.uint64)
+        b = self.symbols
         w = np.zeros(len(b), dtype=np.uint64)
-        for k in range(6):
-            w[k + 1 :] |= b[: -k - 1] << np.uint64(8 * k)
-        return w
+        w[1:] = b[:-1]
+        w[2:] |= w[1:-1] << np.uint64(8)
+        four = w.copy()  # from two symbols
+        four[2:] |= w[:-2] << np.uint64(16)
+        w <<= np.uint64(32)
+        four[4:] |= w[:-4]
+        return four
 
     def words(self) -> np.ndarray:
         """A hash of the symbols since the last white space before each place."""
@@ -129,15 +133,18 @@ class Slice:
         gap = self.alphabet.gap[b]
         since = np.zeros(n + 1, dtype=np.int64)
         np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0), out=since[1:])
-        return (upto[:n] - upto[since[:n]]) * back[since[:n]]
+        since = since[:n]
+        out = upto[:n] - upto.take(since, mode="clip")
+        out *= back.take(since, mode="clip")
+        return out
 
     def contexts(self, at: np.ndarray, hash_bits: int) -> np.ndarray:
         """Hashes of each context at the places."""
-        w = self.windows()[at]
+        w = self.windows().take(at, mode="clip")
         out = np.empty((len(ORDERS) + 1, len(at)), dtype=np.int64)
         for i, k in enumerate(ORDERS):
             out[i] = _hashed(w & np.uint64((1 << 8 * k) - 1), hash_bits)
-        out[WORD] = _hashed(self.words()[at], hash_bits)
+        out[WORD] = _hashed(self.words().take(at, mode="clip"), hash_bits)
         return out
 
     def places(self) -> np.ndarray:
@@ -146,7 +153,8 @@ class Slice:
 
 
 def _hashed(x: np.ndarray, bits: int) -> np.ndarray:
-    h = (x + np.uint64(1)) * _MIX
+    h = x + np.uint64(1)
+    h *= _MIX
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h >>= np.uint64(64 - bits)
@@ -157,8 +165,8 @@ def _keys(texts: list[str | None], alphabet: Alphabet, hash_bits: int) -> Iterat
     """Packed keys of every place with counts: the context's number, its hash of 48 bits at most, and 8 bits of the symbol."""
     s = Slice(texts, alphabet)
     at = s.places()
-    symbols = s.symbols[at]
-    windows = s.windows()[at]
+    symbols = s.symbols.take(at, mode="clip")
+    windows = s.windows().take(at, mode="clip")
 
     def packed(number: int, contexts: np.ndarray, last: np.ndarray) -> np.ndarray:
         return np.int64(number) << 56 | _hashed(contexts, hash_bits) << 8 | last.astype(np.int64)
@@ -172,7 +180,7 @@ def _keys(texts: list[str | None], alphabet: Alphabet, hash_bits: int) -> Iterat
         yield packed(i, grams >> np.uint64(8), grams & np.uint64(255)), n
     last = len(ORDERS) - 1
     yield np.unique(packed(last, windows & np.uint64((1 << 8 * ORDERS[-1]) - 1), symbols), return_counts=True)
-    yield np.unique(packed(WORD, s.words()[at], symbols), return_counts=True)
+    yield np.unique(packed(WORD, s.words().take(at, mode="clip"), symbols), return_counts=True)
 
 
 def _folds(docs: DataFrame) -> DataFrame:
@@ -377,10 +385,12 @@ class Tables:
     def _fill(self, out: np.ndarray, contexts: np.ndarray, halves: np.ndarray, places: np.ndarray) -> None:
         at = np.empty((len(halves), 2), dtype=np.int64)
         spread = SPREAD.take(halves)
+        held = np.empty((len(halves), 2), dtype=np.uint64)
+        check = held.view(np.uint8).reshape(len(halves), 2, CELL)[:, :, NODES]
         for i, (table, bits) in enumerate(zip(self._maps, self.cell_bits, strict=True)):
             at[:, 0], at[:, 1] = cells_of(contexts[i], spread, i, bits, self.hash_bits, self.range_bits)
-            held = table.take(at, mode="clip")
-            held *= (held >> np.uint64(56)).view(np.int64) == (contexts[i] & 255)[:, None]
+            table.take(at, out=held, mode="clip")
+            np.putmask(held, check != contexts[i].astype(np.uint8)[:, None], np.uint64(0))
             held.view(np.int8).ravel().take(places, out=out[i], mode="clip")
 
 
@@ -502,7 +512,7 @@ class Mixer:
         step = np.repeat(np.arange(len(active)), active)
         lane = np.arange(ends[-1]) - np.repeat(ends - active, active)
         at = start[lane] + step
-        symbols = s.symbols[at]
+        symbols = s.symbols.take(at, mode="clip")
         x8 = tables.inputs(s.contexts(at, tables.hash_bits), symbols)
         bits = BITS.astype(np.float32).take(symbols, axis=0)
         n = len(size)
@@ -515,7 +525,10 @@ class Mixer:
             k = b - a
             x = x8[:, a:b].astype(np.float32)
             w = weights[:, :k]
-            dot = np.add.reduce(w * x, axis=0, out=odds[a:b])
+            each = w * x
+            dot = np.add(each[0], each[1], out=odds[a:b])
+            for more in each[2:]:
+                dot += more
             np.maximum(np.minimum(dot, REACH, out=dot), -REACH, out=dot)
             p = np.exp(dot)
             p += 1
