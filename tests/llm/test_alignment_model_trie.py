@@ -361,3 +361,15 @@ def test_windows_and_cells_by_brute_force():
         for k, (pair, x) in enumerate(zip(both.tolist(), symbols.tolist(), strict=True)):
             raw = b"".join(int(table[c]).to_bytes(8, "little") if int(table[c]) >> 56 == int(contexts[i][k]) & 255 else bytes(8) for c in pair)
             assert got[i, k].tolist() == [int(v) for v in np.frombuffer(raw, dtype=np.int8)[lm.PLACES[x]]]
+
+
+def test_tokens_are_distinct_words_and_their_places():
+    """Each text's words and one END in order, by brute force; a word is one Python object however often it is met."""
+    from tickweave.llm import language_model as lm
+
+    texts = [t.encode().lower() for t in ("", " ", "\n\x0b", "a", " a  B\t", "x\x1cy\x85z　日本 é\x00", "a\r\x0ca", "w" * 5000 + " w", *(a or "" for a in AWKWARD), "the same words " * 20000)]
+    distinct, token, start = lm._tokens(texts)
+    got = [[distinct[i] for i in part] for part in np.split(token, start[1:])]
+    assert got == [[*t.split(), lm.END] for t in texts] == [[*re.findall(rb"[^\x20\x09-\x0D]+", t), lm.END] for t in texts]
+    assert len(distinct) == len(set(distinct)) < 200
+    assert [len(x) for x in lm._tokens([])] == [0, 0, 0]

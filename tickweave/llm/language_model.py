@@ -26,10 +26,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,7 +42,7 @@ FOLDS, HELD_OUT, TUNING, TUNING_SHARE = 5, 1, 4, 8
 #: Contexts by number.
 ORDERS, WORD = (3, 6), 2
 INPUTS = len(ORDERS) + 1
-#: Symbols of a piece, bytes of text that are read at a time, words that a worker counts or keeps, and keys that it counts at a time.
+#: Symbols of a piece, bytes of text that are read at a time, words that a worker counts, and keys that it counts at a time.
 PIECE, SLICE_BYTES, MOST_WORDS, MOST_KEYS = 1024, 900_000, 400_000, 4_000_000
 #: Symbols with a byte of their own, what says that two half bytes follow, and the end.
 COMMON, ESCAPE, LAST, CHOICES = 62, 62, 63, 6
@@ -69,6 +69,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 BITS = ((np.arange(64)[:, None] >> np.arange(5, -1, -1)) & 1).astype(np.uint8)
 #: For each symbol, the places of its choices in its two cells, one behind the other.
 PLACES = np.array([[(1 << j % 3) - 1 + ((x >> 3 if j < 3 else x & 7) >> 3 - j % 3) + CELL * (j // 3) for j in range(CHOICES)] for x in range(64)])
+#: By how many bits a cell is shifted for its second and its third choice: those of the first cell, then those of the second. The first choice is the lowest byte.
+SHIFTS = np.ascontiguousarray((PLACES % CELL * 8).T[[1, 2, 4, 5]]).astype(np.uint64)
 #: What spreads a context's cells of second halves, one for each first half.
 SPREAD = (np.arange(1, 9, dtype=np.uint64) * _MIX | np.uint64(1)).view(np.int64)
 
@@ -183,6 +185,17 @@ def _keys(texts: list[str | None], alphabet: Alphabet, hash_bits: int) -> Iterat
     yield np.unique(packed(WORD, s.words().take(at, mode="clip"), symbols), return_counts=True)
 
 
+def _tokens(raw: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct tokens of lower-cased texts in UTF-8, the number of each token in turn, a text's words and one END, and where each text begins."""
+    # of a text that ends in a space the last part is empty
+    texts = [t + b" " if (t := r.strip()) else b"" for r in raw]
+    upto = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+    parts = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_utf8(), len(texts), [None, pa.py_buffer(upto), pa.py_buffer(b"".join(texts))]))
+    numbered = parts.values.dictionary_encode()
+    distinct = numbered.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    return distinct, numbered.indices.to_numpy(), parts.offsets.to_numpy()[:-1]
+
+
 def _folds(docs: DataFrame) -> DataFrame:
     fold = common.id_remainder(F.col("doc_id"), FOLDS)
     text = F.col("text").cast("string")
@@ -296,8 +309,9 @@ def _gathered(layout: Layout, alphabet: Alphabet):
         for batch in batches:
             for part in common.slices_of(batch, "text", SLICE_BYTES):
                 texts, tuning = part.column("text").to_pylist(), part.column("tuning").to_pylist()
-                words.update(" ".join(t or "" for t in texts).encode().lower().split())
-                words[END] += len(texts)
+                distinct, token, _ = _tokens([(t or "").encode().lower() for t in texts])
+                for w, n in zip(distinct, np.bincount(token).tolist(), strict=True):
+                    words[w] += n
                 if len(words) > MOST_WORDS:
                     yield spoken()
                 for tuned, held in counts.items():
@@ -320,27 +334,17 @@ class Words:
 
     def __init__(self, shards: CountShards, salt: bytes, total: int, distinct: int):
         self.shards, self.salt, self.total, self.distinct = shards, salt, total, distinct
-        self.memo: dict[bytes, float] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
 
     def base(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text its tokens, those met in training, and the sum of their log10 probabilities."""
-        rows = [[*r.split(), END] for r in raw]
-        if len(self.memo) > MOST_WORDS:
-            self.memo.clear()
-        flat = list(chain.from_iterable(rows))
-        new = list(set(flat).difference(self.memo))
-        keys = np.array([xxhash.xxh64_intdigest(w + self.salt, 42) for w in new], dtype=np.uint64).view(np.int64)
+        distinct, token, start = _tokens(raw)
+        keys = np.fromiter((xxhash.xxh64_intdigest(w + self.salt, 42) for w in distinct), dtype=np.uint64, count=len(distinct)).view(np.int64)
         order = np.argsort(keys)
-        c = np.empty(len(new), dtype=np.int64)
+        c = np.empty(len(distinct), dtype=np.int64)
         c[order] = self.shards.counts(keys[order])
         value = np.log10((np.append(c, 0) + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-        self.memo.update(zip(new, value[:-1].tolist(), strict=True))
-        found = np.fromiter(map(self.memo.__getitem__, flat), dtype=np.float64, count=len(flat))
-        n = np.array([len(r) for r in rows])
-        start = np.cumsum(n) - n
+        found = value.take(token)
+        n = np.diff(start, append=len(token))
         return n, np.add.reduceat((found > value[-1]).astype(np.int64), start), np.add.reduceat(found, start)
 
 
@@ -375,23 +379,24 @@ class Tables:
         """(INPUTS, places, CHOICES) steps of log-odds of 1 for the choices that lead to the symbols."""
         if not self._maps:
             self._maps = [np.asarray(np.memmap(f, dtype="<u8", mode="r")) for f in self.files]
-        out = np.empty((INPUTS, len(symbols), CHOICES), dtype=np.int8)
-        row = (np.arange(NEAR) * (2 * CELL))[:, None]
+        out = np.empty((INPUTS, CHOICES, len(symbols)), dtype=np.int8)  # operations go over all places of a choice
         for a in range(0, len(symbols), NEAR):
-            near = symbols[a : a + NEAR]
-            self._fill(out[:, a : a + NEAR], contexts[:, a : a + NEAR], near >> 3, PLACES.take(near, axis=0) + row[: len(near)])
-        return out
-
-    def _fill(self, out: np.ndarray, contexts: np.ndarray, halves: np.ndarray, places: np.ndarray) -> None:
-        at = np.empty((len(halves), 2), dtype=np.int64)
-        spread = SPREAD.take(halves)
-        held = np.empty((len(halves), 2), dtype=np.uint64)
-        check = held.view(np.uint8).reshape(len(halves), 2, CELL)[:, :, NODES]
+            self._fill(out[:, :, a : a + NEAR], contexts[:, a : a + NEAR], symbols[a : a + NEAR])
+        return out.transpose(0, 2, 1)
+
+    def _fill(self, out: np.ndarray, contexts: np.ndarray, symbols: np.ndarray) -> None:
+        n = len(symbols)
+        at = np.empty((2, n), dtype=np.int64)
+        spread = SPREAD.take(symbols >> 3)
+        held = np.empty((2, n), dtype=np.uint64)
+        shifts = SHIFTS.take(symbols, axis=1).reshape(2, 2, n)
         for i, (table, bits) in enumerate(zip(self._maps, self.cell_bits, strict=True)):
-            at[:, 0], at[:, 1] = cells_of(contexts[i], spread, i, bits, self.hash_bits, self.range_bits)
+            at[0], at[1] = cells_of(contexts[i], spread, i, bits, self.hash_bits, self.range_bits)
             table.take(at, out=held, mode="clip")
-            np.putmask(held, check != contexts[i].astype(np.uint8)[:, None], np.uint64(0))
-            held.view(np.int8).ravel().take(places, out=out[i], mode="clip")
+            own = (held.view(np.uint8)[:, NODES::CELL] == contexts[i].astype(np.uint8)).view(np.int8)
+            chosen = out[i].reshape(2, CHOICES // 2, n)
+            np.multiply(held.view(np.int8)[:, ::CELL], own, out=chosen[:, 0])
+            np.multiply((held[:, None] >> shifts).astype(np.int8), own[:, None], out=chosen[:, 1:])
 
 
 def cells_of(h: np.ndarray, spread: np.ndarray, order: int, bits: int, hash_bits: int, range_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -513,56 +518,57 @@ class Mixer:
         lane = np.arange(ends[-1]) - np.repeat(ends - active, active)
         at = start[lane] + step
         symbols = s.symbols.take(at, mode="clip")
-        x8 = tables.inputs(s.contexts(at, tables.hash_bits), symbols)
-        bits = BITS.astype(np.float32).take(symbols, axis=0)
+        x8 = tables.inputs(s.contexts(at, tables.hash_bits), symbols).transpose(0, 2, 1)
+        bits = np.empty((CHOICES, len(at)), dtype=np.float32)
+        for j in range(CHOICES):
+            bits[j] = symbols >> CHOICES - 1 - j & 1
         n = len(size)
         # of the log-odds of 0, and by steps
-        weights = np.repeat(self.weights[:, None, :] * np.float32(-1 / STEPS), n, axis=1)
-        odds = np.empty((len(at), CHOICES), dtype=np.float32)
-        rate = np.float32(RATE / STEPS**2)
+        weights = np.repeat(self.weights[:, :, None] * np.float32(-1 / STEPS), n, axis=2)
+        odds = np.empty((CHOICES, len(at)), dtype=np.float32)
+        rate, reach, one = np.float32(RATE / STEPS**2), np.float32(REACH), np.float32(1)
         a = 0
         for b in ends.tolist():
-            k = b - a
-            x = x8[:, a:b].astype(np.float32)
-            w = weights[:, :k]
+            x = x8[:, :, a:b].astype(np.float32)
+            w = weights[:, :, : b - a]
             each = w * x
-            dot = np.add(each[0], each[1], out=odds[a:b])
+            dot = np.add(each[0], each[1], out=each[0])
             for more in each[2:]:
                 dot += more
-            np.maximum(np.minimum(dot, REACH, out=dot), -REACH, out=dot)
-            p = np.exp(dot)
-            p += 1
+            dot.clip(-reach, reach, out=dot)
+            odds[:, a:b] = dot
+            p = np.exp(dot, out=dot)
+            p += one
             np.reciprocal(p, out=p)
-            p -= bits[a:b]
+            p -= bits[:, a:b]
             p *= rate
             x *= p
             w += x
             a = b
         out = np.empty(len(at), dtype=np.float32)
         scale = np.float32((STEPPED - 1) / (2 * REACH))
-        first = (np.arange(CHOICES) * (2 * STEPPED) + (STEPPED - 1) / 2 + 0.5).astype(np.float32)
+        first = (np.arange(CHOICES) * (2 * STEPPED) + (STEPPED - 1) / 2 + 0.5).astype(np.float32)[:, None]
         for a in range(0, len(at), NEAR):
-            cell = odds[a : a + NEAR]
-            cell *= scale
+            cell = odds[:, a : a + NEAR] * scale
             cell += first
             cell = cell.astype(np.int64)
+            x = symbols[a : a + NEAR]
             if taught is not None:
-                bucket = _bucket(cell % (2 * STEPPED)) + np.arange(CHOICES) * BUCKETS
-                x = symbols[a : a + NEAR]
+                bucket = _bucket(cell % (2 * STEPPED)) + np.arange(CHOICES)[:, None] * BUCKETS
                 for bit in (0, 1):
-                    taught[-1 - (2 - bit) * CHOICES * BUCKETS :][: CHOICES * BUCKETS] += np.bincount(bucket[BITS.take(x, axis=0) == bit], minlength=CHOICES * BUCKETS)
-            cell += STEPS_OF.take(symbols[a : a + NEAR], axis=0)
-            np.add.reduce(self.logs.take(cell), axis=1, out=out[a : a + NEAR])
+                    taught[-1 - (2 - bit) * CHOICES * BUCKETS :][: CHOICES * BUCKETS] += np.bincount(bucket[BITS.T.take(x, axis=1) == bit], minlength=CHOICES * BUCKETS)
+            cell += STEPS_OF.take(x, axis=1)
+            np.add.reduce(self.logs.take(cell), axis=0, out=out[a : a + NEAR])
         if taught is not None:
             learnt = np.rint(weights.astype(np.float64) * -STEPS * 65536).astype(np.int64)
-            taught[: INPUTS * CHOICES] += (learnt * size[:, None]).sum(axis=1).ravel()
+            taught[: INPUTS * CHOICES] += (learnt * size).sum(axis=2).ravel()
             taught[-1] += size.sum()
         return np.bincount(doc[lane], weights=out, minlength=len(s.size))
 
 
 #: Steps that log-odds are rounded to, and where in the logs the probabilities of each symbol's choices begin.
 STEPPED = (BUCKETS - 1) * FINE + 1
-STEPS_OF = BITS.astype(np.int64) * STEPPED
+STEPS_OF = np.ascontiguousarray(BITS.T.astype(np.int64) * STEPPED)
 
 
 def _bucket(step: np.ndarray) -> np.ndarray:
