@@ -368,8 +368,56 @@ def test_tokens_are_distinct_words_and_their_places():
     from tickweave.llm import language_model as lm
 
     texts = [t.encode().lower() for t in ("", " ", "\n\x0b", "a", " a  B\t", "x\x1cy\x85z　日本 é\x00", "a\r\x0ca", "w" * 5000 + " w", *(a or "" for a in AWKWARD), "the same words " * 20000)]
-    distinct, token, start = lm._tokens(texts)
+    words, token, start = lm._tokens(texts)
+    distinct = words.to_pylist()
     got = [[distinct[i] for i in part] for part in np.split(token, start[1:])]
     assert got == [[*t.split(), lm.END] for t in texts] == [[*re.findall(rb"[^\x20\x09-\x0D]+", t), lm.END] for t in texts]
     assert len(distinct) == len(set(distinct)) < 200
     assert [len(x) for x in lm._tokens([])] == [0, 0, 0]
+
+
+def test_words_are_summed_without_an_object_each(monkeypatch):
+    """Partial counts are merged as they come, and no count is lost when more words are met than are held."""
+    from tickweave.llm import language_model as lm
+
+    monkeypatch.setattr(lm, "MOST_WORDS", 50)
+    counts, want, got, most = lm.WordCounts(), Counter(), Counter(), 0
+    for i in range(60):
+        raw = [f"w{j} w{j * j} {i % 7}".encode() for j in range(i, i + 5)]
+        distinct, token, _ = lm._tokens(raw)
+        counts.add(distinct, np.bincount(token))
+        want.update(w for r in raw for w in [*r.split(), lm.END])
+        most = max(most, counts.size)
+        if counts.full() or i == 59 and counts.held:
+            words, n = counts.end()
+            got.update(dict(zip(words.to_pylist(), n.tolist(), strict=True)))
+    assert got == want and most <= 2 * 50 + 20
+
+
+def test_cells_hold_the_log_odds_of_their_owners():
+    """Filled by one count of all choices; held against a plain walk over the keys."""
+    from tickweave.llm import language_model as lm
+
+    r = np.random.default_rng(5)
+    layout, bits = lm.Layout(1), 14
+    size, low = 1 << bits - layout.range_bits, layout.hash_bits - layout.range_bits
+    for order in range(lm.INPUTS):
+        h = 3 << low | r.integers(0, 1 << low, 300)[r.integers(0, 300, 2000)]
+        keys, n = np.unique(order << 56 | h << 8 | r.integers(0, 64, 2000), return_counts=True)
+        met, counts = Counter(), Counter()
+        for key, c in zip(keys.tolist(), n.tolist(), strict=True):
+            own, x = key >> 8 & (1 << layout.hash_bits) - 1, key & 63
+            cells = lm.cells_of(np.array([own]), lm.SPREAD[[x >> 3]], order, bits, layout.hash_bits, layout.range_bits)
+            for half in (0, 1):
+                user = int(cells[half][0]) & size - 1, own, half, x >> 3 if half else None
+                met[user] += c
+                for j in range(3 * half, 3 * half + 3):
+                    counts[user, int(lm.PLACES[x, j]) - lm.CELL * half, int(lm.BITS[x, j])] += c
+        most = Counter()
+        for user, c in met.items():
+            most[user[0]] = max(most[user[0]], c)
+        cells = lm._filled(keys, n, order, bits, layout).reshape(-1, lm.CELL).tolist()
+        for at, cell in enumerate(cells):
+            users = [u for u, c in met.items() if u[0] == at and c == most[at]]
+            made = [[*(int(lm._quantized(np.float64(counts[u, k, 0]), np.float64(counts[u, k, 1]))) for k in range(lm.NODES)), int(np.uint8(u[1] & 255).view(np.int8))] for u in users]
+            assert cell in made if users else cell == [0] * lm.CELL

@@ -23,7 +23,6 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -131,13 +130,14 @@ class Slice:
         b = self.symbols
         n = len(b)
         power, back = _powers(1 << n.bit_length())
-        upto = np.concatenate([[np.uint64(0)], np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:n])])  # of all symbols before
-        gap = self.alphabet.gap[b]
-        since = np.zeros(n + 1, dtype=np.int64)
-        np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0), out=since[1:])
-        since = since[:n]
-        out = upto[:n] - upto.take(since, mode="clip")
-        out *= back.take(since, mode="clip")
+        upto = np.arange(1, 65, dtype=np.uint64).take(b[:-1])
+        upto *= power[: n - 1]
+        out = np.zeros(n, dtype=np.uint64)
+        np.cumsum(upto, out=out[1:])  # of all symbols before
+        since = np.concatenate([[0], np.flatnonzero(self.alphabet.gap.take(b[:-1])) + 1])
+        size = np.diff(since, append=n)
+        out -= np.repeat(out.take(since), size)
+        out *= np.repeat(back.take(since), size)
         return out
 
     def contexts(self, at: np.ndarray, hash_bits: int) -> np.ndarray:
@@ -175,7 +175,9 @@ def _keys(texts: list[str | None], alphabet: Alphabet, hash_bits: int) -> Iterat
 
     # of the shorter orders, what follows is counted once for all: their windows are ends of the longest one's
     short = ORDERS[-2]
-    grams, n = np.unique((windows << np.uint64(8) | symbols) & np.uint64((1 << 8 * (short + 1)) - 1), return_counts=True)
+    grams = (windows << np.uint64(8) | symbols) & np.uint64((1 << 8 * (short + 1)) - 1)
+    grams, n = np.unique(grams.astype(np.uint32) if short < 4 else grams, return_counts=True)
+    grams = grams.astype(np.uint64)
     for i, k in reversed(list(enumerate(ORDERS[:-1]))):
         if k < short:
             grams, n = summed(grams & np.uint64((1 << 8 * (k + 1)) - 1), n)
@@ -185,15 +187,44 @@ def _keys(texts: list[str | None], alphabet: Alphabet, hash_bits: int) -> Iterat
     yield np.unique(packed(WORD, s.words().take(at, mode="clip"), symbols), return_counts=True)
 
 
-def _tokens(raw: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _tokens(raw: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct tokens of lower-cased texts in UTF-8, the number of each token in turn, a text's words and one END, and where each text begins."""
     # of a text that ends in a space the last part is empty
     texts = [t + b" " if (t := r.strip()) else b"" for r in raw]
     upto = np.cumsum([0, *map(len, texts)], dtype=np.int64)
     parts = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_utf8(), len(texts), [None, pa.py_buffer(upto), pa.py_buffer(b"".join(texts))]))
     numbered = parts.values.dictionary_encode()
-    distinct = numbered.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
-    return distinct, numbered.indices.to_numpy(), parts.offsets.to_numpy()[:-1]
+    return numbered.dictionary.cast(pa.large_binary()), numbered.indices.to_numpy(), parts.offsets.to_numpy()[:-1]
+
+
+class WordCounts:
+    """Counts of words as arrays of them come; about MOST_WORDS are held at a time."""
+
+    def __init__(self):
+        self.held, self.size, self.kept = [], 0, 0
+
+    def add(self, words: pa.Array, n: np.ndarray) -> None:
+        """Takes words, each once."""
+        self.held.append((words, n))
+        self.size += len(words)
+
+    def full(self) -> bool:
+        """Whether more are held than may be."""
+        if self.size > max(MOST_WORDS, 2 * self.kept):
+            self.held = [self.end()]
+            self.size = self.kept = len(self.held[0][0])
+        return self.kept > MOST_WORDS
+
+    def end(self) -> tuple[pa.Array, np.ndarray]:
+        """Words, each once, and their counts; none are held any more."""
+        words, n = zip(*self.held, strict=True)
+        self.held, self.size, self.kept = [], 0, 0
+        if len(words) == 1:
+            return words[0], n[0]
+        numbered = pa.concat_arrays(words).dictionary_encode()
+        sums = np.zeros(len(numbered.dictionary), dtype=np.int64)
+        np.add.at(sums, numbered.indices.to_numpy(), np.concatenate(n))
+        return numbered.dictionary, sums
 
 
 def _folds(docs: DataFrame) -> DataFrame:
@@ -239,20 +270,26 @@ def unpacked(data: bytes) -> np.ndarray:
 _GATHERED = "range long, keys binary, counts binary, word binary, n long"
 
 
-def _rows(ranges: list[tuple[int, bytes | None, bytes, bytes | None, int]] = (), words: list[tuple[bytes, int]] = ()) -> pa.RecordBatch:
-    """Ranges with keys or compressed words, their counts and how many they are, and words with counts."""
-    rows = [*ranges, *((None, None, None, word, n) for word, n in words)]
-    columns = list(zip(*rows, strict=True)) or [[]] * 5
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "keys", "counts", "word", "n"])
+_SCHEMA = pa.schema([("range", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("word", pa.binary()), ("n", pa.int64())])
 
 
-def _word_ranges(words: Counter, bits: int) -> pa.RecordBatch:
+def _rows(ranges: list[tuple[int, bytes | None, bytes, bytes | None, int]]) -> pa.RecordBatch:
+    """Ranges with keys or compressed words, their counts and how many they are."""
+    columns = list(zip(*ranges, strict=True)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
+
+
+def _word_rows(words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each word with its count."""
+    none = [pa.nulls(len(words), f.type) for f in list(_SCHEMA)[:3]]
+    return pa.RecordBatch.from_arrays([*none, words.cast(pa.binary()), pa.array(n)], schema=_SCHEMA)
+
+
+def _word_ranges(words: pa.Array, n: np.ndarray, bits: int) -> pa.RecordBatch:
     """Words and counts by range of a hash, of which negative numbers tell; a range's words are one text, parted by spaces."""
-    own = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) >> 32 - bits
+    held = words.to_numpy(zero_copy_only=False)
+    own = np.fromiter(map(zlib.crc32, held.tolist()), dtype=np.int64, count=len(held)) >> 32 - bits
     order = np.argsort(own, kind="stable")
-    held, n = np.empty(len(words), dtype=object), np.fromiter(words.values(), dtype=np.int64, count=len(words))
-    held[:] = list(words)
     own, held, n = own[order], held[order].tolist(), n[order]
     cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
     return _rows([(-1 - int(own[a]), None, packed(n[a:b]), zstandard.compress(b" ".join(held[a:b]), 1), b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
@@ -260,14 +297,11 @@ def _word_ranges(words: Counter, bits: int) -> pa.RecordBatch:
 
 def _summed(layout: Layout, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by range one row for each word and two for each range of the tables: without the tuning texts (if it has keys of others), and WHOLE with them."""
-    now, held, tuned = None, [], []
-    words: Counter = Counter()
+    now, held, tuned, words = None, [], [], WordCounts()
 
     def finished() -> pa.RecordBatch:
-        if words:
-            out = _rows(words=list(words.items()))
-            words.clear()
-            return out
+        if words.held:
+            return _word_rows(*words.end())
         made, parts = [], [held, tuned]
         sums = [summed(np.concatenate([np.cumsum(unpacked(k)) for k, _ in p]), np.concatenate([unpacked(c) for _, c in p])) for p in parts if p]
         if held:
@@ -283,8 +317,7 @@ def _summed(layout: Layout, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                 held, tuned = [], []
             now = base
             if own < 0:
-                for w, n in zip(zstandard.decompress(word).split(b" "), unpacked(counts).tolist(), strict=True):
-                    words[w] += n
+                words.add(pc.split_pattern(pa.array([zstandard.decompress(word)], pa.large_binary()), " ").values, unpacked(counts))
             else:
                 (tuned if own & WHOLE else held).append((keys, counts))
     if now is not None:
@@ -295,14 +328,9 @@ def _gathered(layout: Layout, alphabet: Alphabet):
     """Partial counts of words and contexts of all training texts; contexts of those for tuning in ranges of their own (WHOLE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        words = WordCounts()
         counts = {False: PartialCounts(MOST_KEYS), True: PartialCounts(MOST_KEYS // 8)}
 
-        def spoken() -> pa.RecordBatch:
-            out = _word_ranges(words, layout.given_bits)
-            words.clear()
-            return out
-
         def met(tuned: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return _rows([(own | WHOLE * tuned, k, c, None, 0) for own, k, c in layout.ranges(keys, n, layout.given_bits)])
 
@@ -310,10 +338,9 @@ def _gathered(layout: Layout, alphabet: Alphabet):
             for part in common.slices_of(batch, "text", SLICE_BYTES):
                 texts, tuning = part.column("text").to_pylist(), part.column("tuning").to_pylist()
                 distinct, token, _ = _tokens([(t or "").encode().lower() for t in texts])
-                for w, n in zip(distinct, np.bincount(token).tolist(), strict=True):
-                    words[w] += n
-                if len(words) > MOST_WORDS:
-                    yield spoken()
+                words.add(distinct, np.bincount(token))
+                if words.full():
+                    yield _word_ranges(*words.end(), layout.given_bits)
                 for tuned, held in counts.items():
                     counted = [t for t, x in zip(texts, tuning, strict=True) if x == tuned]
                     if counted:
@@ -323,8 +350,8 @@ def _gathered(layout: Layout, alphabet: Alphabet):
         for tuned, held in counts.items():
             for full in held.end():
                 yield met(tuned, *full)
-        if words:
-            yield spoken()
+        if words.held:
+            yield _word_ranges(*words.end(), layout.given_bits)
 
     return run
 
@@ -338,7 +365,7 @@ class Words:
     def base(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text its tokens, those met in training, and the sum of their log10 probabilities."""
         distinct, token, start = _tokens(raw)
-        keys = np.fromiter((xxhash.xxh64_intdigest(w + self.salt, 42) for w in distinct), dtype=np.uint64, count=len(distinct)).view(np.int64)
+        keys = np.fromiter((xxhash.xxh64_intdigest(w + self.salt, 42) for w in distinct.to_numpy(zero_copy_only=False).tolist()), dtype=np.uint64, count=len(distinct)).view(np.int64)
         order = np.argsort(keys)
         c = np.empty(len(distinct), dtype=np.int64)
         c[order] = self.shards.counts(keys[order])
@@ -442,7 +469,7 @@ def _filled(keys: np.ndarray, n: np.ndarray, order: int, bits: int, layout: Layo
     for low, (start, at, met) in enumerate(groups):
         first = met == most[at]
         owner[at[first]] = np.flatnonzero(first) << 1 | low
-    zeros, ones = np.zeros(size * CELL), np.zeros(size * CELL)
+    slots, weights = [], []  # a slot for a choice of 0 and one for 1
     for low, (start, at, _) in enumerate(groups):
         held = owner[at] == (np.arange(len(at)) << 1 | low)
         out[at[held] * CELL + NODES] = (h[start[held]] & 255).astype(np.uint8).view(np.int8)
@@ -450,13 +477,13 @@ def _filled(keys: np.ndarray, n: np.ndarray, order: int, bits: int, layout: Layo
         cell = np.repeat(at, np.diff(start, append=len(keys)))[of]
         x, weight = symbols[of], n[of]
         for j in range(3 * low, 3 * low + 3):
-            slot = cell * CELL + PLACES[:, j].take(x) - CELL * low
-            one = BITS[:, j].take(x) == 1
-            ones += np.bincount(slot[one], weights=weight[one], minlength=size * CELL)
-            zeros += np.bincount(slot[~one], weights=weight[~one], minlength=size * CELL)
-    odds = _quantized(zeros, ones)
-    odds[NODES::CELL] = out[NODES::CELL]
-    return odds
+            slots.append((cell - low) * (2 * CELL) + (PLACES[:, j] * 2 + BITS[:, j]).take(x))
+            weights.append(weight)
+    slot = np.concatenate(slots)
+    met = np.bincount(slot, weights=np.concatenate(weights), minlength=2 * size * CELL)
+    slot >>= 1
+    out[slot] = _quantized(met.take(slot * 2), met.take(slot * 2 + 1))
+    return out
 
 
 def build_tables(whole: DataFrame, layout: Layout) -> Tables:
