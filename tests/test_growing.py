@@ -6,6 +6,7 @@ import random
 import tarfile
 
 import pytest
+from pyspark.sql import Row
 
 from tickweave.sources import captures, files, growing, shards, sinks
 from tickweave.streaming import feeds
@@ -123,6 +124,17 @@ def test_a_failed_task_leaves_no_shard_and_no_state(spark, tmp_path):
     assert [p for p in (tmp_path / "out").rglob("*") if p.is_file()] == []
 
 
+def test_a_failed_job_leaves_nothing_of_tasks_that_it_lost(tmp_path):
+    rows = [Row(**dict(zip(("shard", "n", "root", "rel", "frames", "file"), r, strict=True))) for r in _corpus(tmp_path)]
+    writer = shards.TarShards({"path": str(tmp_path / "out")}).writer(None, False)
+    writer.write(iter(rows[:4]))  # its message doesn't reach the driver
+    writer.abort([None])
+    assert [p for p in (tmp_path / "out").rglob("*") if p.is_file()] == []
+    with pytest.raises(OSError):
+        writer.write(iter(rows[4:]))  # and another task begins too late
+    assert [p for p in (tmp_path / "out").rglob("*") if p.is_file()] == []
+
+
 def test_a_shard_of_two_tasks_is_refused(spark, tmp_path):
     rows = _corpus(tmp_path, 2)
     spark.dataSource.register(shards.TarShards)

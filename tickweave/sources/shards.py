@@ -7,6 +7,8 @@ members (shard, n, root, rel, frames, file) has a row for each file of a capture
 sorted by n and file (members_of lays them out so). A task writes a shard, its index and the list of what it holds
 under temporary names; only when all tasks are done does the driver rename them, the list last. A task that fails
 removes what it wrote and a job that fails leaves no shard and no state; a shard that is written again replaces itself.
+Temporary names are in a folder of the job's own, which the driver makes before and removes after, so that tasks that were
+stopped before they could clean up, or whose message was lost, leave nothing either.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import tarfile
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +48,9 @@ class TarShards(DataSource):
         return MEMBERS
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return TarWriter(self.options["path"])
+        writer = TarWriter(self.options["path"], uuid.uuid4().hex)
+        writer.begin()
+        return writer
 
 
 class _Blocks:
@@ -62,13 +67,30 @@ class _Blocks:
 
 
 class TarWriter(DataSourceWriter):
-    def __init__(self, root: str):
+    def __init__(self, root: str, job: str):
         self.root = root
+        self.job = job
+
+    def begin(self) -> None:
+        """Makes the folder of temporary names; tasks don't, so one that goes on after the job's end has nowhere to write."""
+        system, base = files.opened(self.root)
+        system.create_dir(f"{base}/tmp/{self.job}", recursive=True)
+
+    def _end(self) -> None:
+        """Removes that folder; tasks that were told to stop may still be writing there."""
+        system, base = files.opened(self.root)
+        for _ in range(100):
+            try:
+                return system.delete_dir(f"{base}/tmp/{self.job}")
+            except OSError:  # not empty, or not there any more
+                if system.get_file_info(f"{base}/tmp/{self.job}").type.name == "NotFound":
+                    return
+                time.sleep(0.05)
 
     def _shard(self, system, base: str, shard: str, rows: list[Row] | Iterator[Row], made: list[tuple[str, str]]) -> None:
         """Writes one shard; the rows of a shard are not held, but for an entry for each capture."""
         attempt = uuid.uuid4().hex
-        names = {kind: (f"{base}/tmp/{attempt}-{kind}", f"{base}/{kind}/{shard}{suffix}") for kind, suffix in (("shards", ""), ("index", ".json"), ("state", ".txt"))}
+        names = {kind: (f"{base}/tmp/{self.job}/{attempt}-{kind}", f"{base}/{kind}/{shard}{suffix}") for kind, suffix in (("shards", ""), ("index", ".json"), ("state", ".txt"))}
         made += names.values()
         entries: list[dict] = []
         with system.open_output_stream(names["shards"][0]) as out, tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT) as tar:
@@ -87,7 +109,6 @@ class TarWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
         system, base = files.opened(self.root)
-        system.create_dir(f"{base}/tmp", recursive=True)
         made: list[tuple[str, str]] = []
         seen: set[str] = set()
         row = next(iterator, None)
@@ -119,17 +140,17 @@ class TarWriter(DataSourceWriter):
         renames = [x for m in messages if m is not None for x in m.renames]
         targets = [final for _, final in renames]
         if len(set(targets)) != len(targets):
-            _remove(system, renames)
+            self._end()
             raise ValueError("a shard was written by two tasks")
         for kind in ("shards", "index", "state"):
             system.create_dir(f"{base}/{kind}", recursive=True)
             for temporary, final in renames:
                 if final.startswith(f"{base}/{kind}/"):
                     system.move(temporary, final)
+        self._end()
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        system, _ = files.opened(self.root)
-        _remove(system, [x for m in messages if m is not None for x in m.renames])
+        self._end()
 
 
 def _remove(system, names: list[tuple[str, str]]) -> None:
